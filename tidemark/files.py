@@ -1,10 +1,10 @@
-"""Small control files and listings on whatever file system the path names."""
+"""Small control files and listings on whatever file system the path names; empty tables."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def _path(spark: SparkSession, path: str):
@@ -58,3 +58,8 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
     if not fs.rename(draft, target):
         fs.delete(draft, False)
         raise FileExistsError(path)
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form that Spark knows to be empty and drops from joins and unions."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -1,45 +1,41 @@
-"""Rows as JSON text: lenient decode, encode, and keyed records with tombstones."""
+"""Rows as JSON text: lenient decode, encode, and keyed records with tombstones.
+
+Timestamps are ISO-8601 text, which is Spark's default: instants carry their offset, zone-less
+times none, and on reading the fraction and the offset may be missing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-ISO_8601 = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-# On reading, the fraction and the zone may be missing.
-ISO_8601_IN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]"
-
 _CORRUPT = "_corrupt"
 
 
-def encode_row(columns: list[str], timestamp_format: str = ISO_8601) -> Column:
+def encode_row(columns: list[str]) -> Column:
     """NULL fields are left out of the text; a reader gets NULL for a missing field."""
-    return F.to_json(F.struct(*columns), {
-        "timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format,
-    })
+    return F.to_json(F.struct(*columns))
 
 
 def decode_rows(df: DataFrame, text: str, schema: T.StructType, keep: list[str] | None = None,
-                required: bool = False, timestamp_format: str = ISO_8601_IN) -> DataFrame:
+                required: bool = False) -> DataFrame:
     """Parse JSON text into declared columns, next to the columns named in ``keep``.
 
     A missing field becomes NULL and a row that does not parse is skipped. With ``required``
     a row that does not parse fails the job instead.
+
+    The parsed row goes through ``inline``: a filter on it could otherwise be moved below the
+    projection that parses, and each row would be parsed twice.
     """
-    options = {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}
+    keep = keep or []
+    known = df.filter(F.col(text).isNotNull())
     if required:
-        parsed = F.from_json(text, schema, {**options, "mode": "FAILFAST"})
-        return df.select(*(keep or []), parsed.alias("_row")).select(*(keep or []), "_row.*")
+        parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
+        return known.select(*keep, F.inline(F.array(parsed)))
     # In permissive mode a bad row is a struct of NULLs, not a NULL struct, so ask for the
     # bad text itself and filter on it.
     marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(text, marked, {
-        **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
-    })
-    return (
-        df.select(*(keep or []), F.col(text).alias("_text"), parsed.alias("_row"))
-        .filter(F.col("_text").isNotNull() & F.col(f"_row.{_CORRUPT}").isNull())
-        .select(*(keep or []), *[F.col("_row")[name].alias(name) for name in schema.names])
-    )
+    parsed = F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return known.select(*keep, F.inline(F.array(parsed))).filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
 
 
 def key_partition(keys: list[str], partitions: int) -> Column:
@@ -61,13 +57,9 @@ def decode_keyed(records: DataFrame, key_schema: T.StructType, value_schema: T.S
                  keep: list[str] | None = None) -> DataFrame:
     """Back to changes: a record without value is a delete, any other an update by key."""
     keep = keep or []
-    row = F.from_json("value", value_schema, {
-        "timestampFormat": ISO_8601_IN, "timestampNTZFormat": ISO_8601_IN,
-    })
-    key = F.from_json("key", key_schema)
-    plain = [name for name in value_schema.names if name not in key_schema.names]
-    return records.select(
-        *keep,
-        F.when(F.col("value").isNull(), F.lit("-D")).otherwise(F.lit("+U")).alias("op"),
-        key.alias("_key"), row.alias("_row"),
-    ).select(*keep, "op", "_key.*", *[F.col("_row")[name].alias(name) for name in plain])
+    plain = T.StructType([f for f in value_schema.fields if f.name not in key_schema.names])
+    op = F.when(F.col("value").isNull(), F.lit("-D")).otherwise(F.lit("+U"))
+    return (
+        records.select(*keep, op.alias("op"), "value", F.inline(F.array(F.from_json("key", key_schema))))
+        .select(*keep, "op", *key_schema.names, F.inline(F.array(F.from_json("value", plain))))
+    )

@@ -8,37 +8,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# The names under which the kinds of change arrive.
+# The kinds of change, and the names under which they arrive.
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
 KIND_NAMES = {
-    "INSERT": INSERT, "UPDATE": AFTER, "DELETE": DELETE,
-    "c": INSERT, "r": INSERT, "u": AFTER, "d": DELETE,
-    INSERT: INSERT, AFTER: AFTER, DELETE: DELETE,
+    INSERT: ["INSERT", "c", "r", "+I"],
+    AFTER: ["UPDATE", "u", "+U"],
+    DELETE: ["DELETE", "d", "-D"],
 }
 
 
 def change_kind(column: str | Column) -> Column:
     """Any known name of a kind, as +I, +U or -D; NULL for an unknown one."""
     column = F.col(column) if isinstance(column, str) else column
-    kind = F.lit(None).cast("string")
-    for name, value in KIND_NAMES.items():
-        kind = F.when(column == name, value).otherwise(kind)
-    return kind
+    kinds = [F.when(column.isin(names), kind) for kind, names in KIND_NAMES.items()]
+    return F.coalesce(*kinds)
 
 
 def split_images(envelopes: DataFrame, keep: list[str], kind: str = "op") -> DataFrame:
     """One row per image: inserts give +I, updates give -U and +U, deletes give -D."""
-    op = change_kind(kind)
+    op = F.col("_kind")
+    before, after = F.col("before"), F.col("after")
     images = F.array(
-        F.struct(F.when(op == AFTER, BEFORE).when(op == DELETE, DELETE).alias("op"),
-                 F.col("before").alias("row")),
-        F.struct(F.when(op == AFTER, AFTER).when(op == INSERT, INSERT).alias("op"),
-                 F.col("after").alias("row")),
+        F.struct(F.when(op == AFTER, BEFORE).when(op == DELETE, DELETE).alias("op"), before.alias("row")),
+        F.struct(F.when(op != DELETE, op).alias("op"), after.alias("row")),
     )
-    real = F.filter(images, lambda image: image["op"].isNotNull() & image["row"].isNotNull())
     return (
-        envelopes.select(*keep, F.explode(real).alias("_image"))
-        .select(*keep, F.col("_image.op").alias("op"), "_image.row.*")
+        envelopes.select(*keep, change_kind(kind).alias("_kind"), "before", "after")
+        .select(*keep, F.inline(images))
+        .filter(F.col("op").isNotNull() & F.col("row").isNotNull())
+        .select(*keep, "op", "row.*")
     )
 
 

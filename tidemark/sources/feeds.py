@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..files import is_dir
-from ..functions.codecs import ISO_8601_IN, decode_keyed, decode_rows
+from ..functions.codecs import decode_keyed, decode_rows
 from ..operators.changes import split_images
 from ..operators.windows import with_event_time
 from ..schemas import columns, envelope_schema
@@ -96,7 +96,7 @@ def jdbc_snapshot(spark: SparkSession, url: str, table: str, key: str, chunk_row
 
 def json_rows(spark: SparkSession, path: str, schema: T.StructType, stream: bool = False) -> DataFrame:
     """Rows kept as JSON lines; lines that do not parse are skipped."""
-    options = {"timestampFormat": ISO_8601_IN, "mode": "DROPMALFORMED"}
+    options = {"mode": "DROPMALFORMED"}
     if stream:
         return file_stream(spark, path, schema, "json", **options)
     return spark.read.schema(schema).options(**options).json(path)

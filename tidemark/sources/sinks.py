@@ -7,21 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.codecs import ISO_8601, encode_keyed, key_partition
+from ..files import empty
+from ..functions.codecs import encode_keyed, key_partition
 from ..operators.changes import BEFORE, inserts_only, latest_per_key
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
 def write_json_rows(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).option("timestampFormat", ISO_8601).json(path)
+    df.write.mode(mode).json(path)
 
 
 def json_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
                 **trigger) -> StreamingQuery:
     """Append result rows to a folder as JSON; the file log makes each batch appear once."""
     writer = df.writeStream.format("json").outputMode("append").option("path", path) \
-        .option("checkpointLocation", checkpoint).option("timestampFormat", ISO_8601) \
+        .option("checkpointLocation", checkpoint) \
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
     return (writer.queryName(name) if name else writer).start()
 
@@ -116,7 +117,7 @@ def _column_list(schema: T.StructType) -> str:
 
 def clone_shape(df: DataFrame) -> DataFrame:
     """An empty table of the same shape."""
-    return df.sparkSession.createDataFrame([], df.schema)
+    return empty(df.sparkSession, df.schema)
 
 
 def copy_into(df: DataFrame, table: str) -> None:

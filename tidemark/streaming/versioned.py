@@ -140,7 +140,7 @@ class VersionedTable:
 
     def _read(self, folders: list[str]) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return files.empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
     def rows(self) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from ..files import empty
 from ..operators.changes import sign
 from ..operators.star import SUM_KEYS, add_up, fact_sums, view_of_sums
 from .keyed import KeyedTable
@@ -23,7 +24,7 @@ class MaintainedView:
                  to_fact: Callable[[DataFrame], DataFrame] = lambda df: df):
         """``to_fact`` maps rows, or images with their ``op``, to the fact columns."""
         self.to_fact = to_fact
-        shape = fact_sums(spark.createDataFrame([], fact)).schema
+        shape = fact_sums(empty(spark, fact)).schema
         self.sums = VersionedTable(spark, root, shape, lambda df: add_up(df, SUM_KEYS),
                                    ["ss_store_sk"], buckets)
 
