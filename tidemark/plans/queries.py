@@ -208,10 +208,13 @@ def _keyed_table(spark, home, buckets=8):
 
 @query
 def cdc_upsert_stream(spark, sf_dir):
-    """The feed as a stream into a keyed table."""
+    """The feed as a stream into a keyed table.
+
+    The table takes changes in any order, so a long feed may come in batches of bounded size.
+    """
     home = fresh_dir(spark, "cdc-upsert")
     keyed = _keyed_table(spark, f"{home}/table")
-    feed = D.line_changes(D.table_stream(spark, sf_dir, "lineitem"))
+    feed = D.line_changes(D.table_stream(spark, sf_dir, "lineitem", maxBytesPerTrigger=str(256 * 2**30)))
     jobs.for_each_batch(feed, jobs.table_writer(keyed), "cdc_upsert_stream", f"{home}/checkpoint",
                         availableNow=True).awaitTermination()
     return keyed.rows()

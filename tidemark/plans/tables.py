@@ -40,8 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return file_stream(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
+def table_stream(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
+    return file_stream(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name], **options)
 
 
 def sales_events(events: DataFrame) -> DataFrame:

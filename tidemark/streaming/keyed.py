@@ -20,7 +20,7 @@ class KeyedTable:
         self.keys, self.order, self.row = keys, order, row
         stored = T.StructType([T.StructField("op", T.StringType()), *row.fields])
         self.table = VersionedTable(
-            spark, root, stored, lambda df: latest_per_key(df, keys, order), keys, buckets)
+            spark, root, stored, lambda df, also: latest_per_key(df, [*also, *keys], order), keys, buckets)
 
     def stage(self, changes: DataFrame, batch_id: int) -> Staged | None:
         return self.table.stage(changes.filter(changes["op"] != BEFORE), batch_id)

@@ -42,11 +42,12 @@ class Staged:
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
-                 merge: Callable[[DataFrame], DataFrame], bucket_by: list[str],
+                 merge: Callable[[DataFrame, list[str]], DataFrame], bucket_by: list[str],
                  buckets: int = 16):
         """``merge`` combines rows of the same key; it must not mind in which order or how
-        often it is applied. ``bucket_by`` must be part of that key. Choose ``buckets`` so that
-        one bucket is a good file size (some hundred MB): a bucket is what compaction rewrites.
+        often it is applied. Its second argument are columns to carry along as part of the key.
+        ``bucket_by`` must be part of the key. Choose ``buckets`` so that one bucket is a good
+        file size (some hundred MB): a bucket is what compaction rewrites.
         """
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.merge, self.bucket_by, self.buckets = merge, bucket_by, buckets
@@ -75,7 +76,7 @@ class VersionedTable:
         touched = Observation()
         # At most `buckets` small numbers come back to the driver.
         (
-            self.merge(rows.select(*self.schema.names))
+            self.merge(rows.select(*self.schema.names), [])
             .withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets))
             .observe(touched, F.collect_set(_BUCKET).alias("buckets"))
             .write.parquet(folder)
@@ -118,15 +119,14 @@ class VersionedTable:
             return
         touched = sorted({b for buckets in manifest.batches.values() for b in buckets})
         folder = f"{self.root}/buckets/{manifest.version + 1:012d}-{uuid.uuid4().hex}"
-        merged = self.merge(self._read(
+        rows = self._read(
             [manifest.buckets[str(b)] for b in touched if str(b) in manifest.buckets]
             + list(manifest.batches)
-        ))
-        (
-            merged.withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets))
-            .repartition(min(len(touched), self.buckets), _BUCKET)
-            .write.partitionBy(_BUCKET).parquet(folder)
-        )
+        ).withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets))
+        # Rows of a key share a bucket, so one shuffle by bucket serves both the merge, which
+        # then groups by bucket and key, and the layout of the files.
+        merged = self.merge(rows.repartition(len(touched), _BUCKET), [_BUCKET])
+        merged.write.partitionBy(_BUCKET).parquet(folder)
         written = {n.partition("=")[2] for n in files.names(self.spark, folder) if "=" in n}
         for bucket in map(str, touched):
             manifest.buckets.pop(bucket, None)
@@ -151,7 +151,7 @@ class VersionedTable:
         moving = [f for b, f in manifest.buckets.items() if b in touched]
         if not manifest.batches:
             return self._read(still)
-        merged = self.merge(self._read(moving + list(manifest.batches)))
+        merged = self.merge(self._read(moving + list(manifest.batches)), [])
         return merged.unionByName(self._read(still)) if still else merged
 
     def unmerged(self, buckets: list[int]) -> DataFrame:

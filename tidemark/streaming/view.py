@@ -25,7 +25,7 @@ class MaintainedView:
         """``to_fact`` maps rows, or images with their ``op``, to the fact columns."""
         self.to_fact = to_fact
         shape = fact_sums(empty(spark, fact)).schema
-        self.sums = VersionedTable(spark, root, shape, lambda df: add_up(df, SUM_KEYS),
+        self.sums = VersionedTable(spark, root, shape, lambda df, also: add_up(df, [*also, *SUM_KEYS]),
                                    ["ss_store_sk"], buckets)
 
     def apply(self, images: DataFrame, batch_id: int) -> bool:
