@@ -40,9 +40,14 @@ def split_images(envelopes: DataFrame, keep: list[str], kind: str = "op") -> Dat
     )
 
 
+def taken_out() -> Column:
+    """Whether an image is of a row that goes away."""
+    return F.col("op").isin(BEFORE, DELETE)
+
+
 def sign() -> Column:
     """+1 for a row that appears, -1 for one that goes away."""
-    return F.when(F.col("op").isin(INSERT, AFTER), 1).otherwise(-1)
+    return F.when(taken_out(), -1).otherwise(1)
 
 
 def running_count(changes: DataFrame) -> DataFrame:

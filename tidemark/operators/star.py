@@ -25,22 +25,23 @@ def star_join(fact: DataFrame, date_dim: DataFrame, store: DataFrame) -> DataFra
     )
 
 
-def fact_sums(fact: DataFrame, sign: Column | None = None) -> DataFrame:
-    """Signed sums per store and date key.
+def fact_sums(fact: DataFrame, taken_out: Column | None = None) -> DataFrame:
+    """Sums per store and date key; rows where ``taken_out`` holds count negatively.
 
     Next to each sum goes the count of known values, which tells a sum of nothing (NULL) from
     a sum that came out as zero. Sums of this kind add up: the sums of a table plus those of its
     changes are the sums of the changed table.
     """
-    sign = F.lit(1) if sign is None else sign
-    sums = [F.sum(sign).cast("bigint").alias("n_rows")]
+    def signed(value: Column) -> Column:
+        # Negation keeps the type; multiplying by a sign would widen decimals.
+        return value if taken_out is None else F.when(taken_out, -value).otherwise(value)
+
+    one = signed(F.lit(1))
+    sums = [F.sum(one).alias("n_rows")]
     for measure, column in MEASURES.items():
-        sums += [
-            F.sum(F.col(column) * sign).alias(measure),
-            F.sum(F.when(F.col(column).isNotNull(), sign).otherwise(0)).alias(f"known_{measure}"),
-        ]
-    sums.append(F.sum(F.when(F.col(COUNTED).isNotNull(), sign).otherwise(0))
-                .alias("transaction_count"))
+        sums += [F.sum(signed(F.col(column))).alias(measure),
+                 F.sum(F.when(F.col(column).isNotNull(), one).otherwise(0)).alias(f"known_{measure}")]
+    sums.append(F.sum(F.when(F.col(COUNTED).isNotNull(), one).otherwise(0)).alias("transaction_count"))
     known_keys = F.col("ss_store_sk").isNotNull() & F.col("ss_sold_date_sk").isNotNull()
     return fact.filter(known_keys).groupBy(*SUM_KEYS).agg(*sums)
 

@@ -27,6 +27,14 @@ def _sales_metrics(bucket: str, length: str, closed: str = "") -> str:
     FROM b GROUP BY w, store_sk {closed}"""
 
 
+def _return_metrics() -> str:
+    return f"""WITH {_RETURNS}
+      SELECT {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, store_sk::BIGINT AS store_sk,
+        count(*) AS total_returns, sum(price)::DOUBLE AS total_return_amount,
+        sum(price * 0.25::DECIMAL(3,2))::DOUBLE AS total_loss, count(*)::DOUBLE / 100 AS pseudo_return_rate
+      FROM returns GROUP BY ALL"""
+
+
 def _alerts(closed: str = "") -> str:
     return f"""WITH {_RETURNS}, g AS (
       SELECT {_DAY} AS w, store_sk, count(*) AS n FROM returns GROUP BY 1, 2 {closed}),
@@ -103,6 +111,30 @@ _STORE_SALES = """sales_rows AS (SELECT *, l_orderkey * 10 + l_linenumber AS sou
 
 _OP_TS = "CASE WHEN l_linestatus = 'O' THEN TIMESTAMP '1970-01-01' ELSE l_shipdate END"
 
+_TENTH = "(l_extendedprice::DECIMAL(12,2) * 0.10::DECIMAL(3,2))::DECIMAL(7,2)"
+
+
+def _shares(**shares: str) -> str:
+    return ", ".join(f"(({_TENTH}) * {share}::DECIMAL(3,2))::DECIMAL(7,2)::DOUBLE AS {name}" for name, share in shares.items())
+
+
+_SALES_SHARES = _shares(
+    ss_wholesale_cost="0.50", ss_list_price="1.00", ss_sales_price="0.90", ss_ext_discount_amt="0.10",
+    ss_ext_sales_price="0.95", ss_ext_wholesale_cost="0.55", ss_ext_list_price="1.05", ss_ext_tax="0.08",
+    ss_coupon_amt="0.01", ss_net_paid="0.94", ss_net_paid_inc_tax="1.02", ss_net_profit="0.39")
+_RETURN_SHARES = _shares(
+    sr_return_amt="0.90", sr_return_tax="0.07", sr_return_amt_inc_tax="0.97", sr_fee="0.01", sr_return_ship_cost="0.02",
+    sr_refunded_cash="0.50", sr_reversed_charge="0.30", sr_store_credit="0.17", sr_net_loss="0.93")
+_SCAN = """l_orderkey * 10 + l_linenumber AS {id}, strftime(l_shipdate, '%Y%m%d')::BIGINT AS {date},
+  (l_quantity * 60)::BIGINT AS {time}, l_partkey AS {p}_item_sk, l_orderkey AS {p}_customer_sk,
+  l_linenumber::BIGINT AS {p}_cdemo_sk, l_linenumber::BIGINT + 1 AS {p}_hdemo_sk, l_suppkey AS {p}_addr_sk,
+  l_suppkey AS {p}_store_sk, l_linenumber::BIGINT * 2 AS {p}_{extra}_sk, l_orderkey AS {p}_ticket_number,
+  l_quantity::BIGINT AS {quantity}, l_shipdate AS created_at, l_shipdate AS updated_at"""
+_SCAN_META = "l_orderkey * 10 + l_linenumber AS seq, l_shipdate AS op_ts, 'business_db' AS db_name"
+_SALES_SCAN = _SCAN.format(id="id", date="ss_sold_date_sk", time="ss_sold_time_sk", p="ss", extra="promo", quantity="ss_quantity")
+_RETURN_SCAN = _SCAN.format(id="id", date="sr_returned_date_sk", time="sr_return_time_sk", p="sr", extra="reason",
+                            quantity="sr_return_quantity")
+
 _MONEY_IN = """m AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_shipdate, l_partkey,
     {q} AS quantity, l_extendedprice::DECIMAL(12,2) AS list_price,
     (l_extendedprice::DECIMAL(12,2) * 0.60::DECIMAL(3,2))::DECIMAL(12,2) AS wholesale,
@@ -133,11 +165,7 @@ ORACLE: dict[str, str] = {
     "sales_metrics_tumbling": _sales_metrics(_DAY, "1 DAY"),
     "sales_metrics_by_minute": _sales_metrics(_MINUTE, "1 MINUTE"),
     "sales_metrics_stream": _sales_metrics(_DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}"),
-    "return_metrics_tumbling": f"""WITH {_RETURNS}
-      SELECT {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, store_sk::BIGINT AS store_sk,
-        count(*) AS total_returns, sum(price)::DOUBLE AS total_return_amount,
-        sum(price * 0.25::DECIMAL(3,2))::DOUBLE AS total_loss, count(*)::DOUBLE / 100 AS pseudo_return_rate
-      FROM returns GROUP BY ALL""",
+    "return_metrics_tumbling": _return_metrics(),
     "return_alerts": _alerts(),
     "return_alerts_stream": _alerts(f"HAVING {_DAY} + INTERVAL 1 DAY <= {_RETURNS_SEEN}"),
     "item_trends_hopping": _trends(),
@@ -155,6 +183,10 @@ ORACLE: dict[str, str] = {
         coalesce(r.n, 0) AS total_returns,
         CASE WHEN s.n > 0 THEN coalesce(r.n, 0)::DOUBLE / s.n END AS return_rate
       FROM s FULL JOIN r ON s.w = r.w AND s.store_sk = r.store_sk""",
+    # JSON rows keep milliseconds, so the first item is left out: events may tie.
+    "json_sales_stream": f"SELECT * EXCLUDE (first_item_sk) FROM ({_sales_metrics(_DAY, '1 DAY', f'HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}')})",
+    "json_returns_stream": f"""SELECT * FROM ({_return_metrics()}) WHERE window_end <=
+      (SELECT max(ts) - INTERVAL 5 SECOND FROM events WHERE event_type = 'error')""",
     "projection_stream": f"""SELECT {_OP} AS op_type, l_shipdate AS op_time, l_orderkey,
       l_linenumber::BIGINT AS l_linenumber, l_quantity AS quantity, l_extendedprice AS ext_sales_price FROM lineitem""",
 
@@ -167,6 +199,10 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT '-U', l_orderkey, l_linenumber, l_quantity - 1, l_extendedprice, l_shipdate FROM l WHERE kind = '+U')
       SELECT epoch(l_shipdate)::BIGINT AS seq, l_shipdate AS op_ts, 'business' AS db_name, 'lineitem' AS table_name,
         op, l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity, l_extendedprice FROM i""",
+    "sales_change_scan": f"""SELECT {_SCAN_META}, 'store_sales' AS table_name, {_OP} AS op, {_SALES_SCAN}, {_SALES_SHARES}
+      FROM lineitem""",
+    "returns_change_scan": f"""SELECT {_SCAN_META}, 'store_returns' AS table_name, '+I' AS op, {_RETURN_SCAN}, {_RETURN_SHARES}
+      FROM lineitem WHERE l_returnflag = 'R'""",
     "envelope_signed_sums": f"""WITH l AS (SELECT *, {_OP} AS kind FROM lineitem), i AS (
         SELECT kind AS op, l_quantity FROM l UNION ALL SELECT '-U', l_quantity - 1 FROM l WHERE kind = '+U')
       SELECT op, sum(CASE WHEN op[1] = '+' THEN 1 ELSE -1 END)::BIGINT AS row_balance,
@@ -203,6 +239,10 @@ ORACLE: dict[str, str] = {
       FROM lineitem JOIN days ON l_shipdate::DATE = d_date JOIN store ON l_suppkey = s_store_sk""",
     "daily_store_view": f"WITH {_DIMS} {_view('lineitem')}",
     "daily_store_view_ivm": _CURRENT_VIEW,
+    "daily_store_view_stream": _CURRENT_VIEW,
+    "star_join_stream": f"""WITH {_DIMS} SELECT s_store_sk AS ss_store_sk, s_state, d_date::VARCHAR AS d_date,
+      l_orderkey AS ss_ticket_number, l_quantity::BIGINT AS ss_quantity
+      FROM lineitem JOIN days ON l_shipdate::DATE = d_date JOIN store ON l_suppkey = s_store_sk""",
     "view_from_row_images": _CURRENT_VIEW,
     "view_rebuild": _CURRENT_VIEW,
 
@@ -239,6 +279,16 @@ ORACLE: dict[str, str] = {
       l_orderkey AS ss_ticket_number, l_quantity::BIGINT AS ss_quantity,
       l_extendedprice::DECIMAL(12,2)::DOUBLE AS ss_ext_sales_price, l_shipdate AS sync_timestamp FROM sales_rows
       ORDER BY l_shipdate DESC, source_id DESC, l_partkey DESC, l_quantity DESC, l_extendedprice DESC LIMIT 5""",
+    "returns_profile": f"""WITH r AS (SELECT {_RETURN_SCAN}, {_TENTH} AS tenth FROM lineitem WHERE l_returnflag = 'R')
+      SELECT count(*) AS row_count, min(created_at) + INTERVAL 1 DAY AS first_sync, max(created_at) + INTERVAL 1 DAY AS last_sync,
+      count(DISTINCT sr_item_sk) AS distinct_items, sum((tenth * 0.90::DECIMAL(3,2))::DECIMAL(7,2))::DOUBLE AS total_amount,
+      min(id) AS min_key, max(id) AS max_key FROM r""",
+    "recent_returns": f"""SELECT id AS source_id, sr_item_sk, sr_ticket_number, sr_return_quantity, sr_return_amt,
+      created_at + INTERVAL 1 DAY AS sync_timestamp
+      FROM (SELECT {_RETURN_SCAN}, {_RETURN_SHARES} FROM lineitem WHERE l_returnflag = 'R')
+      ORDER BY created_at DESC, id DESC, sr_item_sk DESC, sr_return_quantity DESC, sr_return_amt DESC LIMIT 5""",
+    "load_stamps": """SELECT count(*) AS stamped_rows, 1::BIGINT AS stamps, TRUE AS not_ahead FROM lineitem
+      WHERE l_returnflag = 'R'""",
     "newest_row": "SELECT event_id, ts, event_type FROM events ORDER BY event_id DESC LIMIT 1",
     "key_uniqueness": f"""WITH {_state()}, c AS (
         SELECT 'feed' AS table_name, count(*) AS row_count, count(DISTINCT l_orderkey * 10 + l_linenumber) AS unique_keys FROM lineitem

@@ -12,7 +12,7 @@ from ..functions.codecs import decode_rows, encode_row
 from ..functions.temporal import (compact_date_key, date_of_compact_key, date_of_julian_key, hours_between,
                                   julian_date_key, julian_key_of, second_of_day, to_zone)
 from ..operators import changes as C, quality as Q, ranking as R, shapes, star, windows as X
-from ..schemas import columns
+from ..schemas import STORE_RETURNS, STORE_SALES, columns
 from ..session import DEFAULTS, fresh_dir
 from ..sources import feeds, sinks
 from ..streaming import jobs
@@ -124,6 +124,31 @@ def projection_stream(spark, sf_dir):
     return _stream_to_table(feed, "projection_stream")
 
 
+def _json_stream(events: DataFrame, name: str, operator) -> DataFrame:
+    """Events as JSON records in a folder, streamed from there through an operator to JSON rows."""
+    spark = events.sparkSession
+    home = fresh_dir(spark, name)
+    instants = events.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    instants.select(encode_row(instants.columns).alias("value")).write.text(f"{home}/in")
+    records = feeds.file_stream(spark, f"{home}/in", columns("value:string"), "text")
+    result = operator(feeds.event_stream(records, instants.schema))
+    sinks.json_stream(result, f"{home}/out", f"{home}/checkpoint", name, availableNow=True).awaitTermination()
+    return feeds.json_rows(spark, f"{home}/out", result.schema)
+
+
+@query
+def json_sales_stream(spark, sf_dir):
+    sales = D.sales_events(D.table(spark, sf_dir, "events"))
+    return _json_stream(sales, "json_sales_stream", lambda df: X.sales_metrics(df, size="1 day")) \
+        .drop("first_item_sk")
+
+
+@query
+def json_returns_stream(spark, sf_dir):
+    returns = D.return_events(D.table(spark, sf_dir, "events"))
+    return _json_stream(returns, "json_returns_stream", lambda df: X.return_metrics(df, size="1 day"))
+
+
 # -- JSON feeds ----------------------------------------------------------------------------
 
 @query
@@ -170,6 +195,25 @@ def envelope_changes(spark, sf_dir):
     return feeds.change_feed(_envelopes(_lines(spark, sf_dir)), _ENVELOPE_ROW)
 
 
+def _change_scan(changes: DataFrame, table_name: str, row: T.StructType) -> DataFrame:
+    """Write changes as JSON envelopes to a folder, then scan that as a feed of full rows."""
+    spark, path = changes.sparkSession, fresh_dir(changes.sparkSession, f"{table_name}-feed")
+    D.as_envelopes(changes, table_name).write.text(path)
+    return feeds.change_feed(spark.read.schema("value string").text(path), row)
+
+
+@query
+def sales_change_scan(spark, sf_dir):
+    """Full-width change feed of sales, with its metadata columns."""
+    return _change_scan(D.wide_sales(_lines(spark, sf_dir)), "store_sales", STORE_SALES)
+
+
+@query
+def returns_change_scan(spark, sf_dir):
+    """Full-width change feed of returns."""
+    return _change_scan(D.wide_returns(_lines(spark, sf_dir)), "store_returns", STORE_RETURNS)
+
+
 @query
 def envelope_signed_sums(spark, sf_dir):
     """What the images add to and take from each table column."""
@@ -381,6 +425,26 @@ def daily_store_view_ivm(spark, sf_dir):
     return view.rows(*_dims(spark, sf_dir))
 
 
+@query
+def daily_store_view_stream(spark, sf_dir):
+    """The feed as a stream that keeps both the table and the view over it."""
+    home = fresh_dir(spark, "view-stream")
+    keyed, view = _keyed_table(spark, f"{home}/table"), _fact_view(spark, f"{home}/view")
+    feed = D.line_changes(D.table_stream(spark, sf_dir, "lineitem", maxBytesPerTrigger=str(256 * 2**30)))
+    jobs.for_each_batch(feed, jobs.view_writer(keyed, view), "daily_store_view_stream", f"{home}/checkpoint",
+                        availableNow=True).awaitTermination()
+    return view.rows(*_dims(spark, sf_dir))
+
+
+@query
+def star_join_stream(spark, sf_dir):
+    """A stream of facts joined with the dimensions as they are."""
+    facts = D.fact(D.table_stream(spark, sf_dir, "lineitem"))
+    joined = star.star_join(facts, *_dims(spark, sf_dir)).select(
+        "ss_store_sk", "s_state", "d_date", "ss_ticket_number", "ss_quantity")
+    return _stream_to_table(joined, "star_join_stream")
+
+
 @query
 def view_from_row_images(spark, sf_dir):
     """The view kept up by changes with both images, no look-up in the fact table."""
@@ -504,6 +568,34 @@ def sync_profile(spark, sf_dir):
                      "sync_timestamp")
 
 
+def _warehouse_returns(spark, sf_dir):
+    """Returns in the warehouse shape, as if each had been loaded a day after its last update."""
+    returned = D.wide_returns(_lines(spark, sf_dir)).drop("op")
+    loaded = date_of_compact_key(F.col("sr_returned_date_sk")).cast("timestamp") + F.expr("interval 1 day")
+    return shapes.to_warehouse(returned, loaded)
+
+
+@query
+def returns_profile(spark, sf_dir):
+    return Q.profile(_warehouse_returns(spark, sf_dir), "source_id", "sr_item_sk", "sr_return_amt", "sync_timestamp")
+
+
+@query
+def recent_returns(spark, sf_dir):
+    returns = _warehouse_returns(spark, sf_dir).select(
+        "source_id", "sr_item_sk", "sr_ticket_number", "sr_return_quantity", "sr_return_amt", "sync_timestamp")
+    return R.newest(returns, ["sync_timestamp", "source_id", "sr_item_sk", "sr_return_quantity", "sr_return_amt"], 5)
+
+
+@query
+def load_stamps(spark, sf_dir):
+    """Without a given load time, all rows of a load carry the same current one."""
+    loaded = shapes.to_warehouse(D.wide_returns(_lines(spark, sf_dir)).drop("op"))
+    return loaded.agg(F.count("sync_timestamp").alias("stamped_rows"),
+                      F.count_distinct("sync_timestamp").alias("stamps"),
+                      (F.max("sync_timestamp") <= F.current_timestamp()).alias("not_ahead"))
+
+
 @query
 def recent_rows(spark, sf_dir):
     sales = D.warehouse_sales(_lines(spark, sf_dir))

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.temporal import julian_date_key
-from ..schemas import columns
+from ..functions.temporal import compact_date_key, julian_date_key
+from ..schemas import STORE_RETURNS, STORE_SALES, columns
 from ..sources.feeds import file_stream
 
 SCHEMAS = {
@@ -123,6 +123,60 @@ def warehouse_sales(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _share(amount, share: str):
+    return (amount * F.lit(share).cast("decimal(3,2)")).cast("decimal(7,2)")
+
+
+def wide_sales(lineitem: DataFrame) -> DataFrame:
+    """Lines with all 26 columns of the sales source; amounts are a tenth, to fit its types."""
+    amount = _share(F.col("l_extendedprice").cast("decimal(12,2)"), "0.10")
+    shares = {
+        "ss_wholesale_cost": "0.50", "ss_list_price": "1.00", "ss_sales_price": "0.90", "ss_ext_discount_amt": "0.10",
+        "ss_ext_sales_price": "0.95", "ss_ext_wholesale_cost": "0.55", "ss_ext_list_price": "1.05", "ss_ext_tax": "0.08",
+        "ss_coupon_amt": "0.01", "ss_net_paid": "0.94", "ss_net_paid_inc_tax": "1.02", "ss_net_profit": "0.39",
+    }
+    shipped = F.col("l_shipdate").cast("timestamp")
+    plain = {
+        "id": F.col("l_orderkey") * 10 + F.col("l_linenumber"), "ss_sold_date_sk": compact_date_key(F.col("l_shipdate")),
+        "ss_sold_time_sk": F.col("l_quantity") * 60, "ss_item_sk": F.col("l_partkey"), "ss_customer_sk": F.col("l_orderkey"),
+        "ss_cdemo_sk": F.col("l_linenumber"), "ss_hdemo_sk": F.col("l_linenumber") + 1, "ss_addr_sk": F.col("l_suppkey"),
+        "ss_store_sk": F.col("l_suppkey"), "ss_promo_sk": F.col("l_linenumber") * 2, "ss_ticket_number": F.col("l_orderkey"),
+        "ss_quantity": F.col("l_quantity"), "created_at": shipped, "updated_at": shipped,
+        **{name: _share(amount, share) for name, share in shares.items()},
+    }
+    return lineitem.select(line_op().alias("op"), *[plain[f.name].cast(f.dataType).alias(f.name) for f in STORE_SALES])
+
+
+def wide_returns(lineitem: DataFrame) -> DataFrame:
+    """Returned lines with all 23 columns of the returns source."""
+    amount = _share(F.col("l_extendedprice").cast("decimal(12,2)"), "0.10")
+    shares = {
+        "sr_return_amt": "0.90", "sr_return_tax": "0.07", "sr_return_amt_inc_tax": "0.97", "sr_fee": "0.01",
+        "sr_return_ship_cost": "0.02", "sr_refunded_cash": "0.50", "sr_reversed_charge": "0.30", "sr_store_credit": "0.17",
+        "sr_net_loss": "0.93",
+    }
+    shipped = F.col("l_shipdate").cast("timestamp")
+    plain = {
+        "id": F.col("l_orderkey") * 10 + F.col("l_linenumber"), "sr_returned_date_sk": compact_date_key(F.col("l_shipdate")),
+        "sr_return_time_sk": F.col("l_quantity") * 60, "sr_item_sk": F.col("l_partkey"), "sr_customer_sk": F.col("l_orderkey"),
+        "sr_cdemo_sk": F.col("l_linenumber"), "sr_hdemo_sk": F.col("l_linenumber") + 1, "sr_addr_sk": F.col("l_suppkey"),
+        "sr_store_sk": F.col("l_suppkey"), "sr_reason_sk": F.col("l_linenumber") * 2, "sr_ticket_number": F.col("l_orderkey"),
+        "sr_return_quantity": F.col("l_quantity"), "created_at": shipped, "updated_at": shipped,
+        **{name: _share(amount, share) for name, share in shares.items()},
+    }
+    returned = lineitem.filter(F.col("l_returnflag") == "R")
+    return returned.select(F.lit("+I").alias("op"), *[plain[f.name].cast(f.dataType).alias(f.name) for f in STORE_RETURNS])
+
+
+def as_envelopes(changes: DataFrame, table_name: str) -> DataFrame:
+    """Changes as JSON envelopes that carry the one image they have."""
+    row = F.struct(*[c for c in changes.columns if c != "op"])
+    return changes.select(F.to_json(F.struct(
+        "op", F.col("id").alias("seq"), F.col("updated_at").alias("op_ts"), F.lit("business_db").alias("db_name"),
+        F.lit(table_name).alias("table_name"), F.when(F.col("op") == "-D", row).alias("before"),
+        F.when(F.col("op") != "-D", row).alias("after"))).alias("value"))
+
+
 def presentable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, instants as zone-less times, dates as text, all integers long."""
     def shown(field: T.StructField):

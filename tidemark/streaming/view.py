@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..files import empty
-from ..operators.changes import sign
+from ..operators.changes import taken_out
 from ..operators.star import SUM_KEYS, add_up, fact_sums, view_of_sums
 from .keyed import KeyedTable
 from .versioned import VersionedTable
@@ -34,7 +34,7 @@ class MaintainedView:
         Several changes of one row need no ordering: each image that an earlier change puts in
         and a later one takes out cancels in the sum.
         """
-        return self.sums.apply(self._typed(fact_sums(self.to_fact(images), sign())), batch_id)
+        return self.sums.apply(self._typed(fact_sums(self.to_fact(images), taken_out())), batch_id)
 
     def rebuild(self, fact: DataFrame, batch_id: int) -> bool:
         """Compute the sums anew from the whole fact table."""
