@@ -67,8 +67,11 @@ class VersionedTable:
 
     # -- writing -------------------------------------------------------------------------
 
-    def stage(self, rows: DataFrame, batch_id: int) -> Staged | None:
-        """Write a batch without making it count. None when it counts already."""
+    def stage(self, rows: DataFrame, batch_id: int, merged: bool = False) -> Staged | None:
+        """Write a batch without making it count. None when it counts already.
+
+        ``merged`` says that no two rows share a key, which saves merging the batch.
+        """
         last = self.manifest().last_batch
         if last is not None and batch_id <= last:
             return None
@@ -76,7 +79,7 @@ class VersionedTable:
         touched = Observation()
         # At most `buckets` small numbers come back to the driver.
         (
-            self.merge(rows.select(*self.schema.names), [])
+            (rows if merged else self.merge(rows, [])).select(*self.schema.names)
             .withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets))
             .observe(touched, F.collect_set(_BUCKET).alias("buckets"))
             .write.parquet(folder)
@@ -94,17 +97,17 @@ class VersionedTable:
         manifest.last_batch = staged.batch_id
         self._publish(manifest)
 
-    def apply(self, rows: DataFrame, batch_id: int) -> bool:
+    def apply(self, rows: DataFrame, batch_id: int, merged: bool = False) -> bool:
         """Take a batch in; False when it was taken in before."""
-        staged = self.stage(rows, batch_id)
+        staged = self.stage(rows, batch_id, merged)
         if staged is None:
             return False
         self.commit(staged)
         return True
 
-    def replace(self, rows: DataFrame, batch_id: int) -> bool:
+    def replace(self, rows: DataFrame, batch_id: int, merged: bool = False) -> bool:
         """Make a batch the whole table; False when it was taken in before."""
-        staged = self.stage(rows, batch_id)
+        staged = self.stage(rows, batch_id, merged)
         if staged is None:
             return False
         manifest = self.manifest()

@@ -34,11 +34,11 @@ class MaintainedView:
         Several changes of one row need no ordering: each image that an earlier change puts in
         and a later one takes out cancels in the sum.
         """
-        return self.sums.apply(self._typed(fact_sums(self.to_fact(images), taken_out())), batch_id)
+        return self.sums.apply(self._typed(fact_sums(self.to_fact(images), taken_out())), batch_id, merged=True)
 
     def rebuild(self, fact: DataFrame, batch_id: int) -> bool:
         """Compute the sums anew from the whole fact table."""
-        return self.sums.replace(self._typed(fact_sums(self.to_fact(fact))), batch_id)
+        return self.sums.replace(self._typed(fact_sums(self.to_fact(fact))), batch_id, merged=True)
 
     def _typed(self, sums: DataFrame) -> DataFrame:
         return sums.select(*[sums[f.name].cast(f.dataType) for f in self.sums.schema.fields])
