@@ -7,14 +7,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import changes as C, windows as X
+from tidemark.operators import changes as C, shapes, windows as X
 from tidemark.schemas import RETURN_EVENT, SALES_EVENT, columns
 from tidemark.sources import feeds, sinks
 from tidemark.streaming import jobs
 from tidemark.streaming.keyed import KeyedTable
 
 START = dt.datetime(2024, 1, 1, 10)
-RECORD = "value"
 
 
 def sale(i, second, store=1, item=1, price=10.0):
@@ -35,12 +34,6 @@ def text_stream(spark, folder):
     return feeds.file_stream(spark, folder, columns("value:string"), "text", maxFilesPerTrigger="1")
 
 
-def metrics(events):
-    named = events.withColumnsRenamed({"ss_store_sk": "store_sk", "ss_item_sk": "item_sk",
-                                       "ss_ext_sales_price": "ext_sales_price", "ss_net_profit": "net_profit"})
-    return named
-
-
 def run(df, home, name):
     jobs.append_to_parquet(df, f"{home}/out", name, f"{home}/ck", availableNow=True).awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{home}/out")
@@ -66,8 +59,8 @@ def feed_folder(home):
 def test_stream_equals_batch(spark, feed_folder, home, shape):
     operator = {"tumbling": X.sales_metrics, "hopping": X.item_trends,
                 "top": lambda df: X.sales_metrics(df, "5 minutes")}[shape]
-    streamed = run(operator(metrics(feeds.event_stream(text_stream(spark, feed_folder), SALES_EVENT))), home, f"eq_{shape}")
-    batch = operator(metrics(feeds.event_stream(spark.read.text(feed_folder), SALES_EVENT)))
+    streamed = run(operator(shapes.as_sales(feeds.event_stream(text_stream(spark, feed_folder), SALES_EVENT))), home, f"eq_{shape}")
+    batch = operator(shapes.as_sales(feeds.event_stream(spark.read.text(feed_folder), SALES_EVENT)))
     closed = batch.filter(F.col("window_start") < F.lit("2024-01-02").cast("timestamp"))
     assert rows(streamed) == rows(closed) and streamed.count() > 3
 
@@ -79,13 +72,13 @@ def test_windows_are_half_open_and_late_rows_are_dropped(spark, home):
     put(f"{home}/in", 3, [sale(7, 67)])               # watermark 61 s: this batch emits window [0, 60)
     put(f"{home}/in", 4, [sale(8, 10)])               # its window is out already: dropped
     put(f"{home}/in", 5, [sale(9, 10_000)])
-    out = run(X.sales_metrics(metrics(feeds.event_stream(text_stream(spark, f"{home}/in"), SALES_EVENT))), home, "late")
+    out = run(X.sales_metrics(shapes.as_sales(feeds.event_stream(text_stream(spark, f"{home}/in"), SALES_EVENT))), home, "late")
     assert sorted((r.window_start.minute, r.total_sales, r.first_item_sk) for r in out.collect()) == [(0, 3, 1), (1, 4, 1)]
 
 
 def test_restart_goes_on_where_it_stopped(spark, home):
     def again():
-        events = metrics(feeds.event_stream(text_stream(spark, f"{home}/in"), SALES_EVENT))
+        events = shapes.as_sales(feeds.event_stream(text_stream(spark, f"{home}/in"), SALES_EVENT))
         return run(X.sales_metrics(events), home, "restart")
     put(f"{home}/in", 0, [sale(1, 0), sale(2, 70)])
     assert [r.total_sales for r in again().collect()] == [1]
@@ -101,8 +94,7 @@ def test_alerts_hold_counts_above_ten(spark, home):
                                      "created_at": (START + dt.timedelta(seconds=second)).isoformat()}
     put(f"{home}/in", 0, [back(i, i, 7) for i in range(11)] + [back(i, i, 8) for i in range(10)])
     put(f"{home}/in", 1, [back(99, 10_000, 9)])
-    events = feeds.event_stream(text_stream(spark, f"{home}/in"), RETURN_EVENT).withColumnsRenamed(
-        {"sr_store_sk": "store_sk", "sr_return_amt": "return_amt", "sr_net_loss": "net_loss"})
+    events = shapes.as_returns(feeds.event_stream(text_stream(spark, f"{home}/in"), RETURN_EVENT))
     alert, = run(X.return_alerts(events), home, "alerts").collect()
     assert alert.message == "商店 7 退货率异常：22.00000000%" and str(alert.value) == "22.00"
     assert alert.alert_time == START + dt.timedelta(minutes=5) and alert.alert_type == "HIGH_RETURN_RATE"

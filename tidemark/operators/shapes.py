@@ -11,6 +11,21 @@ from ..schemas import AUDIT_COLUMNS, SOURCE_KEY, SYNC_COLUMN, TARGET_KEY
 EVENT_SOURCE = "CDC-TO-KAFKA-TIMESTAMP-FIXED"
 
 
+# The names under which the window operators take the columns of the event topics.
+SALES_NAMES = {"ss_store_sk": "store_sk", "ss_item_sk": "item_sk", "ss_ext_sales_price": "ext_sales_price",
+               "ss_net_profit": "net_profit"}
+RETURN_NAMES = {"sr_store_sk": "store_sk", "sr_item_sk": "item_sk", "sr_return_amt": "return_amt",
+                "sr_net_loss": "net_loss"}
+
+
+def as_sales(events: DataFrame) -> DataFrame:
+    return events.withColumnsRenamed(SALES_NAMES)
+
+
+def as_returns(events: DataFrame) -> DataFrame:
+    return events.withColumnsRenamed(RETURN_NAMES)
+
+
 def to_warehouse(df: DataFrame, loaded_at: Column | None = None, keyed: bool = True) -> DataFrame:
     """Audit columns out, load stamp in; the key is renamed, or dropped for unkeyed targets."""
     stamp = F.current_timestamp() if loaded_at is None else loaded_at

@@ -383,7 +383,8 @@ def fanout_reconcile(spark, sf_dir):
         D.line_changes(D.table_stream(spark, sf_dir, "lineitem")),
         {"topic": sinks.topic_writer(f"{home}/topic", D.LINE_KEY, values, D.LINE_ORDER),
          "table": jobs.table_writer(keyed)},
-        "fanout_reconcile", f"{home}/checkpoint", availableNow=True,
+        "fanout_reconcile", f"{home}/checkpoint",
+        prepare=lambda batch: C.latest_per_key(batch, D.LINE_KEY, D.LINE_ORDER), availableNow=True,
     ).awaitTermination()
     key = T.StructType(D.LINE_ROW.fields[:2])
     topic = C.materialize(feeds.keyed_changes(feeds.topic_records(spark, f"{home}/topic"), key, D.LINE_ROW),

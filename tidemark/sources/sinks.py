@@ -78,12 +78,13 @@ def jdbc_writer(url: str, table: str, batch_rows: int = 1000, connections: int =
                 others: str = "refuse", **extra: str) -> BatchWriter:
     """Append to a database table over a bounded number of connections.
 
-    ``coalesce`` bounds the connections without a shuffle; failed tasks are retried by Spark
+    Spread over that many tasks with a shuffle: merely merging partitions would also run the
+    reading and decoding before it in so few tasks. Failed tasks are retried by Spark
     (``spark.task.maxFailures``).
     """
     def write(changes: DataFrame, batch_id: int) -> None:
         (
-            inserts_only(changes, others).drop("op").coalesce(connections)
+            inserts_only(changes, others).drop("op").repartition(connections)
             .write.format("jdbc").options(**jdbc_write_options(url, table, batch_rows, **extra))
             .mode("append").save()
         )

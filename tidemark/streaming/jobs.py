@@ -17,14 +17,18 @@ CHECKPOINT_EVERY = {"kafka": "10 seconds", "analytics": "30 seconds", "sync": "6
 
 
 def fan_out(changes: DataFrame, writers: dict[str, BatchWriter], name: str, checkpoint: str,
-            **trigger) -> StreamingQuery:
+            prepare: Callable[[DataFrame], DataFrame] = lambda df: df, **trigger) -> StreamingQuery:
     """Read a change stream once and hand each batch to every writer.
 
+    ``prepare`` runs once per batch, before it is cached. When all targets are keyed alike, cut
+    the batch to its last change per key there: the cached rows then lie by key already, and
+    no writer shuffles them again.
+
     A batch that fails in one writer is delivered to all of them again, so writers have to
     recognize a batch by its number; those of this library do.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = prepare(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for write in writers.values():
                 write(batch, batch_id)
