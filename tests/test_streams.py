@@ -55,10 +55,10 @@ def feed_folder(home):
     return folder
 
 
-@pytest.mark.parametrize("shape", ["tumbling", "hopping", "top"])
+@pytest.mark.parametrize("shape", ["tumbling", "hopping", "longer"])
 def test_stream_equals_batch(spark, feed_folder, home, shape):
     operator = {"tumbling": X.sales_metrics, "hopping": X.item_trends,
-                "top": lambda df: X.sales_metrics(df, "5 minutes")}[shape]
+                "longer": lambda df: X.sales_metrics(df, "5 minutes")}[shape]
     streamed = run(operator(shapes.as_sales(feeds.event_stream(text_stream(spark, feed_folder), SALES_EVENT))), home, f"eq_{shape}")
     batch = operator(shapes.as_sales(feeds.event_stream(spark.read.text(feed_folder), SALES_EVENT)))
     closed = batch.filter(F.col("window_start") < F.lit("2024-01-02").cast("timestamp"))

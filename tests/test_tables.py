@@ -10,6 +10,7 @@ from tidemark.operators import star
 from tidemark.schemas import STORE_DIM, columns
 from tidemark.session import work_dir
 from tidemark.sources import feeds, sinks
+from tidemark.streaming import versioned
 from tidemark.streaming.keyed import KeyedTable
 from tidemark.streaming.view import MaintainedView, apply_to_both
 
@@ -58,7 +59,9 @@ def test_a_failing_batch_leaves_no_trace(spark, home):
     assert state(t) == [(1, 5)] and t.table.manifest().last_batch == 0
 
 
-def test_random_feed_with_a_hot_key(spark, home):
+@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
+def test_random_feed_with_a_hot_key(spark, home, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(versioned, "BROADCAST_ROWS", broadcast_rows)  # 0: always join with a shuffle
     rng, want, t = random.Random(1), {}, table(spark, home, 8)
     seq = 0
     for batch_id in range(5):
@@ -71,6 +74,7 @@ def test_random_feed_with_a_hot_key(spark, home):
             want.pop(key, None) if op == "-D" else want.__setitem__(key, seq * 2)
         rng.shuffle(rows)
         t.apply(spark.createDataFrame(rows, FEED), batch_id)
+        assert state(t) == sorted(want.items())
         if batch_id % 2:
             t.table.compact()
         assert state(t) == sorted(want.items())
@@ -116,7 +120,9 @@ def view_rows(df):
     return sorted(map(str, df.collect()))
 
 
-def test_view_equals_recompute_after_every_batch(spark, home, dims):
+@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
+def test_view_equals_recompute_after_every_batch(spark, home, dims, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(versioned, "BROADCAST_ROWS", broadcast_rows)
     keyed = KeyedTable(spark, f"{home}/fact", LINE, ["id"], ["seq"], 4)
     view = MaintainedView(spark, f"{home}/view", FACT, 4)
     rng, seq = random.Random(2), 0
@@ -127,7 +133,7 @@ def test_view_equals_recompute_after_every_batch(spark, home, dims):
         for _ in range(80):
             seq += 1
             # store 1 takes a third; store 4, day 2460315 and NULL keys have no dimension row
-            rows.append((rng.choice(["+I", "+U", "-D"]), rng.randrange(40), seq,
+            rows.append((rng.choice(["+I", "+U", "-D"]), rng.choice([None, *range(40)]), seq,
                          1 if rng.random() < .34 else rng.choice([2, 3, 4, None]), rng.choice([2460311, 2460312, 2460315, None]),
                          rng.choice([None, seq]), rng.choice([None, 3]), money(), money()))
         schema = "op string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LINE.fields)

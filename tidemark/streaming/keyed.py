@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.changes import AFTER, BEFORE, DELETE, latest_per_key, live_rows, split_images
-from .versioned import Staged, VersionedTable
+from .versioned import Staged, VersionedTable, with_keys_of
 
 
 class KeyedTable:
@@ -20,7 +23,8 @@ class KeyedTable:
         self.keys, self.order, self.row = keys, order, row
         stored = T.StructType([T.StructField("op", T.StringType()), *row.fields])
         self.table = VersionedTable(
-            spark, root, stored, lambda df, also: latest_per_key(df, [*also, *keys], order), keys, buckets)
+            spark, root, stored, lambda df, also: latest_per_key(df, [*also, *keys], order),
+            keys, keys, buckets)
 
     def stage(self, changes: DataFrame, batch_id: int) -> Staged | None:
         return self.table.stage(changes.filter(changes["op"] != BEFORE), batch_id)
@@ -41,15 +45,16 @@ class KeyedTable:
         anything is shuffled or merged. A change older than the stored row has no effect.
         """
         new = self.table.staged_rows(staged)
-        stored = self.table.unmerged(staged.buckets).join(new.select(*self.keys), self.keys, "left_semi")
+        stored = with_keys_of(self.table.unmerged(staged.buckets), new, staged.rows, self.keys)
         old = latest_per_key(stored, self.keys, self.order)
         fields = self.row.names
         before = old.select(
-            *self.keys, F.struct(*self.order).alias("_old_order"),
+            *[F.col(k).alias(f"_old_{k}") for k in self.keys], F.struct(*self.order).alias("_old_order"),
             F.when(F.col("op") != DELETE, F.struct(*fields)).alias("before"),
         )
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in self.keys])
         effective = F.col("_old_order").isNull() | (F.struct(*self.order) > F.col("_old_order"))
-        envelopes = new.join(before, self.keys, "left").filter(effective).select(
+        envelopes = new.join(before, same, "left").filter(effective).select(
             F.lit(AFTER).alias("op"), "before",
             F.when(F.col("op") != DELETE, F.struct(*fields)).alias("after"),
         )

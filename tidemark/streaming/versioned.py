@@ -13,6 +13,8 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -21,6 +23,9 @@ from ..functions.codecs import key_partition
 
 _BUCKET = "_bucket"
 
+# Keys of so many rows are broadcast (tens of MB for usual keys); more are joined with a shuffle.
+BROADCAST_ROWS = 1_000_000
+
 
 @dataclass
 class Manifest:
@@ -28,8 +33,9 @@ class Manifest:
     last_batch: int | None = None
     # bucket -> folder that holds it
     buckets: dict[str, str] = field(default_factory=dict)
-    # batches not compacted yet, and the buckets that each touches
+    # batches not compacted yet, the buckets that each touches, and the rows it holds
     batches: dict[str, list[int]] = field(default_factory=dict)
+    batch_rows: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass
@@ -38,19 +44,34 @@ class Staged:
     batch_id: int
     folder: str
     buckets: list[int]
+    rows: int
+
+
+def with_keys_of(rows: DataFrame, others: DataFrame, other_rows: int, keys: list[str],
+                 how: str = "left_semi") -> DataFrame:
+    """Rows whose key does, or with ``left_anti`` does not, occur in others. NULL keys match.
+
+    With few others, their keys are broadcast and the rows, which may be a whole table, stay
+    where they are.
+    """
+    wanted = others.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
+    if other_rows <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys])
+    return rows.join(wanted, same, how)
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
-                 merge: Callable[[DataFrame, list[str]], DataFrame], bucket_by: list[str],
-                 buckets: int = 16):
-        """``merge`` combines rows of the same key; it must not mind in which order or how
+                 merge: Callable[[DataFrame, list[str]], DataFrame], keys: list[str],
+                 bucket_by: list[str], buckets: int = 16):
+        """``merge`` combines rows of the same ``keys``; it must not mind in which order or how
         often it is applied. Its second argument are columns to carry along as part of the key.
-        ``bucket_by`` must be part of the key. Choose ``buckets`` so that one bucket is a good
+        ``bucket_by`` must be among the keys. Choose ``buckets`` so that one bucket is a good
         file size (some hundred MB): a bucket is what compaction rewrites.
         """
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.merge, self.bucket_by, self.buckets = merge, bucket_by, buckets
+        self.merge, self.keys, self.bucket_by, self.buckets = merge, keys, bucket_by, buckets
 
     # -- manifests -----------------------------------------------------------------------
 
@@ -81,10 +102,10 @@ class VersionedTable:
         (
             (rows if merged else self.merge(rows, [])).select(*self.schema.names)
             .withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets))
-            .observe(touched, F.collect_set(_BUCKET).alias("buckets"))
+            .observe(touched, F.collect_set(_BUCKET).alias("buckets"), F.count("*").alias("rows"))
             .write.parquet(folder)
         )
-        return Staged(batch_id, folder, sorted(touched.get["buckets"] or []))
+        return Staged(batch_id, folder, sorted(touched.get["buckets"] or []), touched.get["rows"] or 0)
 
     def staged_rows(self, staged: Staged) -> DataFrame:
         return self._read([staged.folder])
@@ -93,6 +114,7 @@ class VersionedTable:
         manifest = self.manifest()
         if staged.buckets:
             manifest.batches[staged.folder] = staged.buckets
+            manifest.batch_rows[staged.folder] = staged.rows
         manifest.version += 1
         manifest.last_batch = staged.batch_id
         self._publish(manifest)
@@ -111,8 +133,10 @@ class VersionedTable:
         if staged is None:
             return False
         manifest = self.manifest()
-        self._publish(Manifest(manifest.version + 1, batch_id, {},
-                               {staged.folder: staged.buckets} if staged.buckets else {}))
+        whole = Manifest(manifest.version + 1, batch_id)
+        if staged.buckets:
+            whole.batches, whole.batch_rows = {staged.folder: staged.buckets}, {staged.folder: staged.rows}
+        self._publish(whole)
         return True
 
     def compact(self) -> None:
@@ -135,7 +159,7 @@ class VersionedTable:
             manifest.buckets.pop(bucket, None)
             if bucket in written:
                 manifest.buckets[bucket] = f"{folder}/{_BUCKET}={bucket}"
-        manifest.batches = {}
+        manifest.batches, manifest.batch_rows = {}, {}
         manifest.version += 1
         self._publish(manifest)
 
@@ -147,15 +171,20 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(*folders)
 
     def rows(self) -> DataFrame:
-        """The table now. Buckets without waiting batches are read as they are."""
+        """The table now. Buckets without waiting batches are read as they are, and so are rows
+        whose key has no waiting row as long as the waiting rows are few."""
         manifest = self.manifest()
         touched = {str(b) for buckets in manifest.batches.values() for b in buckets}
-        still = [f for b, f in manifest.buckets.items() if b not in touched]
-        moving = [f for b, f in manifest.buckets.items() if b in touched]
+        settled = self._read([f for b, f in manifest.buckets.items() if b not in touched])
         if not manifest.batches:
-            return self._read(still)
-        merged = self.merge(self._read(moving + list(manifest.batches)), [])
-        return merged.unionByName(self._read(still)) if still else merged
+            return settled
+        waiting = self._read(list(manifest.batches))
+        stored = self._read([f for b, f in manifest.buckets.items() if b in touched])
+        count = sum(manifest.batch_rows.values())
+        if count <= BROADCAST_ROWS:
+            settled = settled.unionByName(with_keys_of(stored, waiting, count, self.keys, "left_anti"))
+            stored = with_keys_of(stored, waiting, count, self.keys)
+        return self.merge(stored.unionByName(waiting), []).unionByName(settled)
 
     def unmerged(self, buckets: list[int]) -> DataFrame:
         """All stored rows of some buckets, before merging: at least the rows that lie there."""

@@ -26,7 +26,7 @@ class MaintainedView:
         self.to_fact = to_fact
         shape = fact_sums(empty(spark, fact)).schema
         self.sums = VersionedTable(spark, root, shape, lambda df, also: add_up(df, [*also, *SUM_KEYS]),
-                                   ["ss_store_sk"], buckets)
+                                   SUM_KEYS, ["ss_store_sk"], buckets)
 
     def apply(self, images: DataFrame, batch_id: int) -> bool:
         """Add the signed sums of a batch of row images (+I, -U, +U, -D).
