@@ -62,4 +62,5 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, in a form that Spark knows to be empty and drops from joins and unions."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    nothing = spark.range(1).filter(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
