@@ -22,6 +22,8 @@ from ..operators.ranking import with_dense_id
 from .common import SPACE, materialise, read, word_count
 
 _KEY = ["doc_id", "version"]
+#: Parts into which the windows of an interval are spread.
+SALTS = 16
 
 
 def _lines(text: Column) -> Column:
@@ -119,8 +121,11 @@ def later_copies(docs: DataFrame, min_words: int = 50) -> DataFrame:
     named = materialise(reduce(DataFrame.unionByName, found), "named")
     interval = ["lines", "head_rank", "tail_rank"]
     firsts = named.groupBy(*interval).agg(F.min("start").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    # An interval may hold a third of all windows: its rows are spread, its first member is sent to each part.
+    spread = named.withColumn("salt", F.pmod(F.col("start"), F.lit(SALTS)))
+    firsts = firsts.drop("n").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     gone = (
-        named.join(firsts.drop("n"), interval).filter("start > first")
+        spread.join(firsts, [*interval, "salt"]).filter("start > first")
         .select(F.explode(F.sequence("start", F.col("start") + F.col("lines") - 1)).alias("g")).distinct())
     return (
         positions.join(gone, "g", "left_semi").groupBy(*_KEY)

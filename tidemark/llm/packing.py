@@ -14,15 +14,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
-import unicodedata
 import zlib
 from collections import deque
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 
@@ -31,22 +30,24 @@ END = 1
 SENTENCE_CUT = 8
 FORCED_CUT = 256
 STRETCH = 1 << 19
-CACHED_WORDS = 400_000
+CACHED_PARTS = 1_000_000
+#: Texts are encoded so many at a time.
+TEXTS = 1024
 _POWERS = [1 << k for k in range(11)]
 
 
 class Encoder:
     """Token ids of texts by a tokenizer file, as ``encode(text, add_special_tokens=False)`` gives them.
 
-    Tokenizers that lower-case, split by a pattern and merge inside the parts give each part the same ids
-    wherever it stands; for them, plain Latin texts are split here and the parts' ids are remembered, up to
-    CACHED_WORDS parts. All other tokenizers and texts go to the library as they are.
+    Tokenizers that lower-case, split by a pattern, drop white space and merge inside the parts give a part
+    the same ids everywhere. For them, plain Latin texts are split column-wise, and the ids of each distinct
+    part are remembered, up to CACHED_PARTS parts. All other tokenizers and texts go to the library as they are.
     """
 
-    _LETTERS = "".join(c for c in map(chr, range(0x80, 0x250)) if unicodedata.category(c)[0] == "L" and c != "İ")
-    _DIGITS = "".join(c for c in map(chr, range(0x80, 0x250)) if unicodedata.category(c)[0] == "N")
-    #: Fixed value: the split pattern of the tokenizers that this shortcut knows.
+    #: The split pattern of the tokenizers that this shortcut knows, and what of it is no letter.
     _KNOWN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _MARKS = r"('s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+)"
+    _ODD = r"[^\t\n\r -~¡-¬®-įı-ɏ‐-‧]|<\|"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -57,34 +58,89 @@ class Encoder:
             spec = json.load(f)
         steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         splits = [p.get("pattern", {}).get("Regex") for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-        self.by_part = steps == ["NFC", "Replace", "Lowercase"] and splits[:1] == [self._KNOWN] and len(splits) == 2
-        letters, digits = "a-z" + self._LETTERS, "0-9" + self._DIGITS
-        self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^ \t\n\r{letters}{digits}]+").findall
-        self.odd = re.compile(f"[^\t\n\r -~¡-¬®-įı-ɏ‐-‧]|<\\|").search
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit numbers."""
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_part = steps == ["NFC", "Replace", "Lowercase"] and splits[:1] == [self._KNOWN] and len(splits) == 2 and bool(suffix)
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        if self.by_part:  # ids that close a part
+            self.ends[[i for token, i in self.library.get_vocab().items() if token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # part -> its number
+        self.ids = np.zeros(1 << 16, "<u4")  # the ids of all parts, one after another
+        self.stops = np.zeros(1 << 16, np.int64)  # where part number k - 1 ends, hence part k begins
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Remember new parts: many are encoded as one text and told apart by the ids that close a part."""
+        for at in range(0, len(parts), 512):
+            some = parts[at:at + 512]
+            raw = self._plain([" ".join(some)])[0]
+            stops = np.flatnonzero(self.ends[raw]) + 1
+            if len(stops) != len(some) or stops[-1] != len(raw):
+                each = self._plain(some)
+                raw, stops = np.concatenate(each), np.cumsum([len(x) for x in each])
+            n, used = len(self.known), int(self.stops[len(self.known)])
+            if used + len(raw) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(raw), "<u4")])
+            if n + len(some) + 1 > len(self.stops):
+                self.stops = np.concatenate([self.stops, np.zeros(len(self.stops) + len(some), np.int64)])
+            self.ids[used:used + len(raw)] = raw
+            self.stops[n + 1:n + 1 + len(some)] = used + stops
+            self.known.update(zip(some, range(n, n + len(some))))
+
+    def _by_part(self, texts: pa.Array) -> list[np.ndarray]:
+        marked = pc.replace_substring_regex(pc.utf8_lower(texts), self._MARKS, r" \1 ")
+        split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(marked))
+        flat = pc.list_flatten(split)
+        coded = flat.dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        if len(self.known) + len(parts) > CACHED_PARTS:
+            self._forget()
+        self._learn([p for p in parts if p and p not in self.known])
+        self.known[""] = -1  # of an empty text: no ids
+        number = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        del self.known[""]
+        begin = self.stops[np.maximum(number, 0)]
+        size = np.where(number < 0, 0, self.stops[number + 1] - begin)
+        of = coded.indices.to_numpy()
+        sizes = size[of]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.arange(total) + np.repeat(begin[of] - (ends - sizes), sizes)
+        ids = self.ids[places]
+        stops = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return [ids[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist())]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """For each text (no nulls) its ids, unsigned 32-bit numbers."""
+        odd = pc.match_substring_regex(texts, self._ODD).to_numpy(zero_copy_only=False) if self.by_part else np.ones(len(texts), bool)
         out: list = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if self.by_part and not self.odd(t)]
-        parts = [self.split(texts[i].lower()) for i in plain]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list(set().union(*parts).difference(self.known)) if parts else []
-        for word, coded in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(coded.ids, "<u4").tobytes()
-        ids = self.known.__getitem__
-        for i, words in zip(plain, parts):
-            out[i] = b"".join(map(ids, words))
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, coded in zip(rest, self.library.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(coded.ids, "<u4").tobytes()
+        for places, coded in (
+                (np.flatnonzero(~odd), self._by_part), (np.flatnonzero(odd), lambda x: self._plain(x.to_pylist()))):
+            if len(places):
+                for i, ids in zip(places.tolist(), coded(texts.take(pa.array(places)))):
+                    out[i] = ids
         return out
 
     def sentence_ends(self) -> np.ndarray:
-        """Ids of the tokens that end a sentence."""
-        ids = {x.ids[-1] for x in self.library.encode_batch([".", "!", "?", "…"], add_special_tokens=False) if x.ids}
-        return np.array(sorted(ids), "<u4")
+        """By id, whether the token ends a sentence."""
+        out = np.zeros(self.library.get_vocab_size(), bool)
+        for x in self._plain([".", "!", "?", "…"]):
+            out[x[-1:]] = True
+        return out
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One for each Python worker, whose words later tasks find again."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def cuts(ends: np.ndarray, prices: np.ndarray, length: int, closed: bool) -> list[int]:
@@ -149,8 +205,7 @@ class _Stream:
         ends, prices, at = [], [], 0
         for _, ids, packed in self.docs:
             rest = ids[packed:]
-            inside = np.flatnonzero(np.isin(rest[:-1], self.enders)) + 1
-            inside = inside[inside < len(rest)]
+            inside = np.flatnonzero(self.enders[rest[:-1]]) + 1
             ends += [at + inside, [at + len(rest)]]
             prices += [np.full(len(inside), self.sentence_cut), [0]]
             at += len(rest)
@@ -201,26 +256,24 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, sentence_cut: in
     it, so a task that runs again gives the same rows. An empty table gives no rows. ``length`` is a power of two.
     """
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         stream = _Stream(length, encoder.sentence_ends(), sentence_cut, forced_cut, TaskContext.get().partitionId() << 32)
-        end = np.array([END], "<u4").tobytes()
-
         def frame(rows):
-            return pd.DataFrame(rows, columns=_COLUMNS).astype({"doc_id": "Int64"})
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in (zip(*rows) if rows else [[]] * len(_COLUMNS))], _COLUMNS)
 
         for batch in batches:
-            ids, texts = batch["doc_id"].tolist(), batch["text"].fillna("").tolist()
-            for at in range(0, len(texts), 256):
-                coded = encoder.encode(texts[at:at + 256])
-                for doc_id, raw in zip(ids[at:at + 256], coded):
-                    stream.add(None if doc_id is None else int(doc_id), np.frombuffer(raw + end, "<u4"))
+            for at in range(0, len(batch), TEXTS):
+                some = batch.slice(at, TEXTS)
+                texts = pc.fill_null(some.column("text").cast(pa.large_string()), "")
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(texts)):
+                    stream.add(doc_id, np.append(ids, np.uint32(END)))
                 if stream.size >= STRETCH:
                     yield frame(stream.pack(closed=False))
         yield frame(stream.pack(closed=True))
 
     kinds = ", ".join(f"{c} long" for c in _COLUMNS)
-    # As text, so that a null among the ids does not turn the others into floating point.
-    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, kinds)
+    return docs.select("doc_id", "text").mapInArrow(run, kinds)
 
 
 def public_tokenizer() -> str:
@@ -236,6 +289,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def probe(spark, df, sf):
     df.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("sequence_length").alias("m")).agg(
         F.sum("n"), F.sum("m"), F.count("*"), F.max("n"), (1 - F.sum("n") / F.sum("m")).alias("pad")).show()
+    from pyspark.sql import functions as F
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizer())
     docs = {r.doc_id: r.text for r in read(spark, sf, "documents").collect()}
