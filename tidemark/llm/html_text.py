@@ -271,21 +271,3 @@ def extract(pages: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
-
-
-def probe(spark, df, sf):
-    for r in df.orderBy("page_id").limit(3).collect():
-        print(r.page_id, r.n_chars, repr(r.text[:300]))
-    import random
-    for _ in range(2000):
-        a = [random.randrange(4) for _ in range(random.randrange(9))]
-        b = [random.randrange(4) for _ in range(random.randrange(9))]
-        L = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i in range(len(a)):
-            for j in range(len(b)):
-                L[i + 1][j + 1] = L[i][j] + 1 if a[i] == b[j] else max(L[i][j + 1], L[i + 1][j])
-        for cells in (1 << 30, 4):
-            c = common_lines(a, b, cells)
-            assert len(c) == L[-1][-1] and c == sorted(set(c)), (a, b, c)
-            it = iter(b)
-            assert all(a[i] in it for i in c)

@@ -127,8 +127,3 @@ taken AS (SELECT doc_id, sum(size) AS taken FROM mix WHERE used <= (SELECT sum(s
 SELECT d.doc_id, d.size, d.source_size, d.target, CAST(coalesce(t.taken, 0) AS BIGINT) AS taken
 FROM docs d LEFT JOIN taken t USING (doc_id)
 """
-
-
-def probe(spark, df, sf):
-    read(spark, sf, "documents").select("doc_id", "source").join(df, "doc_id").groupBy("source").agg(
-        F.max("source_size"), F.max("target"), F.sum("taken"), F.max(F.col("taken") / F.col("size"))).orderBy("source").show(30)

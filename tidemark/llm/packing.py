@@ -284,18 +284,3 @@ def public_tokenizer() -> str:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizer())
-
-
-def probe(spark, df, sf):
-    df.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("sequence_length").alias("m")).agg(
-        F.sum("n"), F.sum("m"), F.count("*"), F.max("n"), (1 - F.sum("n") / F.sum("m")).alias("pad")).show()
-    from pyspark.sql import functions as F
-    from tokenizers import Tokenizer
-    t = Tokenizer.from_file(public_tokenizer())
-    docs = {r.doc_id: r.text for r in read(spark, sf, "documents").collect()}
-    ids = {k: np.array([*e.ids, 1], "<u4") for k, e in zip(docs, t.encode_batch([v or "" for v in docs.values()], add_special_tokens=False))}
-    bad = 0
-    for r in df.collect():
-        x = ids[r.doc_id]
-        bad += len(x) != r.doc_tokens or zlib.crc32(x[r.start:r.start + r.length].tobytes()) != r.ids_crc32
-    print("PROBE bad", bad, len(ids))

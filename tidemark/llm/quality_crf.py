@@ -194,12 +194,3 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-
-
-def probe(spark, df, sf):
-    lab = read(spark, sf, "labels")
-    x = df.join(lab, "doc_id")
-    x.groupBy("held_out", "quality", "predicted").agg(F.count("*"), F.min("score"), F.max("score"), F.avg("score")).orderBy("held_out", "quality").show()
-    docs = read(spark, sf, "documents")
-    for r in x.filter("quality != predicted").join(docs, "doc_id").limit(8).collect():
-        print(r.quality, r.score, repr(r.text[:300]))

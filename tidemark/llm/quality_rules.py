@@ -242,10 +242,3 @@ SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(text, '[{SPACE}]+', '
        len(ws) < 50 OR 100 * coalesce(rep.n, 0) > 50 * len(ws) AS base_failed
 FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lin USING (doc_id)
 """
-
-
-def probe(spark, df, sf):
-    import compare
-    print("PROBE", compare.check(df.drop("kept"), compare.connect(sf), BASE_SQL))
-    lab = read(spark, sf, "labels")
-    df.join(lab, "doc_id").groupBy("quality", "base_failed", "kept").count().orderBy("quality").show()

@@ -213,7 +213,8 @@ def linked(codes: DataFrame, distance: int) -> DataFrame:
     filled = materialise(
         placed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "code")))["code"].alias("codes"))
         .mapInPandas(_packed, "block long, codes binary"), "blocks")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # Few pairs of blocks a task, so that what a Python worker holds at once stays bounded.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pairs.count() // 16))
     joined = (
         pairs.join(filled.select(F.col("block").alias("a"), F.col("codes").alias("x")), "a")
         .join(filled.select(F.col("block").alias("b"), F.col("codes").alias("y")), "b")
@@ -251,24 +252,3 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     kept = near_duplicates(docs, shingle, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"])).drop("kept_id").dropDuplicates(["doc_id"])
-
-
-def probe(spark, df, sf):
-    rows = df.collect()
-    codes = np.array([int(r.fingerprint, 16) for r in rows], "u8")
-    ids = np.array([r.doc_id for r in rows])
-    import collections
-    parent = list(range(len(ids)))
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-    for i in range(len(ids)):
-        for j in np.flatnonzero(np.bitwise_count(codes ^ codes[i]) <= 4):
-            parent[find(i)] = find(int(j))
-    least = collections.defaultdict(lambda: 1 << 60)
-    for i in range(len(ids)):
-        least[find(i)] = min(least[find(i)], ids[i])
-    bad = sum(least[find(i)] != r.component_id for i, r in enumerate(rows))
-    print("PROBE bad", bad, "components", len(least), "of", len(ids))

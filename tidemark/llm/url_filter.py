@@ -139,10 +139,3 @@ SELECT q.page_id, q.host, q.path, max_by(r.domain || r.prefix, length(r.domain |
 FROM q LEFT JOIN r ON (q.host = r.domain OR ends_with(q.host, '.' || r.domain)) AND starts_with(q.path, r.prefix)
 GROUP BY ALL
 """
-
-
-def probe(spark, df, sf):
-    import compare
-    ruled = df.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("verdict"))
-    print("PROBE", compare.check(ruled, compare.connect(sf), RULES_SQL))
-    df.groupBy("rule", "verdict").agg(F.count("*"), F.avg("score"), F.avg((F.col("score") >= 0.5).cast("int"))).show()
