@@ -247,9 +247,11 @@ def extract(pages: DataFrame) -> DataFrame:
         pages.select(F.col("page_id").cast("string"), "url", host.alias("host"), path.alias("path"), "html")
         .mapInPandas(_parse, _PARSED), "pages")
     found = parsed.filter("text is not null").select("page_id", "url", "text")
-    open_hosts = parsed.filter("text is null").select("host").distinct()
+    # Only hashes are sorted and joined, and the lines of pages that are still open; no finished text moves.
+    lines = parsed.withColumn("open", F.col("text").isNull()).drop("text")
+    open_hosts = lines.filter("open").select("host").distinct()
     placed = with_dense_id(
-        parsed.join(open_hosts, "host", "left_semi").withColumn("order", F.xxhash64("hashes")),
+        lines.join(open_hosts, "host", "left_semi").withColumn("order", F.xxhash64("hashes")),
         ["host", "path", "page_id", "order"], "place")
     around = placed.select("place", "host", "path", "hashes")
 
@@ -261,7 +263,7 @@ def extract(pages: DataFrame) -> DataFrame:
         return F.when(F.col(f"{name}_host") == F.col("host"), F.col(column)).alias(column)
 
     compared = (
-        placed.filter("text is null")
+        placed.filter("open")
         .join(neighbour(1, "before"), "place", "left").join(neighbour(-1, "after"), "place", "left")
         .select(F.col("page_id").cast("string"), "url", "lines", "kinds", "hashes", "path",
                 *[same_host(c, n) for n in ("before", "after") for c in (n, f"{n}_path")])
