@@ -103,7 +103,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
             .withColumn("ok", F.col("ok") | same("formatted")) \
             .withColumn("escaped", F.when(F.col("escaped").isNull() & F.col("ok"), level).otherwise(F.col("escaped")))
     mask = F.transform(parsed(F.col("formatted")), lambda t: F.struct(
-        (F.length(t["head"]) + 1).alias("head"), F.length(t["raw"]).alias("text"),
+        (F.length(t["head"]) + len(START) + 1).alias("head"), F.length(t["raw"]).alias("text"),
         (t["role"] == LEARNED_ROLE).alias("learned")))
     return tried.select("conv_id", "formatted", mask.alias("loss_mask"), "escaped", F.col("ok").alias("round_trip"))
 
@@ -120,7 +120,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(F.slice(pieces, F.lit(2), F.size("loss_mask")), lambda p, i: F.struct(
             p.alias("piece"), F.get("loss_mask", i).alias("m"))), lambda x: x["m"]["learned"])
     loss = F.array_join(F.transform(marked, lambda x: unescape(
-        F.substring(x["piece"], x["m"]["head"] + 1, x["m"]["text"]))), "")
+        F.substring(x["piece"], x["m"]["head"] - len(START) + 1, x["m"]["text"]))), "")
     source = F.array_join(F.transform("back", lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return (

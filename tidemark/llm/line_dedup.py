@@ -34,10 +34,6 @@ def _bare(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
-def _same(left: str, right: str, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
-
-
 def _positions(docs: DataFrame) -> DataFrame:
     """One row per line that occurs twice or more: its number ``g`` in the sequence, its rank, its run.
 
@@ -145,13 +141,14 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     take part. Rows that agree in doc_id and text count as one document and get the same result; rows of
     one doc_id with different texts are different documents. A document may lose all its lines.
     """
-    rest = [c for c in docs.columns if c not in ("n_lines", "removed", "n_removed", "version")]
-    left = docs.select(*rest).withColumn("version", F.xxhash64("text")).alias("l")
+    rest = [c for c in docs.columns if c not in ("n_lines", "removed", "n_removed")]
+    left = docs.select(*rest).withColumn("__version", F.xxhash64("text")).alias("l")
     right = later_copies(docs, min_words).alias("r")
+    same = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.__version") == F.col("r.version"))
     lines, removed = _lines(F.col("l.text")), F.coalesce(F.col("r.removed"), F.array().cast("array<int>"))
     kept = F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed), lambda i: F.get(lines, i))
-    return left.join(right, _same("l", "r", _KEY), "left").select(
+    return left.join(right, same, "left").select(
         *[F.when(F.size(removed) > 0, F.array_join(kept, "\n")).otherwise(F.col("l.text")).alias("text")
           if c == "text" else F.col(f"l.{c}") for c in rest],
         F.when(F.col("l.text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),

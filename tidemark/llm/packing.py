@@ -30,9 +30,9 @@ END = 1
 SENTENCE_CUT = 8
 FORCED_CUT = 256
 STRETCH = 1 << 19
-CACHED_PARTS = 1_000_000
+CACHED_PARTS = 400_000
 #: Texts are encoded so many at a time.
-TEXTS = 1024
+TEXTS = 512
 _POWERS = [1 << k for k in range(11)]
 
 

@@ -78,7 +78,7 @@ class Chain:
             now = potential[at] * (ahead[at - 1] @ step if t else 1.0)
             norm = now.sum(1, keepdims=True)
             ahead[at] = now / norm
-            log_z[:alive[t]] += np.log(norm[:, 0])
+            log_z[order[:alive[t]]] += np.log(norm[:, 0])
         for t in range(steps - 2, -1, -1):
             at = first[:alive[t + 1]] + t
             back = (potential[at + 1] * behind[at + 1]) @ step.T

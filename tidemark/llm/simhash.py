@@ -250,5 +250,5 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     Of rows that share this doc_id, one stays; a component without any doc_id keeps one row.
     """
     kept = near_duplicates(docs, shingle, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"])).drop("kept_id").dropDuplicates(["doc_id"])
+        .select(F.col("doc_id").alias("__kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"])).drop("__kept_id").dropDuplicates(["doc_id"])
