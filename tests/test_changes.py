@@ -4,12 +4,13 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F, types as T
 
+from tidemark.functions import codecs
 from tidemark.functions.codecs import decode_keyed, decode_rows, encode_keyed, key_partition
 from tidemark.functions.temporal import change_time
 from tidemark.operators import changes as C, shapes
-from tidemark.schemas import RETURN_EVENT, STORE_RETURNS, STORE_SALES, columns, warehouse_schema
+from tidemark.schemas import RETURN_EVENT, STORE_RETURNS, STORE_SALES, columns, envelope_schema, warehouse_schema
 from tidemark.sources import feeds, sinks
 
 FEED = "op string, seq long, id long, qty int"
@@ -76,12 +77,55 @@ def test_envelopes_split_into_images(spark):
     texts = [envelope("INSERT", 1, after={"id": 1, "qty": 5}),
              envelope("u", 2, {"id": 1, "qty": 5}, {"id": 1, "qty": 10}),
              envelope("DELETE", 3, {"id": 1, "qty": 10}),
-             envelope("r", 0, after={"id": 2}), "{broken", envelope("TRUNCATE", 4)]
-    rows = feeds.change_feed(spark.createDataFrame([(t,) for t in texts], "value string"), ROW).collect()
+             envelope("r", 0, after={"id": 2})]
+    records = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = feeds.change_feed(records, ROW).collect()
     assert sorted((r.seq, r.op, r.id, r.qty) for r in rows if r.qty) == [
         (1, "+I", 1, 5), (2, "+U", 1, 10), (2, "-U", 1, 5), (3, "-D", 1, 10)]
     assert [(r.id, r.db_name, r.table_name) for r in rows if not r.qty] == [(2, "business_db", "store_sales")]
     assert rows[0].op_ts == dt.datetime(2025, 6, 27, 7, 53, 21)
+    # What does not parse, or is of an unknown kind, is never lost in silence.
+    for bad in ("{broken", envelope("TRUNCATE", 4)):
+        with pytest.raises(Exception, match="MALFORMED|unknown kind of change"):
+            feeds.change_feed(records.union(spark.createDataFrame([(bad,)], "value string")), ROW).collect()
+    broken = records.union(spark.createDataFrame([("{broken",)], "value string"))
+    assert feeds.change_feed(broken, ROW, required=False).count() == len(rows)
+    assert codecs.unreadable(broken, {"value": envelope_schema(ROW)}).first() == (5, 1)
+
+
+def test_kind_records_keep_both_images(spark):
+    texts = ['{"op_type":"+I","id":1,"qty":5}', '{"op_type":"-U","id":1,"qty":5}', '{"op_type":"+U","id":1,"qty":6}',
+             '{"op_type":"+I","id":2,"qty":7}', '{"op_type":"-D","id":2,"qty":7}']
+    changes = feeds.kind_feed(spark.createDataFrame([(t,) for t in texts], "value string"), ROW)
+    assert sorted(r.op for r in changes.collect()) == ["+I", "+I", "+U", "-D", "-U"]
+    assert C.running_count(changes).first().row_count == 1
+    with pytest.raises(Exception, match="unknown kind of change"):
+        feeds.kind_feed(spark.createDataFrame([('{"op_type":"?","id":1}',)], "value string"), ROW).collect()
+
+
+def test_corrupt_values_are_no_upserts(spark):
+    records = spark.createDataFrame([('{"id":1}', '{"qty":5}'), ('{"id":1}', "{broken"), ("{bad", '{"qty":1}'), ('{"id":2}', None)],
+                                    "key string, value string")
+    key = T.StructType([f for f in ROW.fields if f.name == "id"])
+    back = codecs.decode_keyed(records, key, ROW).collect()
+    assert sorted((r.op, r.id, r.qty) for r in back if r.op == "+U") == [("+U", 1, 5)]
+    assert [(r.id, r.qty) for r in back if r.op == "-D"] == [(2, None)]
+    assert codecs.unreadable(records, {"key": key, "value": ROW}).first() == (4, 1, 1)
+
+
+def test_dropped_rows_are_counted(spark):
+    counts = Observation()
+    rows = C.drop_null_rows(spark.createDataFrame([(1, None), (2, 3), (None, 4)], "id long, qty int"), ["id", "qty"], counts)
+    assert rows.count() == 1 and counts.get == {"rows": 3, "dropped": 2}
+
+
+def test_json_keeps_microseconds(spark, home):
+    at = dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
+    rows = spark.createDataFrame([(1, at)], "id long, at timestamp")
+    sinks.write_json_rows(rows, f"{home}/json")
+    assert feeds.json_rows(spark, f"{home}/json", rows.schema).first().at == at
+    text = rows.select(codecs.encode_row(["at"]).alias("value"))
+    assert codecs.decode_rows(text, "value", rows.schema).first().at == at
 
 
 def test_full_width_sources_decode(spark):

@@ -10,6 +10,8 @@ from tidemark.operators import star
 from tidemark.schemas import STORE_DIM, columns
 from tidemark.session import work_dir
 from tidemark.sources import feeds, sinks
+from tidemark.sources.feeds import topic_records
+from tidemark.sources.sinks import BatchNumber, topic_writer
 from tidemark.streaming import versioned
 from tidemark.streaming.keyed import KeyedTable
 from tidemark.streaming.view import MaintainedView, apply_to_both
@@ -146,6 +148,19 @@ def test_view_equals_recompute_after_every_batch(spark, home, dims, monkeypatch,
         assert view_rows(view.rows(*dims)) == view_rows(star.daily_store_view(keyed.rows(), *dims))
 
 
+def test_streams_with_a_new_checkpoint_lose_nothing(spark, home):
+    t = table(spark, home)
+    first, second = BatchNumber(0, "first"), BatchNumber(0, "second")
+    assert t.apply(spark.createDataFrame([("+I", 1, 5, 1)], FEED), first)
+    assert t.apply(spark.createDataFrame([("+I", 2, 6, 2)], FEED), second)
+    assert not t.apply(spark.createDataFrame([("+I", 3, 9, 3)], FEED), second)
+    assert state(t) == [(1, 5), (2, 6)]
+    write = topic_writer(f"{home}/topic", ["id"], ["id", "qty"], ["seq"], 2)
+    for batch, row in ((first, ("+I", 1, 5, 1)), (second, ("+I", 2, 6, 2)), (second, ("+I", 2, 6, 2))):
+        write(spark.createDataFrame([row], FEED), batch)
+    assert topic_records(spark, f"{home}/topic").count() == 2
+
+
 def sales(spark, *rows):
     return spark.createDataFrame(list(rows), "op string, ss_store_sk int, ss_sold_date_sk int, ss_ticket_number long,"
                                  " ss_quantity int, ss_net_paid_inc_tax decimal(18,4), ss_net_profit decimal(18,4)")
@@ -161,6 +176,19 @@ def test_groups_vanish_and_unknown_measures_stay_unknown(spark, home, dims):
     assert got == {(2, 1): (Decimal(7), Decimal(1), 1, 1), (1, 2): (None, Decimal(3), None, 0)}
 
 
+def test_rebuild_between_two_batches(spark, home, dims):
+    from decimal import Decimal
+    keyed = KeyedTable(spark, f"{home}/fact", LINE, ["id"], ["seq"], 2)
+    view = MaintainedView(spark, f"{home}/view", FACT, 2)
+    schema = "op string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LINE.fields)
+    for number in range(3):
+        batch = spark.createDataFrame([("+I", number, number, 1, 2460311, 10, 2, Decimal(5), Decimal(1))], schema)
+        apply_to_both(batch, BatchNumber(number, "feed"), keyed, view)
+        if number == 1:
+            view.rebuild(keyed.rows(), keyed)
+        assert view_rows(view.rows(*dims)) == view_rows(star.daily_store_view(keyed.rows(), *dims))
+
+
 def test_dimension_changes_show_without_reading_facts_again(spark, home, dims):
     from decimal import Decimal
     day, stores = dims

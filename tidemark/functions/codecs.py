@@ -1,7 +1,7 @@
 """Rows as JSON text: lenient decode, encode, and keyed records with tombstones.
 
-Timestamps are ISO-8601 text, which is Spark's default: instants carry their offset, zone-less
-times none, and on reading the fraction and the offset may be missing.
+Timestamps are ISO-8601 text to the microsecond: instants carry their offset, zone-less times
+none, and on reading the fraction and the offset may be missing.
 """
 
 from __future__ import annotations
@@ -10,10 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _CORRUPT = "_corrupt"
 
+# Spark's default stops at milliseconds.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+              "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def encode_row(columns: list[str]) -> Column:
     """NULL fields are left out of the text; a reader gets NULL for a missing field."""
-    return F.to_json(F.struct(*columns))
+    return F.to_json(F.struct(*columns), JSON_TIMES)
 
 
 def decode_rows(df: DataFrame, text: str, schema: T.StructType, keep: list[str] | None = None,
@@ -55,11 +59,23 @@ def encode_keyed(changes: DataFrame, keys: list[str], values: list[str],
 
 def decode_keyed(records: DataFrame, key_schema: T.StructType, value_schema: T.StructType,
                  keep: list[str] | None = None) -> DataFrame:
-    """Back to changes: a record without value is a delete, any other an update by key."""
+    """Back to changes: a record without value is a delete, any other an update by key.
+
+    Records whose key or value does not parse are skipped (``unreadable`` counts them): a value
+    that is merely broken is neither a delete nor a row of NULLs.
+    """
     keep = keep or []
     plain = T.StructType([f for f in value_schema.fields if f.name not in key_schema.names])
     op = F.when(F.col("value").isNull(), F.lit("-D")).otherwise(F.lit("+U"))
-    return (
-        records.select(*keep, op.alias("op"), "value", F.inline(F.array(F.from_json("key", key_schema))))
-        .select(*keep, "op", *key_schema.names, F.inline(F.array(F.from_json("value", plain))))
-    )
+    named = records.withColumn("op", op).withColumn("_text", F.coalesce("value", F.lit("{}")))
+    keyed = decode_rows(named, "key", key_schema, [*keep, "op", "_text"])
+    return decode_rows(keyed, "_text", plain, [*keep, "op", *key_schema.names])
+
+
+def unreadable(df: DataFrame, texts: dict[str, T.StructType]) -> DataFrame:
+    """One row: how many rows came, and by text column how many of its texts do not parse."""
+    def bad(text: str, schema: T.StructType) -> Column:
+        marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+        parsed = F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+        return F.count_if(parsed[_CORRUPT].isNotNull()).alias(f"bad_{text}")
+    return df.agg(F.count("*").alias("records"), *[bad(t, s) for t, s in texts.items()])

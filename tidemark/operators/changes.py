@@ -6,31 +6,48 @@ order columns (``seq``) and the row's columns. An envelope holds both images of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F
 
 # The kinds of change, and the names under which they arrive.
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
 KIND_NAMES = {
     INSERT: ["INSERT", "c", "r", "+I"],
-    AFTER: ["UPDATE", "u", "+U"],
+    BEFORE: ["UPDATE_BEFORE", "-U"],
+    AFTER: ["UPDATE", "UPDATE_AFTER", "u", "+U"],
     DELETE: ["DELETE", "d", "-D"],
 }
 
 
-def change_kind(column: str | Column) -> Column:
-    """Any known name of a kind, as +I, +U or -D; NULL for an unknown one."""
+def change_kind(column: str | Column, unknown: str = "refuse") -> Column:
+    """Any known name of a kind, as +I, -U, +U or -D.
+
+    A table, count or view over a feed is wrong once a change is lost, so an unknown or missing
+    kind fails the job when the row is read. ``unknown="null"`` gives NULL instead, for callers
+    that count such rows.
+    """
+    if unknown not in ("refuse", "null"):
+        raise ValueError(f"unknown must be 'refuse' or 'null', not {unknown!r}")
     column = F.col(column) if isinstance(column, str) else column
     kinds = [F.when(column.isin(names), kind) for kind, names in KIND_NAMES.items()]
+    if unknown == "refuse":
+        message = F.concat(F.lit("unknown kind of change: "), F.coalesce(column, F.lit("NULL")))
+        kinds.append(F.raise_error(message).cast("string"))
     return F.coalesce(*kinds)
 
 
 def split_images(envelopes: DataFrame, keep: list[str], kind: str = "op") -> DataFrame:
-    """One row per image: inserts give +I, updates give -U and +U, deletes give -D."""
+    """One row per image: inserts give +I, updates give -U and +U, deletes give -D.
+
+    Envelopes that hold a single image of an update (-U before, +U after) give that image.
+    """
     op = F.col("_kind")
     before, after = F.col("before"), F.col("after")
     images = F.array(
-        F.struct(F.when(op == AFTER, BEFORE).when(op == DELETE, DELETE).alias("op"), before.alias("row")),
-        F.struct(F.when(op != DELETE, op).alias("op"), after.alias("row")),
+        F.struct(F.when(op == AFTER, BEFORE).when(op.isin(BEFORE, DELETE), op).alias("op"), before.alias("row")),
+        F.struct(F.when(~op.isin(BEFORE, DELETE), op).alias("op"), after.alias("row")),
     )
     return (
         envelopes.select(*keep, change_kind(kind).alias("_kind"), "before", "after")
@@ -40,6 +57,12 @@ def split_images(envelopes: DataFrame, keep: list[str], kind: str = "op") -> Dat
     )
 
 
+def kind_records(records: DataFrame, kind: str = "op_type") -> DataFrame:
+    """Changes from records that hold one image each, its kind in a column next to the row's own."""
+    rest = [c for c in records.columns if c != kind]
+    return records.select(*rest, change_kind(kind).alias("op"))
+
+
 def taken_out() -> Column:
     """Whether an image is of a row that goes away."""
     return F.col("op").isin(BEFORE, DELETE)
@@ -125,6 +148,13 @@ def inserts_only(changes: DataFrame, others: str = "refuse") -> DataFrame:
     return changes.filter(F.when(is_insert, True).otherwise(F.raise_error(message).cast("boolean")))
 
 
-def drop_null_rows(df: DataFrame, required: list[str]) -> DataFrame:
-    """Leave out rows that a target with NOT NULL columns would reject."""
+def drop_null_rows(df: DataFrame, required: list[str], counts: Observation | None = None) -> DataFrame:
+    """Leave out rows that a target with NOT NULL columns would reject.
+
+    ``counts`` observes, once the result is written, how many rows came (``rows``) and how many
+    were left out (``dropped``).
+    """
+    if counts is not None:
+        missing = reduce(or_, [F.col(c).isNull() for c in required], F.lit(False))
+        df = df.observe(counts, F.count("*").alias("rows"), F.count_if(missing).alias("dropped"))
     return df.dropna(subset=required)

@@ -183,8 +183,7 @@ ORACLE: dict[str, str] = {
         coalesce(r.n, 0) AS total_returns,
         CASE WHEN s.n > 0 THEN coalesce(r.n, 0)::DOUBLE / s.n END AS return_rate
       FROM s FULL JOIN r ON s.w = r.w AND s.store_sk = r.store_sk""",
-    # JSON rows keep milliseconds, so the first item is left out: events may tie.
-    "json_sales_stream": f"SELECT * EXCLUDE (first_item_sk) FROM ({_sales_metrics(_DAY, '1 DAY', f'HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}')})",
+    "json_sales_stream": _sales_metrics(_DAY, '1 DAY', f'HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}'),
     "json_returns_stream": f"""SELECT * FROM ({_return_metrics()}) WHERE window_end <=
       (SELECT max(ts) - INTERVAL 5 SECOND FROM events WHERE event_type = 'error')""",
     "projection_stream": f"""SELECT {_OP} AS op_type, l_shipdate AS op_time, l_orderkey,
@@ -193,7 +192,7 @@ ORACLE: dict[str, str] = {
     "lenient_json_decode": """SELECT event_id, (regexp_extract(props, '"k": (-?[0-9]+)', 1))::BIGINT AS k,
       TRUE AS missing_is_null FROM events WHERE event_type <> 'error'""",
     "json_event_feed": f"""WITH {_SALES} SELECT store_sk::BIGINT AS store_sk, count(*) AS rows_read,
-      sum(price)::DOUBLE AS revenue, min(date_trunc('millisecond', ts)) AS first_ms FROM sales GROUP BY 1""",
+      sum(price)::DOUBLE AS revenue, min(ts) AS first_sale FROM sales GROUP BY 1""",
     "envelope_changes": f"""WITH l AS (SELECT *, {_OP} AS kind FROM lineitem), i AS (
         SELECT kind AS op, l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate FROM l
         UNION ALL SELECT '-U', l_orderkey, l_linenumber, l_quantity - 1, l_extendedprice, l_shipdate FROM l WHERE kind = '+U')
@@ -226,10 +225,20 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_ORDER}) = 1)
       SELECT {_KEY_JSON} || '}}' AS key, CASE WHEN op = '-D' THEN 'tombstone' ELSE
         {_KEY_JSON} || ',"l_partkey":' || l_partkey || ',"price":' || l_extendedprice::DECIMAL(12,2)
-        || ',"l_shipdate":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%g') || '"}}' END AS value,
+        || ',"l_shipdate":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') || '"}}' END AS value,
         TRUE AS has_timestamp FROM last_rows""",
     "topic_compaction": f"""WITH {_state()} SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_quantity,
       l_shipdate FROM state""",
+    "row_kind_changes": f"""{_OLD_NEW}, updated AS (SELECT count(*) AS n FROM both_rows WHERE in_old AND in_new AND NOT alike)
+      SELECT count(*) AS row_count, sum(l_partkey)::BIGINT AS part_keys, any_value(u.n) AS before_images,
+        any_value(u.n) AS after_images FROM new_rows, updated u""",
+    "keyed_topic_with_bad_records": f"""WITH {_state()}, keys AS (SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS n FROM lineitem)
+      SELECT 'rows_kept' AS measure, count(*) AS value FROM state
+      UNION ALL SELECT 'part_keys', sum(l_partkey)::BIGINT FROM state
+      UNION ALL SELECT unnest(['bad_key', 'bad_value']), n FROM keys""",
+    "second_checkpoint": _CURRENT,
+    "view_rebuild_in_between": _CURRENT_VIEW,
+    "peek_check": "SELECT least(5, count(*)) AS rows_found FROM lineitem",
     "append_inserts": f"SELECT {_ROW} FROM lineitem WHERE {_OP} = '+I'",
     "fanout_reconcile": f"""WITH {_state()} SELECT 'same' AS status, count(*) AS keys, count(*) AS source_rows,
       count(*) AS target_rows FROM state""",

@@ -36,7 +36,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def pin_time_zone(spark: SparkSession, zone: str = "UTC") -> None:
-    """Day windows and zone-less casts depend on this setting, so jobs set it explicitly."""
+    """Casts between instants and zone-less times depend on this setting, so jobs set it explicitly.
+
+    Windows do not: they start at whole multiples of their size since 1970 in UTC. For days of
+    another zone, pass zone-less local times (``to_zone``) as the event time of a batch.
+    """
     spark.conf.set("spark.sql.session.timeZone", zone)
 
 

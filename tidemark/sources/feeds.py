@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..files import is_dir
 from ..functions.codecs import decode_keyed, decode_rows
-from ..operators.changes import split_images
+from ..operators.changes import kind_records, split_images
 from ..operators.windows import with_event_time
 from ..schemas import columns, envelope_schema
 
@@ -53,12 +53,25 @@ def event_stream(records: DataFrame, schema: T.StructType, delay: str = "5 secon
     return with_event_time(decode_rows(records, "value", schema), delay=delay)
 
 
-def change_feed(records: DataFrame, row: T.StructType, text: str = "value") -> DataFrame:
-    """Changes (one row per image) with order and origin columns from JSON envelopes."""
-    envelopes = decode_rows(records, text, envelope_schema(row))
+def change_feed(records: DataFrame, row: T.StructType, text: str = "value",
+                required: bool = True) -> DataFrame:
+    """Changes (one row per image) with order and origin columns from JSON envelopes.
+
+    A record that does not parse, or holds a value that its column cannot, fails the job: a
+    table kept by the feed would be wrong without it. With ``required=False`` such records are
+    skipped; ``codecs.unreadable`` counts them.
+    """
+    envelopes = decode_rows(records, text, envelope_schema(row), required=required)
     return split_images(envelopes, ["seq", "op_ts", "db_name", "table_name"])
 
 
+def kind_feed(records: DataFrame, row: T.StructType, text: str = "value", kind: str = "op_type",
+              required: bool = True) -> DataFrame:
+    """Changes from JSON records of one image each, with its kind in the field ``kind``."""
+    fields = T.StructType([T.StructField(kind, T.StringType()), *row.fields])
+    return kind_records(decode_rows(records, text, fields, required=required), kind)
+
+
 def keyed_changes(records: DataFrame, key_schema: T.StructType,
                   value_schema: T.StructType) -> DataFrame:
     """Changes from a keyed topic, ordered by record time."""
@@ -66,16 +79,17 @@ def keyed_changes(records: DataFrame, key_schema: T.StructType,
 
 
 def jdbc_snapshot_options(url: str, table: str, key: str, lower: int, upper: int,
-                          chunk_rows: int = 8192, max_chunks: int = 10_000) -> dict[str, str]:
-    """Read options that split a table into key ranges of about ``chunk_rows`` keys.
+                          chunk_rows: int = 8192, ranges: int | None = None) -> dict[str, str]:
+    """Read options that split a table into ``ranges`` key ranges.
 
-    The number of ranges is bounded, as each is one query: beyond it the ranges get longer.
+    By default a range has about ``chunk_rows`` keys, or more if that would take over 10,000
+    ranges, as each is one query; the ranges cover the whole table in any case.
     """
     if upper < lower:
         raise ValueError("upper must not be below lower")
-    chunks = -(-(upper - lower + 1) // chunk_rows)
+    chunks = ranges or min(-(-(upper - lower + 1) // chunk_rows), 10_000)
     return {"url": url, "dbtable": table, "partitionColumn": key, "lowerBound": str(lower),
-            "upperBound": str(upper + 1), "numPartitions": str(min(chunks, max_chunks)),
+            "upperBound": str(upper + 1), "numPartitions": str(chunks),
             "fetchsize": str(chunk_rows)}
 
 

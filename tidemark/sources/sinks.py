@@ -8,21 +8,46 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..files import empty
-from ..functions.codecs import encode_keyed, key_partition
+from ..functions.codecs import JSON_TIMES, encode_keyed, key_partition
 from ..operators.changes import BEFORE, inserts_only, latest_per_key
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+class BatchNumber(int):
+    """A batch's number together with the stream that counts it; plain numbers have no stream.
+
+    A stream that starts over with a new checkpoint counts from 0 again. Its batches are other
+    batches, and writers must neither skip them nor write over those of the earlier stream.
+    """
+
+    stream: str = ""
+
+    def __new__(cls, number: int, stream: str = "") -> BatchNumber:
+        own = super().__new__(cls, number)
+        own.stream = stream
+        return own
+
+
+def stream_of(batch_id: int) -> str:
+    return getattr(batch_id, "stream", "")
+
+
+def batch_folder(root: str, batch_id: int) -> str:
+    """Where a batch of a stream goes; the same again only when the batch is delivered again."""
+    own = f"/stream={stream_of(batch_id)}" if stream_of(batch_id) else ""
+    return f"{root}{own}/batch={batch_id:d}"
+
+
 def write_json_rows(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**JSON_TIMES).json(path)
 
 
 def json_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
                 **trigger) -> StreamingQuery:
     """Append result rows to a folder as JSON; the file log makes each batch appear once."""
     writer = df.writeStream.format("json").outputMode("append").option("path", path) \
-        .option("checkpointLocation", checkpoint) \
+        .options(**JSON_TIMES).option("checkpointLocation", checkpoint) \
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
     return (writer.queryName(name) if name else writer).start()
 
@@ -40,12 +65,16 @@ def keyed_records(changes: DataFrame, keys: list[str], values: list[str], order:
 
 def topic_writer(root: str, keys: list[str], values: list[str], order: list[str],
                  partitions: int = 8) -> BatchWriter:
-    """Keyed topic as files: one folder per batch, which a replay of the batch replaces."""
+    """Keyed topic as files: one folder per batch of a stream, which a replay of it replaces.
+
+    A task writes one partition of the topic; raise ``partitions`` with the size of batches.
+    """
     def write(changes: DataFrame, batch_id: int) -> None:
         stamped = keyed_records(changes, keys, values, order, partitions).withColumn(
             "timestamp", F.current_timestamp())
-        stamped.repartition(partitions, "partition").write.mode("overwrite") \
-            .parquet(f"{root}/batch={batch_id}")
+        # By number, not by its hash: otherwise several partitions would share a task.
+        stamped.repartitionById(partitions, "partition").write.mode("overwrite") \
+            .parquet(batch_folder(root, batch_id))
     return write
 
 
@@ -63,10 +92,10 @@ def kafka_writer(servers: str, topic: str, keys: list[str], values: list[str],
 
 def append_writer(path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
                   others: str = "refuse") -> BatchWriter:
-    """Insert-only table as files, one folder per batch."""
+    """Insert-only table as files, one folder per batch of a stream."""
     def write(changes: DataFrame, batch_id: int) -> None:
         rows = prepare(inserts_only(changes, others).drop("op"))
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
     return write
 
 
@@ -91,8 +120,8 @@ def jdbc_writer(url: str, table: str, batch_rows: int = 1000, connections: int =
     return write
 
 
-def console_stream(df: DataFrame, tag: str, checkpoint: str, rows: int = 20, **trigger) -> StreamingQuery:
-    """Print each batch under a tag, for watching a feed."""
+def console_stream(df: DataFrame, tag: str, checkpoint: str, rows: int = 2**31 - 1, **trigger) -> StreamingQuery:
+    """Print each batch under a tag, all of its rows unless ``rows`` says less, for watching a feed."""
     return (
         df.select(F.lit(tag).alias("tag"), "*").writeStream.format("console")
         .queryName(tag.replace("-", "_")).outputMode("append").option("numRows", rows)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.sinks import BatchWriter
+from .. import files
+from ..sources.sinks import BatchNumber, BatchWriter
 from .keyed import KeyedTable
 from .view import MaintainedView, apply_to_both
 
@@ -40,8 +42,13 @@ def fan_out(changes: DataFrame, writers: dict[str, BatchWriter], name: str, chec
 
 def for_each_batch(changes: DataFrame, each: BatchWriter, name: str, checkpoint: str,
                    **trigger) -> StreamingQuery:
+    """Hand each batch to a writer, with its number and the stream that the checkpoint names."""
+    def numbered(batch: DataFrame, batch_id: int) -> None:
+        named = json.loads(files.read_text(batch.sparkSession, f"{checkpoint}/metadata"))
+        each(batch, BatchNumber(batch_id, named["id"]))
+
     return (
-        changes.writeStream.queryName(name).foreachBatch(each)
+        changes.writeStream.queryName(name).foreachBatch(numbered)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": CHECKPOINT_EVERY["sync"]})).start()
     )

@@ -4,7 +4,8 @@ Each batch is written next to the table as it comes and costs no more than its o
 merge the batches with the buckets they touch, and ``compact`` writes those buckets anew. What
 belongs to the table is listed in a small numbered manifest; a batch counts from the moment its
 manifest is published, so a batch that fails half-way leaves no trace, and one that is delivered
-again is skipped. One writer per table, as one streaming query has.
+again is skipped. A batch is known by its stream and its number in it: a stream with a new
+checkpoint counts from 0 again, and its batches are new. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from .. import files
 from ..functions.codecs import key_partition
+from ..sources.sinks import stream_of
 
 _BUCKET = "_bucket"
 
@@ -30,18 +32,25 @@ BROADCAST_ROWS = 1_000_000
 @dataclass
 class Manifest:
     version: int = 0
-    last_batch: int | None = None
+    # stream -> the last of its batches that counts; "" for batches without a stream
+    streams: dict[str, int] = field(default_factory=dict)
     # bucket -> folder that holds it
     buckets: dict[str, str] = field(default_factory=dict)
     # batches not compacted yet, the buckets that each touches, and the rows it holds
     batches: dict[str, list[int]] = field(default_factory=dict)
     batch_rows: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def last_batch(self) -> int | None:
+        """The last batch that counts, for a table with one stream."""
+        return max(self.streams.values(), default=None)
+
 
 @dataclass
 class Staged:
     """A batch that is written but does not count yet."""
     batch_id: int
+    stream: str
     folder: str
     buckets: list[int]
     rows: int
@@ -93,9 +102,13 @@ class VersionedTable:
 
         ``merged`` says that no two rows share a key, which saves merging the batch.
         """
-        last = self.manifest().last_batch
+        stream = stream_of(batch_id)
+        last = self.manifest().streams.get(stream)
         if last is not None and batch_id <= last:
             return None
+        return self._write(rows, batch_id, stream, merged)
+
+    def _write(self, rows: DataFrame, batch_id: int, stream: str, merged: bool) -> Staged:
         folder = f"{self.root}/batches/{batch_id:012d}-{uuid.uuid4().hex}"
         touched = Observation()
         # At most `buckets` small numbers come back to the driver.
@@ -105,7 +118,7 @@ class VersionedTable:
             .observe(touched, F.collect_set(_BUCKET).alias("buckets"), F.count("*").alias("rows"))
             .write.parquet(folder)
         )
-        return Staged(batch_id, folder, sorted(touched.get["buckets"] or []), touched.get["rows"] or 0)
+        return Staged(int(batch_id), stream, folder, sorted(touched.get["buckets"] or []), touched.get["rows"] or 0)
 
     def staged_rows(self, staged: Staged) -> DataFrame:
         return self._read([staged.folder])
@@ -116,7 +129,7 @@ class VersionedTable:
             manifest.batches[staged.folder] = staged.buckets
             manifest.batch_rows[staged.folder] = staged.rows
         manifest.version += 1
-        manifest.last_batch = staged.batch_id
+        manifest.streams[staged.stream] = staged.batch_id
         self._publish(manifest)
 
     def apply(self, rows: DataFrame, batch_id: int, merged: bool = False) -> bool:
@@ -127,17 +140,17 @@ class VersionedTable:
         self.commit(staged)
         return True
 
-    def replace(self, rows: DataFrame, batch_id: int, merged: bool = False) -> bool:
-        """Make a batch the whole table; False when it was taken in before."""
-        staged = self.stage(rows, batch_id, merged)
-        if staged is None:
-            return False
+    def replace(self, rows: DataFrame, streams: dict[str, int] | None = None, merged: bool = False) -> None:
+        """Make rows the whole table. This is no batch and uses up no number.
+
+        ``streams`` says which batches the rows hold already; by default those that counted before.
+        """
         manifest = self.manifest()
-        whole = Manifest(manifest.version + 1, batch_id)
+        staged = self._write(rows, 0, "", merged)
+        whole = Manifest(manifest.version + 1, dict(manifest.streams if streams is None else streams))
         if staged.buckets:
             whole.batches, whole.batch_rows = {staged.folder: staged.buckets}, {staged.folder: staged.rows}
         self._publish(whole)
-        return True
 
     def compact(self) -> None:
         """Fold the waiting batches into the buckets they touch; other buckets stay as they are."""

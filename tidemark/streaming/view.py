@@ -36,9 +36,14 @@ class MaintainedView:
         """
         return self.sums.apply(self._typed(fact_sums(self.to_fact(images), taken_out())), batch_id, merged=True)
 
-    def rebuild(self, fact: DataFrame, batch_id: int) -> bool:
-        """Compute the sums anew from the whole fact table."""
-        return self.sums.replace(self._typed(fact_sums(self.to_fact(fact))), batch_id, merged=True)
+    def rebuild(self, fact: DataFrame, table: KeyedTable | None = None) -> None:
+        """Compute the sums anew from the whole fact table, between two batches.
+
+        ``table`` is where ``fact`` was read from: the view then counts the batches that the table
+        counts, and goes on with the next one. Without it the view's own batches stay counted.
+        """
+        streams = table.table.manifest().streams if table else None
+        self.sums.replace(self._typed(fact_sums(self.to_fact(fact))), streams, merged=True)
 
     def _typed(self, sums: DataFrame) -> DataFrame:
         return sums.select(*[sums[f.name].cast(f.dataType) for f in self.sums.schema.fields])
