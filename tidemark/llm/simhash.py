@@ -219,7 +219,7 @@ def linked(codes: DataFrame, distance: int) -> DataFrame:
         pairs.join(filled.select(F.col("block").alias("a"), F.col("codes").alias("x")), "a")
         .join(filled.select(F.col("block").alias("b"), F.col("codes").alias("y")), "b")
         .withColumn("y", F.when(F.col("a") != F.col("b"), F.col("y"))))
-    links = joined.repartition(tasks, "a", "b").mapInPandas(_links(distance), "u long, v long")
+    links = joined.repartition(tasks).mapInPandas(_links(distance), "u long, v long")
     return components(materialise(links, "links")).withColumnRenamed("node", "code")
 
 
