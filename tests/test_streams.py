@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import files
 from tidemark.operators import changes as C, shapes, windows as X
 from tidemark.schemas import RETURN_EVENT, SALES_EVENT, columns
 from tidemark.sources import feeds, sinks
@@ -178,3 +179,35 @@ def test_topic_as_a_stream(spark, home):
                                  columns("id:long qty:int"))
     out = run(stream, home, "topic_stream")
     assert sorted((r.op, r.id, r.qty) for r in out.collect()) == [("+U", 1, 5), ("-D", 2, None)]
+
+
+def test_older_change_that_arrives_later_does_not_win(spark, home):
+    """Across batches with equal record times, for values and for deletes; the same from a broker's records."""
+    write = sinks.topic_writer(home + "/topic", ["id"], ["id", "qty"], ["seq"], 2)
+    shape = "op string, id long, qty int, seq long"
+    batches = [[("+I", 1, 5, 9), ("-D", 2, None, 9), ("+I", 3, 1, 1)], [("+U", 1, 4, 8), ("+U", 2, 7, 3), ("+U", 3, 2, 2)],
+               [("+U", 3, 3, 2)]]
+    for n, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, shape), n)
+    same_time = feeds.topic_records(spark, home + "/topic").withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    broker = feeds.broker_records(same_time.withColumn("headers", F.array(
+        F.struct(F.lit("other").alias("key"), F.lit(b"x").alias("value")),
+        F.struct(F.lit(sinks.ORDER_HEADER).alias("key"), F.col("order").cast("binary").alias("value")))).drop("order"))
+    for records in (same_time, broker):
+        changes = feeds.keyed_changes(records, columns("id:long"), columns("id:long qty:int"), columns("seq:long"))
+        kept = C.materialize(changes, ["id"], feeds.TOPIC_ORDER)
+        # of two changes that tie, the one with the later offset counts
+        assert sorted((r.id, r.qty) for r in kept.collect()) == [(1, 5), (3, 3)]
+    no_header = feeds.broker_records(same_time.withColumn("headers", F.lit(None).cast("array<struct<key:string,value:binary>>")).drop("order"))
+    assert {r.order for r in no_header.collect()} == {None}
+    assert same_time.select(sinks.order_header()).first()[0][0].key == sinks.ORDER_HEADER
+
+
+def test_jobs_clear_away_what_they_replaced(spark, home):
+    keyed = KeyedTable(spark, f"{home}/table", ROW, ["id"], ["seq"], 2)
+    write = jobs.table_writer(keyed, compact_every=3)
+    for n in range(9):
+        write(spark.createDataFrame([("+I", n, n, n)], "op string, id long, qty int, seq long"), n)
+    assert keyed.rows().count() == 9
+    assert len(files.names(spark, f"{home}/table/manifests")) == 3
+    assert len(files.names(spark, f"{home}/table/batches")) <= 3

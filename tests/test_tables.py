@@ -61,9 +61,9 @@ def test_a_failing_batch_leaves_no_trace(spark, home):
     assert state(t) == [(1, 5)] and t.table.manifest().last_batch == 0
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_random_feed_with_a_hot_key(spark, home, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(versioned, "BROADCAST_ROWS", broadcast_rows)  # 0: always join with a shuffle
+@pytest.mark.parametrize("broadcast_bytes", [2**26, 0])
+def test_random_feed_with_a_hot_key(spark, home, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(versioned, "BROADCAST_BYTES", broadcast_bytes)  # 0: always join with a shuffle
     rng, want, t = random.Random(1), {}, table(spark, home, 8)
     seq = 0
     for batch_id in range(5):
@@ -95,6 +95,52 @@ def test_compaction_rewrites_touched_buckets_only(spark, home):
     assert {b for b in before if before[b] != after[b]} == {str(touched[0])}
     gone = t.table.vacuum()
     assert gone and len(t.rows().collect()) == 200 and dict(state(t))[5] == 2
+    assert len(files.names(spark, f"{home}/table/manifests")) == 1  # old manifests go as well
+    t.apply(spark.createDataFrame([("+U", 5, 3, 3)], FEED), 2)
+    assert dict(state(t))[5] == 3
+
+
+def test_large_buckets_are_written_by_several_tasks(spark, home, monkeypatch):
+    monkeypatch.setattr(versioned, "TASK_BYTES", 2000)
+    rows = spark.range(20_000).select(F.lit("+I").alias("op"), "id", F.hash("id").alias("qty"), F.lit(1).cast("long").alias("seq"))
+    t = table(spark, home, 2)
+    t.apply(rows, 0)
+    t.apply(rows.withColumn("seq", F.lit(2).cast("long")), 1)
+    t.table.compact()
+    stored = t.table.manifest().buckets
+    assert len(stored) == 2 and all(len([n for n in files.names(spark, f) if n.endswith(".parquet")]) > 4 for f in stored.values())
+    assert t.rows().count() == 20_000 and t.rows().agg(F.min("seq")).first()[0] == 2
+
+
+def test_compaction_shuffles_once_and_a_single_batch_is_not_merged(spark, home):
+    t = table(spark, home, 4)
+    rows = spark.range(100).select(F.lit("+I").alias("op"), "id", F.lit(1).alias("qty"), F.lit(1).cast("long").alias("seq"))
+    t.apply(rows, 0)
+    plan = t.rows()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    parts = [versioned._BUCKET, versioned._SHARE]
+    spread = t.table._read(list(t.table.manifest().batches)).withColumns({p: F.pmod("id", F.lit(2)).cast("int") for p in parts})
+    plan = t.table.merge(spread.repartition(8, *parts), parts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_ties_end_alike_in_one_batch_and_in_two(spark, home):
+    rows = [("+U", 1, 5, 1), ("+U", 1, 9, 1), ("+U", 1, 7, 1), ("+U", 2, 4, 1), ("-D", 2, 4, 1)]
+    together, apart, back = (table(spark, f"{home}/{n}") for n in "abc")
+    together.apply(spark.createDataFrame(rows, FEED), 0)
+    for n, row in enumerate(rows):
+        apart.apply(spark.createDataFrame([row], FEED), n)
+        back.apply(spark.createDataFrame([rows[-1 - n]], FEED), n)
+    assert state(together) == state(apart) == state(back) == [(1, 9)]
+
+
+def test_images_and_stored_rows_settle_ties_alike(spark, home):
+    t = table(spark, home)
+    t.apply(spark.createDataFrame([("+U", 1, 9, 1)], FEED), 0)
+    staged = t.stage(spark.createDataFrame([("+U", 1, 5, 1), ("+U", 3, 1, 1)], FEED), 1)
+    assert [(r.op, r.id) for r in t.images(staged).collect()] == [("+U", 3)]
+    t.table.commit(staged)
+    assert state(t) == [(1, 9), (3, 1)]
 
 
 def test_second_writer_cannot_publish_the_same_version(spark, home):
@@ -122,9 +168,9 @@ def view_rows(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_view_equals_recompute_after_every_batch(spark, home, dims, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(versioned, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", [2**26, 0])
+def test_view_equals_recompute_after_every_batch(spark, home, dims, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(versioned, "BROADCAST_BYTES", broadcast_bytes)
     keyed = KeyedTable(spark, f"{home}/fact", LINE, ["id"], ["seq"], 4)
     view = MaintainedView(spark, f"{home}/view", FACT, 4)
     rng, seq = random.Random(2), 0

@@ -30,6 +30,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(handle))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    handle, fs = _path(spark, path)
+    return fs.getContentSummary(handle).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     handle, fs = _path(spark, path)
     fs.delete(handle, True)

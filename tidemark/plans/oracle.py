@@ -9,6 +9,7 @@ _SALES = """sales AS (
 _RETURNS = _SALES.replace("sales AS", "returns AS").replace("'purchase'", "'error'")
 
 _DAY = "time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01')"
+_LOCAL_DAY = "time_bucket(INTERVAL 1 DAY, ts + INTERVAL 8 HOUR, TIMESTAMP '1970-01-01')"
 _MINUTE = "time_bucket(INTERVAL 1 MINUTE, ts, TIMESTAMP '1970-01-01')"
 
 
@@ -27,6 +28,13 @@ def _sales_metrics(bucket: str, length: str, closed: str = "") -> str:
     FROM b GROUP BY w, store_sk {closed}"""
 
 
+def _late_rows() -> str:
+    """Rows of store 3 come last: those whose window the others' newest event has closed are dropped."""
+    others = "(SELECT max(ts) - INTERVAL 5 SECOND FROM sales WHERE store_sk <> 3)"
+    return _sales_metrics(_DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}").replace(
+        "FROM b GROUP", f"FROM b WHERE store_sk <> 3 OR w + INTERVAL 1 DAY > {others} GROUP")
+
+
 def _return_metrics() -> str:
     return f"""WITH {_RETURNS}
       SELECT {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, store_sk::BIGINT AS store_sk,
@@ -237,6 +245,32 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'part_keys', sum(l_partkey)::BIGINT FROM state
       UNION ALL SELECT unnest(['bad_key', 'bad_value']), n FROM keys""",
     "second_checkpoint": _CURRENT,
+    "append_refused": f"SELECT {_OP} AS op, count(*) AS changes, TRUE AS refused, 0::BIGINT AS rows_written FROM lineitem GROUP BY 1",
+    "lookup_by_key": """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_shipdate, l_extendedprice
+      FROM lineitem WHERE l_orderkey = 7 AND l_linenumber = 1""",
+    "target_lifecycle": """WITH n AS (SELECT count(*) AS n FROM orders)
+      SELECT step, status, row_count FROM n, LATERAL (VALUES ('missing', 'NOT EXISTS', NULL), ('made', 'EXISTS', 0),
+        ('filled', 'EXISTS', n), ('made again', 'EXISTS', n), ('recreated', 'EXISTS', 0), ('dropped', 'NOT EXISTS', NULL)
+      ) t(step, status, row_count)""",
+    "exact_amounts": f"""WITH {_DIMS} SELECT l_suppkey AS ss_store_sk, d_date::VARCHAR AS sold_date_sk,
+        sum({_TAXED}::DECIMAL(18,4))::DECIMAL(28,4)::VARCHAR AS total_sales_amount,
+        sum({_PROFIT}::DECIMAL(18,4))::DECIMAL(28,4)::VARCHAR AS total_net_profit
+      FROM lineitem JOIN days ON l_shipdate::DATE = d_date JOIN store ON l_suppkey = s_store_sk GROUP BY 1, 2""",
+    "local_load_stamps": """SELECT count(*) AS stamped_rows, least(count(*), 1) AS stamps,
+      'timestamp_ntz' AS stamp_type FROM lineitem WHERE l_returnflag = 'R'""",
+    "restart_stream": _sales_metrics(_DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}"),
+    "late_rows_stream": _late_rows(),
+    "two_domains_stream": f"""WITH {_SALES}, {_RETURNS}, s AS (SELECT *, {_DAY} AS w FROM sales), r AS (SELECT *, {_DAY} AS w FROM returns)
+      SELECT 'sales' AS domain, w AS window_start, store_sk::BIGINT AS store_sk, count(*) AS events, sum(price)::DOUBLE AS amount
+      FROM s GROUP BY w, store_sk HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}
+      UNION ALL SELECT 'returns', w, store_sk::BIGINT, count(*), sum(price)::DOUBLE
+      FROM r GROUP BY w, store_sk HAVING w + INTERVAL 1 DAY <= {_RETURNS_SEEN}""",
+    "running_count_stream": f"""WITH p AS (SELECT CASE WHEN {_OP} = '-D' THEN -1 ELSE 1 END AS s,
+        least(greatest(coalesce(year(l_shipdate), 0) - 1997, 0), 3) AS part FROM lineitem)
+      SELECT turn::BIGINT AS turn, coalesce(sum(s) FILTER (WHERE part <= turn), 0)::BIGINT AS row_count
+      FROM p, range(4) t(turn) GROUP BY turn""",
+    "processing_times": "SELECT count(*) AS stamped_rows, count(*) AS after_event FROM events",
+    "sales_per_local_day": _sales_metrics(_LOCAL_DAY, "1 DAY"),
     "view_rebuild_in_between": _CURRENT_VIEW,
     "peek_check": "SELECT least(5, count(*)) AS rows_found FROM lineitem",
     "append_inserts": f"SELECT {_ROW} FROM lineitem WHERE {_OP} = '+I'",

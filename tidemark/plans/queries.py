@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import amounts
@@ -115,6 +117,104 @@ def item_trends_stream(spark, sf_dir):
     return _stream_to_table(X.item_trends(sales, size="1 day", slide="6 hours"), "item_trends_stream")
 
 
+def _in_turns(parts: list[DataFrame], folder: str, run: Callable[[int], None]) -> None:
+    """Parts arrive in a folder one after another; after each, the streams over it go on."""
+    for turn, part in enumerate(parts):
+        part.write.mode("append").parquet(folder)
+        run(turn)
+
+
+def _events_in_turns(spark, sf_dir, name: str, parts: list, streams: dict) -> dict[str, DataFrame]:
+    """Operators as streams over parts of the events. Each stops after a part and starts again
+    from its checkpoint for the next one; what they wrote is read back."""
+    home, events = fresh_dir(spark, name), D.table(spark, sf_dir, "events")
+    shapes_of: dict[str, T.StructType] = {}
+
+    def starter(domain: str):
+        result = streams[domain](feeds.file_stream(spark, f"{home}/in", events.schema))
+        shapes_of[domain] = result.schema
+        return jobs.append_to_parquet(result, f"{home}/out-{domain}", f"{name}-{domain}", f"{home}/checkpoint-{domain}",
+                                      availableNow=True)
+
+    def run(turn: int) -> None:
+        started = jobs.start_domains({domain: starter for domain in streams})
+        for one in started.values():
+            one.awaitTermination()
+
+    _in_turns([events.filter(part) for part in parts], f"{home}/in", run)
+    return {d: spark.read.schema(shapes_of[d]).parquet(f"{home}/out-{d}") for d in streams}
+
+
+def _decades():
+    """The events' days in three parts, the first also holding those without a time."""
+    day = F.coalesce(F.dayofmonth("ts"), F.lit(0))
+    return [day <= 10, (day > 10) & (day <= 20), day > 20]
+
+
+def _sales_by_day(events: DataFrame) -> DataFrame:
+    return X.sales_metrics(X.with_event_time(D.sales_events(events)), size="1 day")
+
+
+@query
+def restart_stream(spark, sf_dir):
+    """Sales metrics by a stream that is stopped twice: open windows go on from the checkpoint."""
+    return _events_in_turns(spark, sf_dir, "restart", _decades(), {"sales": _sales_by_day})["sales"]
+
+
+@query
+def late_rows_stream(spark, sf_dir):
+    """Store 3 reports when all others have: rows of windows that are closed by then do not count."""
+    late = F.coalesce(F.col("user_id") % 10 == 3, F.lit(False))
+    return _events_in_turns(spark, sf_dir, "late-rows", [~late, late], {"sales": _sales_by_day})["sales"]
+
+
+@query
+def two_domains_stream(spark, sf_dir):
+    """Sales and returns as jobs of their own at the same time, each with its own checkpoint."""
+    def returns(events):
+        return X.return_metrics(X.with_event_time(D.return_events(events)), size="1 day")
+
+    out = _events_in_turns(spark, sf_dir, "domains", _decades(), {"sales": _sales_by_day, "returns": returns})
+    keys = ["window_start", "store_sk"]
+    return out["sales"].select(F.lit("sales").alias("domain"), *keys, F.col("total_sales").alias("events"),
+                               F.col("total_revenue").alias("amount")).unionByName(
+        out["returns"].select(F.lit("returns").alias("domain"), *keys, F.col("total_returns").alias("events"),
+                              F.col("total_return_amount").alias("amount")))
+
+
+@query
+def running_count_stream(spark, sf_dir):
+    """The size of the table after each part of its feed, by a stream that keeps one count."""
+    home = fresh_dir(spark, "running-count")
+
+    def run(turn: int) -> None:
+        def keep(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{home}/counts/turn={turn}")
+        feed = D.line_changes(feeds.file_stream(spark, f"{home}/in", D.SCHEMAS["lineitem"]))
+        jobs.for_each_batch(C.running_count(feed), keep, "running_count_stream", f"{home}/checkpoint",
+                            output_mode="complete", availableNow=True).awaitTermination()
+
+    _in_turns(_line_parts(spark, sf_dir), f"{home}/in", run)
+    return spark.read.schema("row_count bigint, turn int").parquet(f"{home}/counts")
+
+
+@query
+def processing_times(spark, sf_dir):
+    """A stream's rows with the time at which each was taken in, next to the time of the event."""
+    feed = feeds.with_processing_time(D.table_stream(spark, sf_dir, "events").select("event_id", "ts"))
+    stored = _stream_to_table(feed, "processing_times")
+    return stored.agg(F.count("proc_time").alias("stamped_rows"), F.count_if(
+        F.col("proc_time").cast("timestamp_ntz") > F.col("ts")).alias("after_event"))
+
+
+@query
+def sales_per_local_day(spark, sf_dir):
+    """Daily windows of another zone: event times are local ones before they are put into windows."""
+    sales = D.sales_events(D.table(spark, sf_dir, "events"))
+    local = sales.withColumn("created_at", to_zone(F.col("created_at"), "UTC", "Asia/Shanghai"))
+    return X.sales_metrics(X.with_event_time(local), size="1 day")
+
+
 @query
 def projection_stream(spark, sf_dir):
     """A stateless stream: the sales monitor over the change feed."""
@@ -263,6 +363,21 @@ def cdc_upsert_stream(spark, sf_dir):
     return keyed.rows()
 
 
+def _line_part():
+    """Which of four parts of the feed a line is in, by its year; lines without a date come first."""
+    return F.least(F.greatest(F.coalesce(F.year("l_shipdate"), F.lit(0)) - 1997, F.lit(0)), F.lit(3))
+
+
+def _line_parts(spark, sf_dir):
+    return [_lines(spark, sf_dir).filter(_line_part() == n) for n in range(4)]
+
+
+def _shuffled_parts(spark, sf_dir):
+    """The same parts as they may arrive on a bad day: newer ones before older ones."""
+    parts = _line_parts(spark, sf_dir)
+    return [parts[n] for n in (2, 0, 3, 1)]
+
+
 def _halves(spark, sf_dir):
     """The feed before and from a day on; lines without a date come first."""
     feed, cut = D.line_changes(_lines(spark, sf_dir)), F.lit("1998-01-01").cast("timestamp_ntz")
@@ -353,15 +468,22 @@ def keyed_topic(spark, sf_dir):
 
 @query
 def topic_compaction(spark, sf_dir):
-    """Two batches on a keyed topic; the last value per key is the table."""
+    """Four batches on a keyed topic, older ones after newer ones, and all with the same time.
+    The last value per key, by the order that the records carry, is the table."""
     root = fresh_dir(spark, "compaction")
     values = [*D.LINE_KEY, "l_partkey", "l_quantity", "l_shipdate"]
     write = sinks.topic_writer(root, D.LINE_KEY, values, D.LINE_ORDER)
-    for batch_id, batch in enumerate(_halves(spark, sf_dir)):
-        write(batch, batch_id)
-    key, value = T.StructType(D.LINE_ROW.fields[:2]), D.LINE_ROW
-    back = feeds.keyed_changes(feeds.topic_records(spark, root), key, value)
-    return C.materialize(back, D.LINE_KEY, ["timestamp"]).select(*values)
+    for batch_id, batch in enumerate(_shuffled_parts(spark, sf_dir)):
+        write(D.line_changes(batch), batch_id)
+    records = feeds.topic_records(spark, root).withColumn("timestamp", _loaded())
+    return _table_of(records).select(*values)
+
+
+def _table_of(records):
+    """The lines that the records of a keyed topic add up to."""
+    order = T.StructType([D.LINE_ROW[name] for name in D.LINE_ORDER])
+    changes = feeds.keyed_changes(records, T.StructType(D.LINE_ROW.fields[:2]), D.LINE_ROW, order)
+    return C.materialize(changes, D.LINE_KEY, feeds.TOPIC_ORDER).drop(*feeds.TOPIC_ORDER)
 
 
 @query
@@ -389,9 +511,9 @@ def _topic_of_lines(spark, sf_dir, values):
 def keyed_topic_with_bad_records(spark, sf_dir):
     """Each record followed by one with a broken value and one with a broken key; the table stays."""
     good = _topic_of_lines(spark, sf_dir, D.LINE_ROW.names)
-    later = F.col("timestamp") + F.expr("interval 1 hour")
-    records = good.unionByName(good.select("key", F.lit('{"l_partkey": ').alias("value"), later.alias("timestamp"))) \
-        .unionByName(good.select(F.lit("{broken").alias("key"), "value", later.alias("timestamp")))
+    later = good.withColumn("timestamp", F.col("timestamp") + F.expr("interval 1 hour"))
+    records = good.unionByName(later.withColumn("value", F.lit('{"l_partkey": '))) \
+        .unionByName(later.withColumn("key", F.lit("{broken")))
     key = T.StructType(D.LINE_ROW.fields[:2])
     kept = C.materialize(feeds.keyed_changes(records, key, D.LINE_ROW), D.LINE_KEY, ["timestamp"])
     tables = kept.agg(F.count("*").alias("rows_kept"), F.sum("l_partkey").alias("part_keys"))
@@ -441,22 +563,38 @@ def append_inserts(spark, sf_dir):
     return spark.read.schema(D.LINE_ROW).parquet(f"{path}/batch=0")
 
 
+@query
+def append_refused(spark, sf_dir):
+    """The same target without being told: it refuses the feed, and nothing of it is there."""
+    path, feed = fresh_dir(spark, "refused"), D.line_changes(_lines(spark, sf_dir))
+    try:
+        sinks.append_writer(path)(feed, 0)
+        refused = False
+    except PySparkException as error:
+        refused = "append-only target" in str(error)
+    written = feeds.written_batches(spark, path, feed.drop("op").schema)
+    return C.op_mix(feed).select("op", "changes", F.lit(refused).alias("refused"),
+                                 F.lit(written.count()).cast("bigint").alias("rows_written"))
+
+
 @query
 def fanout_reconcile(spark, sf_dir):
-    """One stream to a keyed topic and to a keyed table; what the two hold must agree."""
+    """One stream to a keyed topic and to a keyed table, in four batches of which some hold older
+    changes than those before; what the two hold must agree."""
     home = fresh_dir(spark, "fanout")
     keyed = _keyed_table(spark, f"{home}/table")
     values = D.LINE_ROW.names
-    jobs.fan_out(
-        D.line_changes(D.table_stream(spark, sf_dir, "lineitem")),
-        {"topic": sinks.topic_writer(f"{home}/topic", D.LINE_KEY, values, D.LINE_ORDER),
-         "table": jobs.table_writer(keyed)},
-        "fanout_reconcile", f"{home}/checkpoint",
-        prepare=lambda batch: C.latest_per_key(batch, D.LINE_KEY, D.LINE_ORDER), availableNow=True,
-    ).awaitTermination()
-    key = T.StructType(D.LINE_ROW.fields[:2])
-    topic = C.materialize(feeds.keyed_changes(feeds.topic_records(spark, f"{home}/topic"), key, D.LINE_ROW),
-                          D.LINE_KEY, ["timestamp"])
+    targets = {"topic": sinks.topic_writer(f"{home}/topic", D.LINE_KEY, values, D.LINE_ORDER),
+               "table": jobs.table_writer(keyed)}
+
+    def run(turn: int) -> None:
+        feed = D.line_changes(feeds.file_stream(spark, f"{home}/in", D.SCHEMAS["lineitem"]))
+        jobs.fan_out(feed, targets, "fanout_reconcile", f"{home}/checkpoint",
+                     prepare=lambda batch: C.latest_per_key(batch, D.LINE_KEY, D.LINE_ORDER),
+                     availableNow=True).awaitTermination()
+
+    _in_turns(_shuffled_parts(spark, sf_dir), f"{home}/in", run)
+    topic = _table_of(feeds.topic_records(spark, f"{home}/topic"))
     return Q.reconcile_summary(topic, keyed.rows(), D.LINE_KEY, values)
 
 
@@ -485,10 +623,8 @@ def daily_store_view_ivm(spark, sf_dir):
     three batches of changes without before-images."""
     home = fresh_dir(spark, "ivm")
     keyed, view = _keyed_table(spark, f"{home}/table"), _fact_view(spark, f"{home}/view")
-    feed = D.line_changes(_lines(spark, sf_dir))
-    part = F.greatest(F.coalesce(F.year("l_shipdate"), F.lit(0)) - 1997, F.lit(0))  # no date: the first
-    for batch_id in range(4):
-        batch = feed.filter(F.least(part, F.lit(3)) == batch_id)
+    for batch_id, part in enumerate(_line_parts(spark, sf_dir)):
+        batch = D.line_changes(part)
         apply_to_both(batch, batch_id, keyed, view)
         apply_to_both(batch, batch_id, keyed, view)  # a repeated delivery changes nothing
     return view.rows(*_dims(spark, sf_dir))
@@ -621,6 +757,38 @@ def point_lookup(spark, sf_dir):
         .select(*D.LINE_KEY, "l_partkey", "l_extendedprice")
 
 
+@query
+def lookup_by_key(spark, sf_dir):
+    """The versions of one given line; the key reaches the scan."""
+    return _lines(spark, sf_dir).filter((F.col("l_orderkey") == 7) & (F.col("l_linenumber") == 1)) \
+        .select(*D.LINE_KEY, "l_partkey", "l_shipdate", "l_extendedprice")
+
+
+@query
+def target_lifecycle(spark, sf_dir):
+    """A target that is made, filled, made again (it stays) and recreated (it is empty)."""
+    source, name = D.table(spark, sf_dir, "orders"), f"target_{uuid.uuid4().hex}"
+    steps = {"missing": lambda: None, "made": lambda: sinks.create_target(spark, name, source.schema),
+             "filled": lambda: sinks.copy_into(source, name),
+             "made again": lambda: sinks.create_target(spark, name, source.schema),
+             "recreated": lambda: sinks.create_target(spark, name, source.schema, recreate=True),
+             "dropped": lambda: spark.sql(f"DROP TABLE {name}")}
+    seen = []
+    for step, act in steps.items():
+        act()
+        status = Q.target_status(spark, name)
+        seen.append((step, status, spark.table(name).count() if status == "EXISTS" else None))
+    return spark.createDataFrame(seen, "step string, status string, row_count bigint")
+
+
+@query
+def exact_amounts(spark, sf_dir):
+    """The amounts of the store view as decimal text: every digit counts, and so does the scale."""
+    view = star.daily_store_view(D.fact(_lines(spark, sf_dir)), *_dims(spark, sf_dir))
+    return view.select("ss_store_sk", "sold_date_sk", *[
+        F.col(c).cast("string").alias(c) for c in ("total_sales_amount", "total_net_profit")])
+
+
 @query
 def table_counts(spark, sf_dir):
     counts = [D.table(spark, sf_dir, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
@@ -665,6 +833,15 @@ def load_stamps(spark, sf_dir):
                       (F.max("sync_timestamp") <= F.current_timestamp()).alias("not_ahead"))
 
 
+@query
+def local_load_stamps(spark, sf_dir):
+    """Load times without a zone, as a target without zones keeps them."""
+    loaded = shapes.to_warehouse(D.wide_returns(_lines(spark, sf_dir)).drop("op"), F.localtimestamp())
+    return loaded.agg(F.count("sync_timestamp").alias("stamped_rows"),
+                      F.count_distinct("sync_timestamp").alias("stamps")).withColumn(
+        "stamp_type", F.lit(loaded.schema["sync_timestamp"].dataType.simpleString()))
+
+
 @query
 def recent_rows(spark, sf_dir):
     sales = D.warehouse_sales(_lines(spark, sf_dir))

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..files import is_dir
+from ..files import empty, is_dir
 from ..functions.codecs import decode_keyed, decode_rows
 from ..operators.changes import kind_records, split_images
 from ..operators.windows import with_event_time
 from ..schemas import columns, envelope_schema
+from .sinks import ORDER_HEADER
 
-TOPIC_RECORD = columns("key:string value:string timestamp:instant")
+TOPIC_RECORD = columns("key:string value:string timestamp:instant offset:long order:string")
+# What decides between records of a key, the weightiest first.
+TOPIC_ORDER = ["record_order", "timestamp", "offset"]
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -32,19 +35,42 @@ def kafka_options(servers: str, topic: str, start: str = "latest", **extra: str)
 
 def kafka_records(spark: SparkSession, servers: str, topic: str, start: str = "latest",
                   stream: bool = True, **extra: str) -> DataFrame:
-    """Key, value and timestamp of a topic. Needs Spark's Kafka package on the class path."""
+    """The records of a topic. Needs Spark's Kafka package on the class path."""
     reader = spark.readStream if stream else spark.read
-    records = reader.format("kafka").options(**kafka_options(servers, topic, start, **extra)).load()
-    return records.select(F.col("key").cast("string"), F.col("value").cast("string"), "timestamp")
+    options = kafka_options(servers, topic, start, includeHeaders="true", **extra)
+    return broker_records(reader.format("kafka").options(**options).load())
+
+
+def broker_records(raw: DataFrame) -> DataFrame:
+    """The columns of TOPIC_RECORD from a broker's: texts for bytes, the order from its header.
+
+    All records of a key are in one partition, so the offset alone tells which came later.
+    """
+    order = F.filter(F.col("headers"), lambda h: h["key"] == ORDER_HEADER)
+    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "timestamp", "offset",
+                      F.get(order, F.lit(0))["value"].cast("string").alias("order"))
 
 
 def topic_records(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """The same three columns from a topic kept as files, from its beginning."""
+    """The same columns from a topic kept as files, from its beginning."""
     if stream:
         return file_stream(spark, path, TOPIC_RECORD, recursiveFileLookup="true")
     return spark.read.schema(TOPIC_RECORD).option("recursiveFileLookup", "true").parquet(path)
 
 
+def with_processing_time(df: DataFrame, column: str = "proc_time") -> DataFrame:
+    """The time at which a row is taken in; on a stream, the start of its micro-batch."""
+    return df.withColumn(column, F.current_timestamp())
+
+
+def written_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All batches of a target kept as files, whichever streams wrote them. Spark lists only what a
+    finished job left, so a batch that failed half-way has no rows."""
+    if not is_dir(spark, path):
+        return empty(spark, schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 def event_stream(records: DataFrame, schema: T.StructType, delay: str = "5 seconds") -> DataFrame:
     """Typed events with event time and watermark from JSON records; bad rows are skipped.
 
@@ -72,10 +98,20 @@ def kind_feed(records: DataFrame, row: T.StructType, text: str = "value", kind:
     return kind_records(decode_rows(records, text, fields, required=required), kind)
 
 
-def keyed_changes(records: DataFrame, key_schema: T.StructType,
-                  value_schema: T.StructType) -> DataFrame:
-    """Changes from a keyed topic, ordered by record time."""
-    return decode_keyed(records, key_schema, value_schema, keep=["timestamp"])
+def keyed_changes(records: DataFrame, key_schema: T.StructType, value_schema: T.StructType,
+                  order: T.StructType | None = None) -> DataFrame:
+    """Changes from a keyed topic, with the columns of TOPIC_ORDER to order them by.
+
+    ``order`` has the order columns that the writer put next to each record, also to those without
+    a value: an older change that arrives later then loses, as it does in a keyed table. Without
+    it, or in records that carry none, ``record_order`` is NULL and the record's time decides, then
+    its offset.
+    """
+    fields = order or T.StructType([T.StructField("none", T.StringType())])
+    parsed = F.from_json("order", fields) if order else F.lit(None).cast(fields)
+    # A record without order columns, or with broken ones, has none: not a struct of NULLs.
+    known = F.when(F.size(F.json_object_keys("order")) > 0, parsed) if order else parsed
+    return decode_keyed(records.withColumn("record_order", known), key_schema, value_schema, keep=TOPIC_ORDER)
 
 
 def jdbc_snapshot_options(url: str, table: str, key: str, lower: int, upper: int,

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..files import empty
-from ..functions.codecs import JSON_TIMES, encode_keyed, key_partition
+from ..functions.codecs import JSON_TIMES, encode_keyed, encode_row, key_partition
 from ..operators.changes import BEFORE, inserts_only, latest_per_key
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# The header of a record on a broker that holds its order columns.
+ORDER_HEADER = "order"
+
 
 class BatchNumber(int):
     """A batch's number together with the stream that counts it; plain numbers have no stream.
@@ -54,13 +57,17 @@ def json_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = No
 
 def keyed_records(changes: DataFrame, keys: list[str], values: list[str], order: list[str],
                   partitions: int) -> DataFrame:
-    """Key, value and partition of the upserts and deletes that a batch comes down to.
+    """Key, value, partition and order of the upserts and deletes that a batch comes down to.
+
+    The order columns travel next to the value, as a delete has none: readers need them to tell
+    a newer change from an older one that was sent later.
 
     All records of a key have to share a partition. Only the last one of a batch counts, so the
     batch is cut to that before it is spread; a key with very many changes stays one record.
     """
     last = latest_per_key(changes.filter(F.col("op") != BEFORE), keys, order)
-    return encode_keyed(last, keys, values, key_partition(keys, partitions).alias("partition"))
+    return encode_keyed(last, keys, values, key_partition(keys, partitions).alias("partition"),
+                        encode_row(order).alias("order"))
 
 
 def topic_writer(root: str, keys: list[str], values: list[str], order: list[str],
@@ -70,20 +77,26 @@ def topic_writer(root: str, keys: list[str], values: list[str], order: list[str]
     A task writes one partition of the topic; raise ``partitions`` with the size of batches.
     """
     def write(changes: DataFrame, batch_id: int) -> None:
-        stamped = keyed_records(changes, keys, values, order, partitions).withColumn(
-            "timestamp", F.current_timestamp())
+        # A key has one record in a batch, so the batch's number serves as the offset.
+        stamped = keyed_records(changes, keys, values, order, partitions).withColumns(
+            {"timestamp": F.current_timestamp(), "offset": F.lit(int(batch_id)).cast("long")})
         # By number, not by its hash: otherwise several partitions would share a task.
         stamped.repartitionById(partitions, "partition").write.mode("overwrite") \
             .parquet(batch_folder(root, batch_id))
     return write
 
 
+def order_header() -> Column:
+    """The order columns of a record as the one header that it carries."""
+    return F.array(F.struct(F.lit(ORDER_HEADER).alias("key"), F.col("order").cast("binary").alias("value"))).alias("headers")
+
+
 def kafka_writer(servers: str, topic: str, keys: list[str], values: list[str],
                  order: list[str]) -> BatchWriter:
     """Keyed topic on a broker, at least once. The broker's partitioner hashes the key."""
     def write(changes: DataFrame, batch_id: int) -> None:
         (
-            keyed_records(changes, keys, values, order, 1).select("key", "value")
+            keyed_records(changes, keys, values, order, 1).select("key", "value", order_header())
             .write.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("topic", topic).save()
         )

@@ -41,14 +41,14 @@ def fan_out(changes: DataFrame, writers: dict[str, BatchWriter], name: str, chec
 
 
 def for_each_batch(changes: DataFrame, each: BatchWriter, name: str, checkpoint: str,
-                   **trigger) -> StreamingQuery:
+                   output_mode: str = "append", **trigger) -> StreamingQuery:
     """Hand each batch to a writer, with its number and the stream that the checkpoint names."""
     def numbered(batch: DataFrame, batch_id: int) -> None:
         named = json.loads(files.read_text(batch.sparkSession, f"{checkpoint}/metadata"))
         each(batch, BatchNumber(batch_id, named["id"]))
 
     return (
-        changes.writeStream.queryName(name).foreachBatch(numbered)
+        changes.writeStream.queryName(name).outputMode(output_mode).foreachBatch(numbered)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": CHECKPOINT_EVERY["sync"]})).start()
     )
@@ -56,10 +56,15 @@ def for_each_batch(changes: DataFrame, each: BatchWriter, name: str, checkpoint:
 
 def table_writer(table: KeyedTable, prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
                  compact_every: int = 20) -> BatchWriter:
-    """Upsert target. Compacts now and then, so readers have few batches to merge."""
+    """Upsert target. Compacts now and then, so readers have few batches to merge.
+
+    What the last ``compact_every`` versions do not use is deleted then, so a reader may work on
+    a version while that many batches arrive.
+    """
     def write(changes: DataFrame, batch_id: int) -> None:
         if table.apply(prepare(changes), batch_id) and (batch_id + 1) % compact_every == 0:
             table.table.compact()
+            table.table.vacuum(keep_versions=compact_every)
     return write
 
 
@@ -67,8 +72,9 @@ def view_writer(table: KeyedTable, view: MaintainedView, compact_every: int = 20
     """Table and view from changes that carry no before-images."""
     def write(changes: DataFrame, batch_id: int) -> None:
         if apply_to_both(changes, batch_id, table, view) and (batch_id + 1) % compact_every == 0:
-            table.table.compact()
-            view.sums.compact()
+            for stored in (table.table, view.sums):
+                stored.compact()
+                stored.vacuum(keep_versions=compact_every)
     return write
 
 

@@ -15,15 +15,18 @@ class KeyedTable:
     """Upsert and delete by key.
 
     The last change by ``order`` wins, also when an older one arrives in a later batch: the
-    stored rows keep their order columns, and deleted keys keep a marker.
+    stored rows keep their order columns, and deleted keys keep a marker. Changes that tie there
+    are ordered by their other columns and then by kind (deletes last), the same way wherever
+    two of them meet, so the outcome does not depend on batches or tasks.
     """
 
     def __init__(self, spark: SparkSession, root: str, row: T.StructType, keys: list[str],
                  order: list[str], buckets: int = 16):
-        self.keys, self.order, self.row = keys, order, row
+        rest = [f.name for f in row.fields if f.name not in (*keys, *order) and not isinstance(f.dataType, T.MapType)]
+        self.keys, self.order, self.row = keys, [*order, *rest, "op"], row
         stored = T.StructType([T.StructField("op", T.StringType()), *row.fields])
         self.table = VersionedTable(
-            spark, root, stored, lambda df, also: latest_per_key(df, [*also, *keys], order),
+            spark, root, stored, lambda df, also: latest_per_key(df, [*also, *keys], self.order),
             keys, keys, buckets)
 
     def stage(self, changes: DataFrame, batch_id: int) -> Staged | None:
@@ -45,7 +48,7 @@ class KeyedTable:
         anything is shuffled or merged. A change older than the stored row has no effect.
         """
         new = self.table.staged_rows(staged)
-        stored = with_keys_of(self.table.unmerged(staged.buckets), new, staged.rows, self.keys)
+        stored = with_keys_of(self.table.unmerged(staged.buckets), new, staged.key_bytes, self.keys)
         old = latest_per_key(stored, self.keys, self.order)
         fields = self.row.names
         before = old.select(

@@ -17,16 +17,20 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import files
 from ..functions.codecs import key_partition
 from ..sources.sinks import stream_of
 
-_BUCKET = "_bucket"
+_BUCKET, _SHARE = "_bucket", "_share"
 
-# Keys of so many rows are broadcast (tens of MB for usual keys); more are joined with a shuffle.
-BROADCAST_ROWS = 1_000_000
+# Keys that take up to so many bytes are broadcast; more are joined with a shuffle.
+BROADCAST_BYTES = 64 * 2**20
+# What a key takes besides its text.
+KEY_OVERHEAD = 32
+# A task of a compaction gets about so many bytes of files.
+TASK_BYTES = 256 * 2**20
 
 
 @dataclass
@@ -36,9 +40,9 @@ class Manifest:
     streams: dict[str, int] = field(default_factory=dict)
     # bucket -> folder that holds it
     buckets: dict[str, str] = field(default_factory=dict)
-    # batches not compacted yet, the buckets that each touches, and the rows it holds
+    # batches not compacted yet, the buckets that each touches, and the bytes of its keys
     batches: dict[str, list[int]] = field(default_factory=dict)
-    batch_rows: dict[str, int] = field(default_factory=dict)
+    key_bytes: dict[str, int] = field(default_factory=dict)
 
     @property
     def last_batch(self) -> int | None:
@@ -53,18 +57,18 @@ class Staged:
     stream: str
     folder: str
     buckets: list[int]
-    rows: int
+    key_bytes: int
 
 
-def with_keys_of(rows: DataFrame, others: DataFrame, other_rows: int, keys: list[str],
+def with_keys_of(rows: DataFrame, others: DataFrame, key_bytes: int, keys: list[str],
                  how: str = "left_semi") -> DataFrame:
     """Rows whose key does, or with ``left_anti`` does not, occur in others. NULL keys match.
 
-    With few others, their keys are broadcast and the rows, which may be a whole table, stay
-    where they are.
+    ``key_bytes`` is the measured size of the others' keys. Small ones are broadcast and the rows,
+    which may be a whole table, stay where they are.
     """
     wanted = others.select(*[F.col(k).alias(f"_other_{k}") for k in keys])
-    if other_rows <= BROADCAST_ROWS:
+    if key_bytes <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys])
     return rows.join(wanted, same, how)
@@ -115,10 +119,15 @@ class VersionedTable:
         (
             (rows if merged else self.merge(rows, [])).select(*self.schema.names)
             .withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets))
-            .observe(touched, F.collect_set(_BUCKET).alias("buckets"), F.count("*").alias("rows"))
+            .observe(touched, F.collect_set(_BUCKET).alias("buckets"), F.sum(self._key_size()).alias("key_bytes"))
             .write.parquet(folder)
         )
-        return Staged(int(batch_id), stream, folder, sorted(touched.get["buckets"] or []), touched.get["rows"] or 0)
+        found = touched.get
+        return Staged(int(batch_id), stream, folder, sorted(found["buckets"] or []), found["key_bytes"] or 0)
+
+    def _key_size(self) -> Column:
+        text = F.concat_ws("", *[F.col(k).cast("string") for k in self.keys])
+        return (F.octet_length(text) + KEY_OVERHEAD * len(self.keys)).cast("long")
 
     def staged_rows(self, staged: Staged) -> DataFrame:
         return self._read([staged.folder])
@@ -127,7 +136,7 @@ class VersionedTable:
         manifest = self.manifest()
         if staged.buckets:
             manifest.batches[staged.folder] = staged.buckets
-            manifest.batch_rows[staged.folder] = staged.rows
+            manifest.key_bytes[staged.folder] = staged.key_bytes
         manifest.version += 1
         manifest.streams[staged.stream] = staged.batch_id
         self._publish(manifest)
@@ -149,7 +158,7 @@ class VersionedTable:
         staged = self._write(rows, 0, "", merged)
         whole = Manifest(manifest.version + 1, dict(manifest.streams if streams is None else streams))
         if staged.buckets:
-            whole.batches, whole.batch_rows = {staged.folder: staged.buckets}, {staged.folder: staged.rows}
+            whole.batches, whole.key_bytes = {staged.folder: staged.buckets}, {staged.folder: staged.key_bytes}
         self._publish(whole)
 
     def compact(self) -> None:
@@ -159,20 +168,23 @@ class VersionedTable:
             return
         touched = sorted({b for buckets in manifest.batches.values() for b in buckets})
         folder = f"{self.root}/buckets/{manifest.version + 1:012d}-{uuid.uuid4().hex}"
-        rows = self._read(
-            [manifest.buckets[str(b)] for b in touched if str(b) in manifest.buckets]
-            + list(manifest.batches)
-        ).withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets))
-        # Rows of a key share a bucket, so one shuffle by bucket serves both the merge, which
-        # then groups by bucket and key, and the layout of the files.
-        merged = self.merge(rows.repartition(len(touched), _BUCKET), [_BUCKET])
-        merged.write.partitionBy(_BUCKET).parquet(folder)
+        sources = [manifest.buckets[str(b)] for b in touched if str(b) in manifest.buckets] + list(manifest.batches)
+        # A large bucket is written by several tasks, each with its share of the keys.
+        shares = max(1, -(-sum(files.size(self.spark, f) for f in sources) // (len(touched) * TASK_BYTES)))
+        rows = self._read(sources).withColumns({
+            _BUCKET: key_partition(self.bucket_by, self.buckets),
+            _SHARE: F.pmod(F.xxhash64(F.lit(_SHARE), *self.keys), F.lit(shares)).cast("int")})
+        # Rows of a key have the same bucket and share, so one shuffle by these serves both the merge,
+        # which then groups by them and the key, and the layout of the files. Twice as many tasks as
+        # there are parts, since their hashes collide.
+        merged = self.merge(rows.repartition(2 * len(touched) * shares, _BUCKET, _SHARE), [_BUCKET, _SHARE])
+        merged.drop(_SHARE).write.partitionBy(_BUCKET).parquet(folder)
         written = {n.partition("=")[2] for n in files.names(self.spark, folder) if "=" in n}
         for bucket in map(str, touched):
             manifest.buckets.pop(bucket, None)
             if bucket in written:
                 manifest.buckets[bucket] = f"{folder}/{_BUCKET}={bucket}"
-        manifest.batches, manifest.batch_rows = {}, {}
+        manifest.batches, manifest.key_bytes = {}, {}
         manifest.version += 1
         self._publish(manifest)
 
@@ -185,18 +197,21 @@ class VersionedTable:
 
     def rows(self) -> DataFrame:
         """The table now. Buckets without waiting batches are read as they are, and so are rows
-        whose key has no waiting row as long as the waiting rows are few."""
+        whose key has no waiting row as long as the waiting keys are small. A single waiting batch
+        is merged already, so where nothing is stored it is read as it is, too."""
         manifest = self.manifest()
         touched = {str(b) for buckets in manifest.batches.values() for b in buckets}
         settled = self._read([f for b, f in manifest.buckets.items() if b not in touched])
         if not manifest.batches:
             return settled
         waiting = self._read(list(manifest.batches))
-        stored = self._read([f for b, f in manifest.buckets.items() if b in touched])
-        count = sum(manifest.batch_rows.values())
-        if count <= BROADCAST_ROWS:
-            settled = settled.unionByName(with_keys_of(stored, waiting, count, self.keys, "left_anti"))
-            stored = with_keys_of(stored, waiting, count, self.keys)
+        older = [f for b, f in manifest.buckets.items() if b in touched]
+        if not older:
+            return (waiting if len(manifest.batches) == 1 else self.merge(waiting, [])).unionByName(settled)
+        stored, key_bytes = self._read(older), sum(manifest.key_bytes.values())
+        if key_bytes <= BROADCAST_BYTES:
+            settled = settled.unionByName(with_keys_of(stored, waiting, key_bytes, self.keys, "left_anti"))
+            stored = with_keys_of(stored, waiting, key_bytes, self.keys)
         return self.merge(stored.unionByName(waiting), []).unionByName(settled)
 
     def unmerged(self, buckets: list[int]) -> DataFrame:
@@ -211,9 +226,11 @@ class VersionedTable:
     # -- housekeeping --------------------------------------------------------------------
 
     def vacuum(self, keep_versions: int = 1) -> list[str]:
-        """Delete folders that none of the last ``keep_versions`` manifests lists.
+        """Delete all manifests but the last ``keep_versions``, and the folders that these do not list.
 
-        Not while a batch is being staged, and readers of older versions must be done.
+        Not while a batch is being staged, and readers of older versions must be done. The markers
+        of deleted keys stay: however late an older change of such a key comes, it must not bring
+        the row back.
         """
         names = [n for n in files.names(self.spark, f"{self.root}/manifests") if n.endswith(".json")]
         used: set[str] = set()
@@ -227,4 +244,7 @@ class VersionedTable:
                 if folder not in used:
                     files.delete(self.spark, folder)
                     gone.append(folder)
+        # Last, so that a run that breaks off leaves nothing unlisted behind.
+        for name in names[:-keep_versions]:
+            files.delete(self.spark, f"{self.root}/manifests/{name}")
         return gone
