@@ -152,6 +152,10 @@ def test_near_duplicates_edge_cases(spark):
     kept = simhash.keep_one(frame(spark, rows))
     assert kept.columns == frame(spark, rows).columns
     assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 7]
+    other = "an entirely different text that shares its number with the one above but none of its words at all"
+    shared = [(4, text, "s"), (4, text, "s"), (4, other, "s"), (None, other + " too", "s"), (None, "alone", "s"), (8, text, "s")]
+    assert sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(frame(spark, shared)).collect()) == [
+        (0, "alone"), (0, other + " too"), (4, other), (4, text)]
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 

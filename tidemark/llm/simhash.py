@@ -223,18 +223,23 @@ def linked(codes: DataFrame, distance: int) -> DataFrame:
     return components(materialise(links, "links")).withColumnRenamed("node", "code")
 
 
+def _grouped(docs: DataFrame, shingle: int, distance: int, least: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, version, code) of each row; (code, root) of each distinct code; the ``least`` of each root's rows."""
+    coded = materialise(docs.select(
+        "doc_id", F.xxhash64("text").alias("version"), fingerprints(F.col("text"), shingle).alias("code")), "codes")
+    classes = materialise(coded.groupBy("code").agg(F.min(least).alias("least")), "classes")
+    named = classes.join(linked(classes, distance), "code", "left").withColumn("root", F.coalesce("root", "code"))
+    return coded, named.select("code", "root"), named.groupBy("root").agg(F.min("least").alias("least"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """One row per row of ``docs``: doc_id, code (long) and component_id, the least doc_id that is reachable.
 
     Null and blank texts have fingerprint zero and link like any other. Repeated rows come back repeated.
     Null doc_ids never become a component's id unless nothing else is in it (then the id is null).
     """
-    coded = materialise(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("code")), "codes")
-    classes = materialise(coded.groupBy("code").agg(F.min("doc_id").alias("least")), "classes")
-    roots = linked(classes, distance)
-    named = classes.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_code = materialise(named.join(least, "root").select("code", "component_id"), "components")
+    coded, roots, least = _grouped(docs, shingle, distance, F.col("doc_id"))
+    by_code = materialise(roots.join(least, "root").select("code", F.col("least").alias("component_id")), "components")
     return coded.join(by_code, "code").select("doc_id", "code", "component_id")
 
 
@@ -245,10 +250,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The documents without near copies: of each component the row with the least doc_id stays.
+    """The documents without near copies: of each component the one with the least doc_id stays.
 
-    Of rows that share this doc_id, one stays; a component without any doc_id keeps one row.
+    Null doc_ids come last. If the kept doc_id stands for several texts of the component, the one of the
+    least hash stays; texts that share a doc_id but are no near copies are different documents and all stay.
+    Rows that agree in doc_id and text are one document: one of them stays.
     """
-    kept = near_duplicates(docs, shingle, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"])).drop("__kept_id").dropDuplicates(["doc_id"])
+    _, _, first = _grouped(docs, shingle, distance, F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "version"))
+    kept = first.select(F.col("least.doc_id").alias("__kept_id"), F.col("least.version").alias("__kept_version"))
+    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.col("__version") == F.col("__kept_version"))
+    return docs.withColumn("__version", F.xxhash64("text")).join(kept, same) \
+        .dropDuplicates(["doc_id", "__version"]).drop("__version", "__kept_id", "__kept_version")
