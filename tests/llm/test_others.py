@@ -179,6 +179,21 @@ def test_pages(spark):
     assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
 
 
+def texts_of(spark, pages):
+    rows = [(i, url, f"<html><body>{html}</body></html>") for i, (url, html) in enumerate(pages)]
+    out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(out, key=lambda r: r.page_id)]
+
+
+def test_pages_with_an_article_are_aligned_too(spark):
+    frame = "<div>Home</div><div>{}</div><article><p>Licence of all pages</p><p>{}</p></article><div>End</div>"
+    pages = [(f"http://a.com/{i}", frame.format(f"Title {i}", f"body of page {i}")) for i in range(200)]
+    pages.append(("http://a.com/199x", "<div>Home</div><div>plain text only</div><div>End</div>"))
+    out = texts_of(spark, pages)
+    assert out[:200] == [f"Title {i}\nLicence of all pages\nbody of page {i}" for i in range(200)]
+    assert out[200] == "plain text only"
+
+
 def test_given_pages_lose_their_frame_only(spark):
     pages = {r.page_id: r.html for r in read(spark, DATA, "pages").collect()}
     for r in html_text.query(spark, DATA).collect():

@@ -1,20 +1,21 @@
 """HTML extraction: page differencing between pages with the nearest URLs.
 
-A page is cut into lines: the text of its blocks, with references decoded. Furniture (menus, headers,
-footers, sidebars, forms, adverts, notices, comments, hidden parts) is told by element, role, class and id.
-What an `article` or `main` element holds besides is the main text, and stays even where another page
-repeats it: licences, quotations and copied articles are content. Where no such element says what is
-content, the page is compared with the pages of its host that stand next to it in the order of their URL
-paths: lines are aligned by their longest common subsequence, and lines that both pages share are deleted.
-
-Pages are numbered in the order of host and path over all tasks, and each is joined with the numbers before
-and after it, so a host with a third of all pages is spread like any other. Only line hashes are sent.
+A page is cut into lines: the text of its blocks, with references decoded. Each page is compared with the
+pages of its host that stand next to it in the order of their URL paths: lines are aligned by their longest
+common subsequence, and lines that both pages share are deleted. A check by elements follows. What an
+`article` or `main` element holds stays even where another page repeats it: licences, quotations and copied
+articles are content. Furniture that differs from page to page (menus, headers, footers, sidebars, forms,
+adverts, notices, comments, hidden parts) is told by element, role, class and id.
+
+Pages are numbered in the order of host and path over all tasks, and aligned in blocks of these numbers, so a
+host with a third of all pages is spread like any other. Only line hashes are sent to be aligned.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import with_dense_id
-from .common import materialise, read
+from .common import read
 from .url_filter import host_and_path
 
 # Elements, roles and words of class and id attributes by what they hold.
@@ -43,6 +44,8 @@ COMMENT_WORDS = {"comment", "comments"}
 
 #: Kinds of lines.
 OUTSIDE, LIKELY, MAIN, DROPPED = range(4)
+#: Pages, in the order of their URLs, that a task aligns at a time; bounds memory only.
+BLOCK = 64
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -192,83 +195,101 @@ def _shared_path(a: str, b: str) -> int:
     return n
 
 
-_PARSED = "page_id long, url string, host string, path string, text string, lines array<string>, kinds binary, hashes binary"
+_SIGNED = "host string, path string, sign binary, lines binary"
 
 
-def _parse(batches):
+def _signed(lines: list[tuple[str, int]]) -> bytes:
+    """Eight bytes a line: six of its hash, two of its characters (0 in furniture, 65535 at most)."""
+    return b"".join(xxhash.xxh64_digest(t)[:6] + (0 if kind == DROPPED else min(len(t), 65535)).to_bytes(2, "big")
+                    for t, kind in lines)
+
+
+def _sign(batches):
+    for batch in batches:
+        lines = [_signed(page_lines(page)) for page in batch["html"]]
+        yield pd.DataFrame({"host": batch["host"], "path": batch["path"], "lines": lines,
+                            "sign": [xxhash.xxh128_digest(x) for x in lines]})
+
+
+_BODY = "page_id long, url string, host string, sign binary, kinds binary, body binary"
+
+
+def _bodies(batches):
     for batch in batches:
-        out = {"text": [], "lines": [], "kinds": [], "hashes": []}
+        out = {"sign": [], "kinds": [], "body": []}
         for page in batch["html"]:
             lines = page_lines(page)
-            main = [t for t, kind in lines if kind == MAIN]
-            out["text"].append("\n".join(main) if main or not lines else None)
-            out["lines"].append([] if main else [t for t, _ in lines])
-            out["kinds"].append(b"" if main else bytes(kind for _, kind in lines))
-            out["hashes"].append(b"".join(xxhash.xxh64_digest(t) for t, _ in lines))
-        yield pd.DataFrame({"page_id": pd.array(batch["page_id"], "string").astype("Int64") if len(batch) else [],
-                            "url": batch["url"], "host": batch["host"], "path": batch["path"], **out})
+            out["sign"].append(xxhash.xxh128_digest(_signed(lines)))
+            out["kinds"].append(bytes(kind for _, kind in lines))
+            out["body"].append(zlib.compress("\n".join(t for t, kind in lines if kind != DROPPED).encode("utf-8", "surrogatepass"), 1))
+        yield pd.DataFrame({"page_id": _ids(batch), "url": batch["url"], "host": batch["host"], **out})
+
+
+def _ids(batch: pd.DataFrame):
+    return pd.array(batch["page_id"], "string").astype("Int64") if len(batch) else []
 
 
 def _hashed(raw: bytes) -> list[bytes]:
-    return [raw[k:k + 8] for k in range(0, len(raw), 8)]
+    return [raw[k:k + 6] for k in range(0, len(raw), 8)]
+
+
+def _shared(own: pd.Series, others: list[pd.Series]) -> bytes:
+    """Bits of the lines that ``own`` shares with the page of ``others`` that has most of its path, the first at a tie."""
+    gone = np.zeros(len(own["lines"]) // 8, bool)
+    if others:
+        other = max(others, key=lambda o: _shared_path(own["path"], o["path"]))
+        gone[common_lines(_hashed(own["lines"]), _hashed(other["lines"]))] = True
+    return np.packbits(gone).tobytes()
+
 
+def _align(key, pages: pd.DataFrame) -> pd.DataFrame:
+    """host, sign, gone: the pages of a block, each aligned with the page of its host before or after it."""
+    at = {r["place"]: r for _, r in pages.iterrows()}
+    own = [r for place, r in at.items() if place // BLOCK == key[0]]
+    gone = [_shared(r, [o for step in (-1, 1) if (o := at.get(r["place"] + step)) is not None and o["host"] == r["host"]])
+            for r in own]
+    return pd.DataFrame({"host": [r["host"] for r in own], "sign": [r["sign"] for r in own], "gone": gone})
 
-def _difference(batches):
-    """Main text of pages without a main element: lines that no neighbour shares, likely content if there is any."""
+
+def _finish(batches):
+    """Lines that are no furniture and that the page does not share, or that its main element protects."""
     for batch in batches:
         texts = []
-        for lines, kinds, own, path, *others in zip(batch["lines"], batch["kinds"], batch["hashes"], batch["path"], batch["before"],
-                                                    batch["before_path"], batch["after"], batch["after_path"]):
-            near = [(p, o) for o, p in (others[:2], others[2:]) if o is not None]
-            best = max((_shared_path(path, p) for p, _ in near), default=0)
-            gone: set[int] = set()
-            for p, other in near:
-                if _shared_path(path, p) == best:
-                    gone.update(common_lines(_hashed(own), _hashed(other)))
-                    break
-            left = [(t, k) for i, (t, k) in enumerate(zip(lines, kinds)) if i not in gone and k != DROPPED]
-            likely = [t for t, k in left if k == LIKELY]
-            texts.append("\n".join(likely or [t for t, _ in left]))
-        yield pd.DataFrame({"page_id": pd.array(batch["page_id"], "string").astype("Int64") if len(batch) else [],
-                            "url": batch["url"], "text": texts})
+        for kinds, body, gone in zip(batch["kinds"], batch["body"], batch["gone"]):
+            shared = np.unpackbits(np.frombuffer(gone, np.uint8)) if gone is not None else np.zeros(len(kinds), np.uint8)
+            left = [i for i, kind in enumerate(kinds) if kind != DROPPED]
+            lines = zlib.decompress(body).decode("utf-8", "surrogatepass").split("\n")
+            texts.append("\n".join(t for i, t in zip(left, lines) if kinds[i] == MAIN or not shared[i]))
+        yield pd.DataFrame({"page_id": _ids(batch), "url": batch["url"], "text": texts})
+
+
+def _dealt(placed: DataFrame) -> DataFrame:
+    """Rows by blocks of ``BLOCK`` places; the first and last of a block also go to the block next to them."""
+    block = [F.floor((F.col("place") + step) / BLOCK) for step in (-1, 0, 1)]
+    return placed.withColumn("block", F.explode(F.array_distinct(F.array(*block))))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text: the main text of each row of ``pages`` (page_id, url, html; other columns unread).
 
     Blocks have their white space made one space and are joined by a line feed. Null and empty html, and
-    pages without any text, give an empty text. Null urls form a host of their own; rows are neighbours in
-    the order host, path, page_id, hash of the page, so repeated rows are neighbours of each other. Of two
-    neighbours the one that shares more of the path counts, at a tie the one before.
+    pages without any text, give an empty text. Null urls form a host of their own. Pages of a host with
+    equal lines are one page, at the least of their paths; pages are neighbours in the order host, path,
+    hash of the lines. Of two neighbours the one that shares more of the path counts, at a tie the one before.
     """
     host, path = host_and_path(F.col("url"))
     # Ids travel as text: a null among them would turn the others into floating point.
-    parsed = materialise(
-        pages.select(F.col("page_id").cast("string"), "url", host.alias("host"), path.alias("path"), "html")
-        .mapInPandas(_parse, _PARSED), "pages")
-    found = parsed.filter("text is not null").select("page_id", "url", "text")
-    # Only hashes are sorted and joined, and the lines of pages that are still open; no finished text moves.
-    lines = parsed.withColumn("open", F.col("text").isNull()).drop("text")
-    open_hosts = lines.filter("open").select("host").distinct()
-    placed = with_dense_id(
-        lines.join(open_hosts, "host", "left_semi").withColumn("order", F.xxhash64("hashes")),
-        ["host", "path", "page_id", "order"], "place")
-    around = placed.select("place", "host", "path", "hashes")
-
-    def neighbour(step: int, name: str) -> DataFrame:
-        return around.select((F.col("place") + step).alias("place"), F.col("host").alias(f"{name}_host"),
-                             F.col("path").alias(f"{name}_path"), F.col("hashes").alias(name))
-
-    def same_host(column: str, name: str):
-        return F.when(F.col(f"{name}_host") == F.col("host"), F.col(column)).alias(column)
-
-    compared = (
-        placed.filter("open")
-        .join(neighbour(1, "before"), "place", "left").join(neighbour(-1, "after"), "place", "left")
-        .select(F.col("page_id").cast("string"), "url", "lines", "kinds", "hashes", "path",
-                *[same_host(c, n) for n in ("before", "after") for c in (n, f"{n}_path")])
-        .mapInPandas(_difference, "page_id long, url string, text string"))
-    return found.unionByName(compared)
+    rows = pages.select(F.col("page_id").cast("string"), "url", host.alias("host"), path.alias("path"), "html")
+    # Only line hashes are sorted and compared; the text moves once, packed, to meet the verdict on its lines.
+    distinct = (
+        rows.select("host", "path", "html").mapInPandas(_sign, _SIGNED).filter(F.length("lines") > 0)
+        .groupBy("host", "sign").agg(F.min("path").alias("path"), F.first("lines").alias("lines")))
+    placed = with_dense_id(distinct, ["host", "path", "sign"], "place")
+    verdicts = _dealt(placed).groupBy("block").applyInPandas(_align, "host string, sign binary, gone binary")
+    return (
+        rows.drop("path").mapInPandas(_bodies, _BODY).join(verdicts, ["host", "sign"], "left")
+        .select(F.col("page_id").cast("string"), "url", "kinds", "body", "gone")
+        .mapInPandas(_finish, "page_id long, url string, text string"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
