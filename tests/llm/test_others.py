@@ -194,6 +194,21 @@ def test_pages_with_an_article_are_aligned_too(spark):
     assert out[200] == "plain text only"
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    def page(*lines):
+        return "".join(f"<div>{x}</div>" for x in ("Home", "Shop", *lines, "End"))
+    same = [f"line {i} of a copied text" for i in range(20)]
+    pages = [("http://a.com/m", page("the other page"))] + [(f"http://a.com/m?mirror={i}", page(*same)) for i in range(40)]
+    pages += [(f"http://a.com/m{i}", page(*same)) for i in range(40)]
+    near = [[*same[:k % 20], f"edit {k} here", *same[k % 20 + 1:]] for k in range(200)]
+    pages += [(f"http://b.com/x/{k:03}", page(*near[k])) for k in range(200)] + [("http://b.com/y", page("last page"))]
+    pages += [(f"http://c.com/{k}", page(*near[k])) for k in range(3)]
+    out = texts_of(spark, pages)
+    assert out[0] == "the other page" and out[1:81] == ["\n".join(same)] * 80
+    assert out[81:281] == ["\n".join(x) for x in near] and out[281] == "last page"
+    assert all(x in out[282 + k].split("\n") for k in range(3) for x in near[k])
+
+
 def test_given_pages_lose_their_frame_only(spark):
     pages = {r.page_id: r.html for r in read(spark, DATA, "pages").collect()}
     for r in html_text.query(spark, DATA).collect():

@@ -2,7 +2,8 @@
 
 A page is cut into lines: the text of its blocks, with references decoded. Each page is compared with the
 pages of its host that stand next to it in the order of their URL paths: lines are aligned by their longest
-common subsequence, and lines that both pages share are deleted. A check by elements follows. What an
+common subsequence, and lines that both pages share are deleted. Copies are no neighbours: equal pages of a host are
+one, and near copies look past each other to the next page that differs. A check by elements follows. What an
 `article` or `main` element holds stays even where another page repeats it: licences, quotations and copied
 articles are content. Furniture that differs from page to page (menus, headers, footers, sidebars, forms,
 adverts, notices, comments, hidden parts) is told by element, role, class and id.
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import with_dense_id
-from .common import read
+from .common import materialise, read, running_sum
 from .url_filter import host_and_path
 
 # Elements, roles and words of class and id attributes by what they hold.
@@ -46,6 +47,8 @@ COMMENT_WORDS = {"comment", "comments"}
 OUTSIDE, LIKELY, MAIN, DROPPED = range(4)
 #: Pages, in the order of their URLs, that a task aligns at a time; bounds memory only.
 BLOCK = 64
+#: Pages next to each other are near copies if they share so much of the text, by characters, that is no furniture.
+COPY = 0.8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -242,12 +245,39 @@ def _shared(own: pd.Series, others: list[pd.Series]) -> bytes:
     return np.packbits(gone).tobytes()
 
 
-def _align(key, pages: pd.DataFrame) -> pd.DataFrame:
-    """host, sign, gone: the pages of a block, each aligned with the page of its host before or after it."""
+def _weights(raw: bytes) -> dict[bytes, int]:
+    out: dict[bytes, int] = defaultdict(int)
+    for k in range(0, len(raw), 8):
+        out[raw[k:k + 6]] += int.from_bytes(raw[k + 6:k + 8], "big")
+    return out
+
+
+def _near_copies(a: dict[bytes, int], b: dict[bytes, int]) -> bool:
+    both = sum(min(n, b.get(x, 0)) for x, n in a.items())
+    return both > 0 and both >= COPY * max(sum(a.values()), sum(b.values()))
+
+
+def _link(key, pages: pd.DataFrame) -> pd.DataFrame:
+    """host, place, start: the pages of a block that are near copies of the page before or after them."""
+    at = {r["place"]: (r["host"], _weights(r["lines"])) for _, r in pages.iterrows()}
+
+    def linked(place: int) -> bool:  # with the place before
+        return place in at and place - 1 in at and at[place][0] == at[place - 1][0] and _near_copies(at[place - 1][1], at[place][1])
+
+    found = [(at[p][0], p, int(not linked(p))) for p in at if p // BLOCK == key[0] and (linked(p) or linked(p + 1))]
+    return pd.DataFrame(found, columns=["host", "place", "start"])
+
+
+def _align(key, pages: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
+    """host, sign, gone: the pages of a block, each aligned with a page of its host before or after its run."""
     at = {r["place"]: r for _, r in pages.iterrows()}
+    outer: dict[int, list] = defaultdict(list)
+    for _, r in runs.sort_values(["low", "edge"]).iterrows():
+        for place in range(max(r["low"], key[0] * BLOCK), min(r["high"], key[0] * BLOCK + BLOCK - 1) + 1):
+            outer[place] += [r] if r["lines"] is not None else []
     own = [r for place, r in at.items() if place // BLOCK == key[0]]
-    gone = [_shared(r, [o for step in (-1, 1) if (o := at.get(r["place"] + step)) is not None and o["host"] == r["host"]])
-            for r in own]
+    gone = [_shared(r, outer[r["place"]] if r["place"] in outer else [
+        o for step in (-1, 1) if (o := at.get(r["place"] + step)) is not None and o["host"] == r["host"]]) for r in own]
     return pd.DataFrame({"host": [r["host"] for r in own], "sign": [r["sign"] for r in own], "gone": gone})
 
 
@@ -269,6 +299,25 @@ def _dealt(placed: DataFrame) -> DataFrame:
     return placed.withColumn("block", F.explode(F.array_distinct(F.array(*block))))
 
 
+def _runs(placed: DataFrame) -> DataFrame:
+    """block, low, high, edge, path, lines: each run of near copies with the pages around it, in each block it meets.
+
+    A run holds the places low to high; edge is the place before or after it. path and lines are null where
+    its host ends.
+    """
+    links = materialise(_dealt(placed.select("place", "host", "lines")).groupBy("block").applyInPandas(
+        _link, "host string, place long, start int"), "links")
+    runs = running_sum(links, [], ["place"], "start", "run").groupBy("run", "host").agg(
+        F.min("place").alias("low"), F.max("place").alias("high"))
+    edges = runs.withColumn("edge", F.explode(F.array(F.col("low") - 1, F.col("high") + 1)))
+    around = placed.select(*[F.col(c).alias(n) for c, n in (  # new names: both sides come from ``placed``
+        ("place", "edge"), ("host", "host"), ("path", "edge_path"), ("lines", "edge_lines"))])
+    blocks = F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK))
+    return edges.join(around, ["edge", "host"], "left").select(
+        F.explode(blocks).alias("block"), "low", "high", "edge",
+        F.col("edge_path").alias("path"), F.col("edge_lines").alias("lines"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text: the main text of each row of ``pages`` (page_id, url, html; other columns unread).
 
@@ -276,6 +325,8 @@ def extract(pages: DataFrame) -> DataFrame:
     pages without any text, give an empty text. Null urls form a host of their own. Pages of a host with
     equal lines are one page, at the least of their paths; pages are neighbours in the order host, path,
     hash of the lines. Of two neighbours the one that shares more of the path counts, at a tie the one before.
+    Near copies that follow each other are compared with the pages before and after all of them; where the
+    host has no other page, nothing tells their frame from their text, and lines are not deleted for being shared.
     """
     host, path = host_and_path(F.col("url"))
     # Ids travel as text: a null among them would turn the others into floating point.
@@ -285,7 +336,8 @@ def extract(pages: DataFrame) -> DataFrame:
         rows.select("host", "path", "html").mapInPandas(_sign, _SIGNED).filter(F.length("lines") > 0)
         .groupBy("host", "sign").agg(F.min("path").alias("path"), F.first("lines").alias("lines")))
     placed = with_dense_id(distinct, ["host", "path", "sign"], "place")
-    verdicts = _dealt(placed).groupBy("block").applyInPandas(_align, "host string, sign binary, gone binary")
+    blocks = _dealt(placed.select("place", "host", "path", "sign", "lines")).groupBy("block")
+    verdicts = blocks.cogroup(_runs(placed).groupBy("block")).applyInPandas(_align, "host string, sign binary, gone binary")
     return (
         rows.drop("path").mapInPandas(_bodies, _BODY).join(verdicts, ["host", "sign"], "left")
         .select(F.col("page_id").cast("string"), "url", "kinds", "body", "gone")
