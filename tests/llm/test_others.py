@@ -209,6 +209,26 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert all(x in out[282 + k].split("\n") for k in range(3) for x in near[k])
 
 
+def kept_lines(html):
+    return [t for t, kind in html_text.page_lines(html) if kind != html_text.DROPPED]
+
+
+def test_wrappers_do_not_drop_the_article():
+    article = "<article><p>text</p></article>"
+    for wrapper in ("<div class='content-sidebar-wrap'>", "<div class='has-sidebar'>", "<section class='share-enabled'>", "<form>",
+                    "<div class='widget'>", "<body class='single comments-open'>", "<div class='page-header'>"):
+        assert kept_lines(wrapper + article) == ["text"], wrapper
+        if wrapper not in ("<form>", "<div class='widget'>"):
+            assert kept_lines(wrapper + "<p>text</p>") == ["text"], wrapper
+    assert kept_lines("<article class='has-comments'><p>text</p></article>") == ["text"]
+    assert kept_lines("<nav>menu<main class='comments'>text") == ["text"]
+    for furniture in ("<ol class='comment-list'>", "<div id='comments'>", "<div hidden>", "<aside>"):
+        assert kept_lines(furniture + article) == [], furniture
+    for furniture in ("<div class='site-footer'>", "<div id='cookie-notice'>", "<div class='x ad-box'>", "<div class='nav-links'>"):
+        assert kept_lines(furniture + "<p>text</p>") == [], furniture
+    assert kept_lines("<main><p>text</p><article class='comment'>me too</article></main>") == ["text"]
+
+
 def test_given_pages_lose_their_frame_only(spark):
     pages = {r.page_id: r.html for r in read(spark, DATA, "pages").collect()}
     for r in html_text.query(spark, DATA).collect():

@@ -34,7 +34,7 @@ RAW = set("script style noscript template textarea title iframe svg math canvas
 BREAKS = set("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset "
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol "
              "optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-FURNITURE = set("aside dialog footer form head menu nav".split())
+SIDES = set("aside dialog footer head menu nav".split())
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent "
             "cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice "
@@ -42,9 +42,14 @@ WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb b
             "sponsor sponsored subscribe toolbar widget".split())
 CONTENT_WORDS = set("article content entry main post story".split())
 COMMENT_WORDS = {"comment", "comments"}
+#: Words that say where or how large furniture is. Others make its name that of a wrapper: has-sidebar, share-enabled.
+PLACES = set("area bar block bottom box container footer form global group header inner item items link links list "
+             "section site thread top".split())
 
 #: Kinds of lines.
 OUTSIDE, LIKELY, MAIN, DROPPED = range(4)
+#: DROPPED, for the elements inside: an article in DROPPED is main text again, in ASIDE only a main element, in SEALED none.
+ASIDE, SEALED = 4, 5
 #: Pages, in the order of their URLs, that a task aligns at a time; bounds memory only.
 BLOCK = 64
 #: Pages next to each other are near copies if they share so much of the text, by characters, that is no furniture.
@@ -55,26 +60,42 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def _furniture(names: str, words: set[str]) -> bool:
+    """Whether one of the class or id names is made of ``words`` and PLACES: cookie-notice is, has-sidebar is not."""
+    for name in names.split():
+        parts = set(_WORD.findall(name))
+        if parts & words and all(x in words or x in PLACES or x.isdigit() for x in parts):
+            return True
+    return False
+
+
 def _kind(tag: str, attributes: str, outer: int) -> int:
     """What an element inside one of kind ``outer`` holds."""
-    if outer == DROPPED or tag in FURNITURE or (tag == "header" and outer != MAIN):
-        return DROPPED
-    words: set[str] = set()
+    found: dict[str, str] = {}
     if attributes.strip():
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
-        if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "") \
-                or found.get("role") in ROLES:
-            return DROPPED
-        words = set(_WORD.findall(found.get("class", "") + " " + found.get("id", "")))
-        if found.get("role") == "main" or found.get("itemprop") == "articlebody":
-            return MAIN
-    if words & COMMENT_WORDS or (words & WORDS and tag not in ("html", "body", "main", "article")):
+    role, names = found.get("role"), found.get("class", "") + " " + found.get("id", "")
+    if outer == SEALED or "hidden" in found or found.get("aria-hidden") == "true" \
+            or "display:none" in found.get("style", "").replace(" ", ""):
+        return SEALED
+    root = tag in ("html", "body", "main", "article")
+    if not root and _furniture(names, COMMENT_WORDS) or (tag == "article" and outer == MAIN and "comment" in names.split()):
+        return SEALED
+    if tag in SIDES or (role in ROLES and role != "form"):
+        return ASIDE
+    if tag == "main" or role == "main":
+        return MAIN
+    if outer == ASIDE:
+        return ASIDE
+    if role == "form":
         return DROPPED
-    if tag in ("article", "main"):
+    if tag == "article" or found.get("itemprop") == "articlebody":
         return MAIN
-    if words and "header" in words and outer != MAIN:
+    if outer == DROPPED or tag == "form" or (not root and _furniture(names, WORDS)):
+        return DROPPED
+    if outer != MAIN and (tag == "header" or (not root and _furniture(names, {"header"}))):
         return DROPPED
-    return max(outer, LIKELY) if words & CONTENT_WORDS else outer
+    return max(outer, LIKELY) if set(_WORD.findall(names)) & CONTENT_WORDS else outer
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
@@ -87,7 +108,7 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
     def flush() -> None:
         if buffer:
             if text := " ".join(entities.unescape("".join(buffer)).split()):
-                out.append((text, open_tags[-1][1]))
+                out.append((text, min(open_tags[-1][1], DROPPED)))
             buffer.clear()
 
     def close(tag: str, barrier: tuple[str, ...] = ()) -> None:
