@@ -229,6 +229,19 @@ def test_wrappers_do_not_drop_the_article():
     assert kept_lines("<main><p>text</p><article class='comment'>me too</article></main>") == ["text"]
 
 
+def test_text_beside_content_words_and_after_unclosed_elements_stays(spark):
+    head = "<h1 class='entry-title'>Title</h1><div class='post-meta'>by me</div>"
+    pages = [(f"http://a.com/{i}", f"<div>Home</div>{head.replace('Title', f'Title {i}')}<div>text of page {i}</div>") for i in range(3)]
+    assert texts_of(spark, pages) == [f"Title {i}\ntext of page {i}" for i in range(3)]
+    for tag in ("button", "object", "select", "canvas", "svg", "math", "iframe"):
+        assert kept_lines(f"<p>a</p><{tag} class=x>inside<p>b</p>c") == ["a", "b", "c"], tag
+        assert kept_lines(f"<{tag}>inside</{tag}>a<{tag}/><p>b</p>") == ["a", "b"], tag
+    assert kept_lines("<button>one<p>b</p><button>two</button>c") == ["b", "c"]
+    assert kept_lines("a<svg/>b<p>c</p><svg><path/></svg>d") == ["ab", "c", "d"]
+    assert kept_lines("<select><optgroup><option>x<option>y</select>a") == ["a"]
+    assert kept_lines("<html><head><title>t</title><script>var a='<p>'<body><p>b</p>") == ["b"]
+
+
 def test_given_pages_lose_their_frame_only(spark):
     pages = {r.page_id: r.html for r in read(spark, DATA, "pages").collect()}
     for r in html_text.query(spark, DATA).collect():

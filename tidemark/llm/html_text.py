@@ -40,16 +40,15 @@ WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb b
             "cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice "
             "notices overlay pager pagination popup promo promoted related share sharing sidebar signup skip social "
             "sponsor sponsored subscribe toolbar widget".split())
-CONTENT_WORDS = set("article content entry main post story".split())
 COMMENT_WORDS = {"comment", "comments"}
 #: Words that say where or how large furniture is. Others make its name that of a wrapper: has-sidebar, share-enabled.
 PLACES = set("area bar block bottom box container footer form global group header inner item items link links list "
              "section site thread top".split())
 
 #: Kinds of lines.
-OUTSIDE, LIKELY, MAIN, DROPPED = range(4)
+OUTSIDE, MAIN, DROPPED = range(3)
 #: DROPPED, for the elements inside: an article in DROPPED is main text again, in ASIDE only a main element, in SEALED none.
-ASIDE, SEALED = 4, 5
+ASIDE, SEALED = 3, 4
 #: Pages, in the order of their URLs, that a task aligns at a time; bounds memory only.
 BLOCK = 64
 #: Pages next to each other are near copies if they share so much of the text, by characters, that is no furniture.
@@ -57,6 +56,8 @@ COPY = 0.8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_BLOCK_BEGINS = re.compile(rf"</?(?:{'|'.join(sorted(BREAKS - {'hr', 'legend', 'optgroup', 'option'}))})[\s/>]", re.I)
+_TEXT_BEGINS = re.compile(r"</head\s*>|<(?:body|article|main)[\s>]", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -95,7 +96,24 @@ def _kind(tag: str, attributes: str, outer: int) -> int:
         return DROPPED
     if outer != MAIN and (tag == "header" or (not root and _furniture(names, {"header"}))):
         return DROPPED
-    return max(outer, LIKELY) if set(_WORD.findall(names)) & CONTENT_WORDS else outer
+    return outer
+
+
+def _raw_end(source: str, at: int, tag: str, closed: bool) -> int:
+    """Where a raw element ends that begins at ``at``: without an end tag of its own at the next block."""
+    if closed and tag in ("svg", "math"):
+        return at
+    end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+    if tag in ("button", "select"):  # these cannot hold each other, so the end tag may be that of a later one
+        again = re.compile(rf"<{tag}[\s>]", re.I).search(source, at, end.start() if end else len(source))
+        end = None if again else end
+    if end and not closed:
+        return end.end()
+    # Blocks in the strings of a script are no blocks.
+    block = (_TEXT_BEGINS if tag in ("script", "style") else _BLOCK_BEGINS).search(source, at)
+    if end and (not block or end.start() < block.start()):
+        return end.end()
+    return block.start() if block else len(source)
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
@@ -131,11 +149,12 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
         if m[1]:
             close(tag)
         elif tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            at = end.end() if end else len(source)
+            at = _raw_end(source, at, tag, m[3].endswith("/"))
         elif tag not in VOID and not m[3].endswith("/"):
             if tag in BREAKS:
                 close("p", ("article", "aside", "body", "div", "footer", "form", "main", "nav", "section", "table", "td"))
+            if tag == "body":
+                close("head")
             if tag == "li":
                 close("li", ("ol", "ul", "menu"))
             kind = _kind(tag, m[3], open_tags[-1][1])
