@@ -144,6 +144,18 @@ def test_url_trees_learn_lexical_form(spark):
     assert url_filter.judged(rows.limit(0)).count() == 0
 
 
+def test_url_trees_learn_rare_labels(spark):
+    pages = [(i, f"http://h{i % 9}.known.org/some-words-{i % 300}") for i in range(3000)]
+    pages += [(5000, "http://h1.known.org/some-words-0")] * 3000  # one URL in half of all rows
+    pages += [(9000 + i, f"http://h{i}.known.org/{10 ** 13 + i}") for i in range(8)]
+    pages += [(9100 + i, f"http://h{i}.new.net/some-words-{i}") for i in range(30)]
+    pages += [(9200 + i, f"http://h{i}.new.net/{10 ** 13 + 77 * i}") for i in range(30)]
+    rules = [("allow", "known.org", "/s"), ("block", "known.org", "/1")]
+    out = {r.page_id: r for r in url_filter.judged(spark.createDataFrame(pages, "page_id long, url string"), rules, sample=20).collect()}
+    assert all(out[9100 + i].verdict == "allow" for i in range(30))
+    assert sum(out[9200 + i].verdict == "block" for i in range(30)) >= 28
+
+
 # --- pages ----------------------------------------------------------------------------------------
 
 def test_common_lines_is_longest():

@@ -20,7 +20,7 @@ from .common import materialise, read
 #: The rules of the registered query: (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-#: At most so many labelled URLs train the trees, picked by a hash of the URL.
+#: At most so many distinct URLs of each label train the trees, picked by a hash of the URL.
 SAMPLE = 20_000
 TREES, DEPTH = 20, 4
 _LEXICAL = ["url_chars", "host_chars", "path_chars", "depth", "digit_ratio", "entropy", "parameters", "labels",
@@ -78,15 +78,22 @@ def _with_suffix_share(rows: DataFrame, suffix: str, out: str) -> DataFrame:
         .drop("b0", "n0", "b1", "n1")
 
 
-def train(labelled: DataFrame, features: list[str], sample: int) -> GBTClassificationModel | None:
-    """Trees from at most ``sample`` rows with ``label`` (1: block); None unless both labels occur."""
-    chosen = materialise(labelled.select("label", "url", "page_id", *features).orderBy(
-        F.xxhash64("url"), "url", "page_id").limit(sample), "url-sample")
-    if chosen.select("label").distinct().count() < 2:
-        return None
+def train(labelled: DataFrame, features: list[str], sample: int) -> GBTClassificationModel:
+    """Trees from distinct URLs with ``label`` (1: block), at most ``sample`` of each label; both must occur.
+
+    A label beyond the bound is sampled by a hash of the URL, and its rows weigh what they stand for.
+    """
+    # Repeated URLs are alike in all features, so one row of each is enough.
+    distinct = materialise(labelled.groupBy(F.coalesce("url", F.lit("")).alias("url")).agg(
+        *[F.max(x).alias(x) for x in ("label", *features)]), "labelled-urls")
+    sizes = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
+    chosen = materialise(reduce(DataFrame.unionByName, [
+        distinct.filter(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(sample)
+        .withColumn("weight", F.lit(max(n / sample, 1.0))) for label, n in sorted(sizes.items())]), "url-sample")
     vectors = VectorAssembler(inputCols=features, outputCol="features").transform(
         chosen.withColumn("label", F.col("label").cast("double")))
-    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=1).fit(vectors.select("features", "label"))
+    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=1, weightCol="weight").fit(
+        vectors.select("features", "label", "weight"))
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
@@ -109,11 +116,12 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, sample:
     shared = materialise(_with_suffix_share(_with_suffix_share(rows, "top", _SUFFIX[0]), "domain", _SUFFIX[1]), "urls")
     features = _LEXICAL + _SUFFIX
     labelled = shared.filter(F.col("label").isNotNull())
-    model = train(labelled, features, sample)
-    if model is None:
-        only = labelled.agg(F.max("label")).first()[0] or 0
-        scored = shared.withColumn("score", F.lit(float(only)))
+    # Over all labelled rows, not a sample: one label only, or none.
+    least, most = labelled.agg(F.min("label"), F.max("label")).first()
+    if least == most:
+        scored = shared.withColumn("score", F.lit(float(most or 0)))
     else:
+        model = train(labelled, features, sample)
         from pyspark.ml.functions import vector_to_array
 
         scored = model.transform(VectorAssembler(inputCols=features, outputCol="features").transform(shared)) \
