@@ -44,6 +44,19 @@ def test_neighbours_with_hot_vector_and_bad_rows(spark):
     assert ann_codes.nearest(empty).count() == 0
 
 
+def test_different_vectors_of_one_id_are_all_candidates(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.standard_normal(16)]) for i in range(1, 200)]
+    rows += [(7, [float(x) for x in rng.standard_normal(16)]) for _ in range(100)] + [rows[9]]  # id 7: 101 vectors
+    rows += [(50, [float(x) for x in rng.standard_normal(16)])]  # and a second vector of a query
+    out = ann_codes.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    for q in (50, 100, 150):
+        wanted = sorted({(-float(ann_codes.exact(np.array([v]), np.array(asked))[0]), i, tuple(v))
+                         for i, v in rows for qid, asked in rows if qid == q and i != q})[:5]
+        found = sorted((r.rank, r.vec_id, r.score) for r in out if r.query_id == q)
+        assert [(i, s) for _, i, s in found] == [(i, -s) for s, i, _ in wanted]
+
+
 def test_error_bound_holds():
     rng = np.random.default_rng(2)
     unit = rng.standard_normal((2000, 48))

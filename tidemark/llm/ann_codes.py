@@ -6,8 +6,8 @@ signs. Packed bits and three scalars per vector estimate its inner product with
 vectors whose upper bound reaches the fifth best similarity known so far are reranked with the originals.
 
 The stated queries meet all vectors in a grid of bounded blocks of either, each cell a task of its own; a
-cell gives the best few for each of its queries, and these are merged. Blocks are dealt by a hash of the id,
-so equal vectors, however many, spread over all cells.
+cell gives the best few for each of its queries, and these are merged. Blocks are dealt by a hash of id and
+vector, so equal vectors and equal ids, however many, spread over all cells.
 """
 
 from __future__ import annotations
@@ -29,12 +29,12 @@ STEP = 4096
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding (array of double) of the rows that take part, one per vec_id (the least array)."""
+    """vec_id and embedding (array of double) of the rows that take part, without repeats of both."""
     values = F.col("embedding").cast("array<double>")
     fine = (F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0))
     return vectors.filter(F.coalesce(fine, F.lit(False))).select("vec_id", values.alias("embedding")) \
-        .groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+        .distinct()
 
 
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
@@ -101,7 +101,9 @@ def _search(out, k, ids, vectors, unit, codes, scalars, query_ids, queries, mean
         first = np.argpartition(guess, -8 * k)[-8 * k:] if len(guess) > 8 * k else np.arange(len(guess))
         known = np.sort(unit[first[guess[first] > -np.inf]] @ unit_queries[j])
         floor = known[-k] if len(known) >= k else -np.inf
-        chosen = np.flatnonzero((guess + by_vector * by_query[j] >= floor) & (guess > -np.inf))
+        reached = guess + by_vector * by_query[j] >= floor
+        reached[first] = True  # their cosines are known, whatever their bounds
+        chosen = np.flatnonzero(reached & (guess > -np.inf))
         close = unit[chosen] @ unit_queries[j]
         if len(close) > k:
             kept = close >= np.partition(close, -k)[-k] - 1e-9
@@ -117,8 +119,9 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each vec_id divisible by ``every``.
 
     Vectors that are null, empty, zero or hold a null or non-finite component take no part, nor do rows
-    without vec_id. Of several vectors of one vec_id the least counts. Vectors of different length are not
-    compared. Fewer candidates than k give fewer rows; ties go to the smaller vec_id; an empty table gives none.
+    without vec_id. Rows that agree in vec_id and vector are one; different vectors of one vec_id are rows of
+    their own, as candidates and as queries, whose neighbours share the k ranks of the query_id; rows of the
+    query's own vec_id are no candidates. Vectors of different length are not compared. Fewer candidates than k give fewer rows; ties go to the smaller vec_id; an empty table gives none.
     """
     spark = vectors.sparkSession
     chosen = materialise(usable(vectors).withColumn("dim", F.size("embedding")), "vectors")
@@ -152,7 +155,7 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     asked = max(-(-counts["q"] // QUERIES), 1)
 
     def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")) \
+        return df.withColumn(own, F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n)).cast("int")) \
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
 
     cells = ["dim", "block", "asked"]
