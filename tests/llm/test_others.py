@@ -277,6 +277,17 @@ def test_given_pages_lose_their_frame_only(spark):
 
 # --- classifier -----------------------------------------------------------------------------------
 
+def test_classifier_learns_from_repeated_rows_once(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality_crf, "fit", lambda documents, labels: taken.append((len(documents), sorted(labels))))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"words of document {i}\nand a line") for i in ids] + [(ids[0], f"words of document {ids[0]}\nand a line")] * 500
+    rows.append((ids[0], "another text of the first id"))
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    quality_crf.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert taken == [(len(ids) + 1, sorted([i % 2 for i in ids] + [ids[0] % 2]))]
+
+
 def test_chain_marginals_equal_enumeration():
     rng = np.random.default_rng(7)
     chain = quality_crf.Chain(np.zeros(1), np.ones(1), np.zeros(2), rng.standard_normal((2, 2)))

@@ -150,7 +150,7 @@ def held_out():
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
-    """The field, from at most ``sample`` labelled documents that are not held out, whole texts."""
+    """The field, from at most ``sample`` labelled documents that are not held out, whole texts, repeated rows once."""
     chosen = (
         labels.filter("doc_id is not null and quality is not null").filter(~held_out())
         .groupBy("doc_id").agg(F.min("quality").alias("__label"))
@@ -163,9 +163,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
                 "doc_id": batch["doc_id"], "label": batch["__label"],
                 "x": [x.astype("<f8").tobytes() for x, _ in found], "n": [w.tobytes() for _, w in found]})
 
-    # At most ``sample`` ids are broadcast, and as many documents' line statistics come back.
+    # At most ``sample`` ids are broadcast; the line statistics of each different text of theirs come back once.
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        .withColumn("hash", F.sha2("text", 256)).dropDuplicates(["doc_id", "hash"])
         .mapInPandas(featured, "doc_id long, label int, x binary, n binary").collect())
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     documents = [(np.frombuffer(r["x"], "<f8").reshape(-1, 3 * _N), np.frombuffer(r["n"], "<f8")) for r in rows]
