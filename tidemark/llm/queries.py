@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, and the SQL that checks those that SQL can express."""
 
-from . import (ann_codes, chat_format, html_text, line_dedup, mixing, packing, quality_crf, quality_rules, simhash,
-               url_filter)
+from . import (ann_codes, chat_format, html_text, line_dedup, mixing, packing, quality_crf, quality_rules, resampling,
+               simhash, token_counts, url_filter, vector_codes)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -14,6 +14,9 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_quality_crf": quality_crf.query,
     "op10_packing": packing.query,
+    "op11_resampling": resampling.query,
+    "op12_token_counts": token_counts.query,
+    "op13_vector_codes": vector_codes.query,
 }
 
 ORACLE = {
@@ -21,4 +24,6 @@ ORACLE = {
     "op2_ann_codes": ann_codes.SQL,
     "op3_chat_format": chat_format.SQL,
     "op6_mixing": mixing.SQL,
+    "op11_resampling": resampling.SQL,
+    "op13_vector_codes": vector_codes.SQL,
 }
