@@ -236,8 +236,9 @@ def gains(docs: DataFrame, target: DataFrame, ngram: int = NGRAM, buckets: int =
     return np.floor(1000 * np.log((t + 1) * (s.sum() + buckets) / ((s + 1) * (t.sum() + buckets)))).astype(np.int64)
 
 
-def weights(docs: DataFrame, gain: np.ndarray, keep: list[str], ngram: int = NGRAM) -> DataFrame:
-    """Adds n_words, n_features and weight, the floored mean gain, to the columns ``keep`` of each row."""
+def weights(docs: DataFrame, gain: np.ndarray, ngram: int = NGRAM) -> DataFrame:
+    """Puts ``__words``, ``__features`` and ``__weight``, the floored mean gain, in the place of the last column,
+    the text."""
     def run(batches):
         for batch in batches:
             words, features, sums = (np.zeros(len(batch), np.int64) for _ in range(3))
@@ -251,9 +252,8 @@ def weights(docs: DataFrame, gain: np.ndarray, keep: list[str], ngram: int = NGR
                 [*batch.columns[:-1], *map(pa.array, (words, features, weight))], schema=None,
                 names=[*batch.schema.names[:-1], "__words", "__features", "__weight"])
 
-    slim = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
-    fields = [*slim.schema.fields[:-1], *[T.StructField(c, T.LongType()) for c in ("__words", "__features", "__weight")]]
-    return slim.mapInArrow(run, T.StructType(fields))
+    fields = [*docs.schema.fields[:-1], *[T.StructField(c, T.LongType()) for c in ("__words", "__features", "__weight")]]
+    return docs.mapInArrow(run, T.StructType(fields))
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, keep: list[str] | None = None,
@@ -272,19 +272,23 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, keep: l
     """
     own = ["n_features", "weight", "score", "rank"]
     keep = [c for c in (keep or ["doc_id"]) if c not in own]
-    weighed = weights(docs, gains(docs, target, ngram, buckets), list(dict.fromkeys(["doc_id", *keep])), ngram)
-    draw = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10)
+    # By number: names may hold dots.
+    carried = [F.col("doc_id").alias("__id"), *[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(keep)]]
+    weighed = weights(docs.select(*carried, F.col("text").cast("string").alias("__text")),
+                      gains(docs, target, ngram, buckets), ngram)
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("__id").cast("string"), F.lit("")))
+    draw = F.conv(F.substring(F.sha2(named, 256), 1, 8), 16, 10)
     noise = F.floor(-1000 * F.log(-F.log((draw.cast("double") + 0.5) / 4294967296))).cast("long")
     scored = materialise(weighed.withColumns({
         "__score": F.col("__weight") + noise, "__row": F.monotonically_increasing_id()}), "scored")
     able = F.col("__words") >= min_words
     # Rows are told apart by their number, so repeats of one row spread over ranges like any others.
     ranked = with_dense_id(scored.filter(able).withColumn("__down", -F.col("__score")),
-                           ["__down", "doc_id", "__features", "__row"], "__rank").drop("__down")
+                           ["__down", "__id", "__features", "__row"], "__rank").drop("__down")
     drawn = scored.filter(able).count() * percent // 100
     rest = scored.filter(~able).withColumn("__rank", F.lit(None).cast("long"))
     return ranked.unionByName(rest).select(
-        *[F.col(f"`{c}`") for c in keep], F.col("__features").alias("n_features"), F.col("__weight").alias("weight"),
+        *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)], F.col("__features").alias("n_features"), F.col("__weight").alias("weight"),
         F.col("__score").alias("score"), F.when(F.col("__rank") <= drawn, F.col("__rank")).alias("rank"))
 
 

@@ -48,7 +48,7 @@ def first_books(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES) ->
     size = len(first[0]["__v"]) if first else 0
     if any(len(r["__v"]) != size for r in first):
         first = smallest(rows.filter(F.size("__v") == size))
-    vectors = np.array([r["__v"] for r in first], np.int64).reshape(-1, size)
+    vectors = np.array([r["__v"] for r in first], np.int64).reshape(len(first), size)
     return np.array_split(vectors, parts, axis=1)
 
 
