@@ -36,6 +36,14 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(handle).getLength()
 
 
+def modified(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name and time, in milliseconds, of each file directly below a folder."""
+    handle, fs = _path(spark, path)
+    if not fs.exists(handle):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(handle) if s.isFile()}
+
+
 def delete(spark: SparkSession, path: str) -> None:
     handle, fs = _path(spark, path)
     fs.delete(handle, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The fact columns the view needs.
 FACT_COLUMNS = ["ss_store_sk", "ss_sold_date_sk", "ss_net_paid_inc_tax", "ss_net_profit",
@@ -29,13 +29,20 @@ def star_join(fact: DataFrame, date_dim: DataFrame, store: DataFrame) -> DataFra
 
 
 def measured(dimension: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A dimension, marked for broadcast if its rows are counted to stay below ``limit`` bytes.
+    """A dimension, marked for broadcast if its rows are measured to stay below ``limit`` bytes.
 
-    The estimate of a joined dimension is a product of its parts and tells nothing, so the rows
-    are counted, with twice the types' usual width for each.
+    The estimate of a joined dimension is a product of its parts and tells nothing, so one job
+    counts the rows and adds up the bytes of what has no fixed width.
     """
-    width = 16 + 2 * sum(20 if f.dataType.typeName() == "string" else 8 for f in dimension.schema.fields)
-    return F.broadcast(dimension) if dimension.count() * width <= limit else dimension
+    fields = dimension.schema.fields
+    loose = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in fields):
+        return dimension  # no cheap measure: Spark's own checks decide
+    texts = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in loose), F.lit(0).cast("long"))
+    # Rows in memory: a header, eight bytes a column, and the texts; twice that in a hash table.
+    row = F.lit(16 + 8 * len(fields)).cast("long") + texts
+    size = dimension.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+    return F.broadcast(dimension) if 2 * size <= limit else dimension
 
 
 def fact_sums(fact: DataFrame, taken_out: Column | None = None) -> DataFrame:

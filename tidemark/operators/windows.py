@@ -76,6 +76,15 @@ def sales_metrics(sales: DataFrame, size: str = METRIC_WINDOW) -> DataFrame:
     )
 
 
+def sales_counts(sales: DataFrame, size: str = METRIC_WINDOW) -> DataFrame:
+    """Sales per window and store, counted only."""
+    return (
+        sales.filter(F.col("store_sk").isNotNull())
+        .groupBy(tumble("event_time", size=size), "store_sk").agg(F.count("*").alias("total_sales"))
+        .select(*_bounds(), "store_sk", "total_sales")
+    )
+
+
 def return_metrics(returns: DataFrame, size: str = METRIC_WINDOW) -> DataFrame:
     """Returns per window and store. The rate is the count over a fixed base, hence pseudo;
     ``true_return_rate`` relates returns to sales."""
@@ -133,33 +142,43 @@ def _seconds(duration: str) -> int | None:
 
 
 def hopping_sums(df: DataFrame, key: str, sums: dict[str, Column | None], size: str,
-                 slide: str) -> DataFrame:
+                 slide: str, chained: bool = False) -> DataFrame:
     """Counts (``None``) and sums per overlapping window and key.
 
     Assigning each row to all its windows multiplies the input by size/slide before anything
     is aggregated. When the slide divides the size, the rows of one slide share all their
     windows, so batch input is first reduced to one row per slide and key, and only those are
-    multiplied. A stream keeps the direct form: its state already merges rows as they come.
+    multiplied. A stream keeps the direct form unless it is ``chained``.
+
+    Chained, a stream has two stateful steps: the first holds each open slide and key once and gives
+    it out when the watermark has passed the slide, the second spreads closed slides over their
+    windows. The direct form takes every row into size/slide windows of its state, the chained one
+    into a single slide; the windows see one row per slide and key. Windows close as they do in the
+    direct form. Rows that are late for their slide do not count for its open windows.
     """
     first = [(F.count("*") if c is None else F.sum(c)).alias(n) for n, c in sums.items()]
     length, step = _seconds(size), _seconds(slide)
-    if df.isStreaming or not length or not step or length % step or length == step:
+    whole = length and step and length % step == 0 and length != step
+    if chained and df.isStreaming and not whole:
+        raise ValueError(f"cannot chain windows of {size} by {slide}")
+    if not whole or df.isStreaming and not chained:
         return df.groupBy(hop("event_time", size=size, slide=slide), key).agg(*first)
     slides = df.groupBy(tumble("event_time", size=slide).alias("_slide"), key).agg(*first)
-    return slides.groupBy(hop("_slide.start", size=size, slide=slide), key).agg(
-        *[F.sum(n).alias(n) for n in sums]
-    )
+    # window_time carries the watermark on to the second step.
+    begin = F.window_time("_slide") if df.isStreaming else F.col("_slide.start")
+    slides = slides.select(begin.alias("_at"), key, *sums)
+    return slides.groupBy(hop("_at", size=size, slide=slide), key).agg(*[F.sum(n).alias(n) for n in sums])
 
 
 def item_trends(sales: DataFrame, size: str = TREND_WINDOW, slide: str = TREND_SLIDE,
                 hot_above: int = HOT_ABOVE, normal_above: int = NORMAL_ABOVE,
-                min_sales: int = TREND_MIN_SALES) -> DataFrame:
+                min_sales: int = TREND_MIN_SALES, chained: bool = False) -> DataFrame:
     """Items per overlapping window with more than ``min_sales`` sales, graded by count."""
     hot, normal, cold = TRENDS
     sold = F.col("sales_count")
     return (
         hopping_sums(sales.filter(F.col("item_sk").isNotNull()), "item_sk",
-                     {"sales_count": None, "revenue": F.col("ext_sales_price")}, size, slide)
+                     {"sales_count": None, "revenue": F.col("ext_sales_price")}, size, slide, chained)
         .filter(sold > min_sales)
         .select(*_bounds(), "item_sk", "sales_count", "revenue",
                 F.when(sold > hot_above, hot).when(sold > normal_above, normal)

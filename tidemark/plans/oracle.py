@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-_SALES = """sales AS (
+SALES = """sales AS (
   SELECT event_id AS id, (user_id % 10)::INTEGER AS store_sk, user_id AS item_sk,
          value::DECIMAL(12,2) AS price, ts
   FROM events WHERE event_type = 'purchase')"""
-_RETURNS = _SALES.replace("sales AS", "returns AS").replace("'purchase'", "'error'")
+RETURNS = SALES.replace("sales AS", "returns AS").replace("'purchase'", "'error'")
 
-_DAY = "time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01')"
+DAY = "time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01')"
 _LOCAL_DAY = "time_bucket(INTERVAL 1 DAY, ts + INTERVAL 8 HOUR, TIMESTAMP '1970-01-01')"
 _MINUTE = "time_bucket(INTERVAL 1 MINUTE, ts, TIMESTAMP '1970-01-01')"
 
@@ -19,7 +19,7 @@ def _half_up(cents: str, n: str) -> str:
 
 
 def _sales_metrics(bucket: str, length: str, closed: str = "") -> str:
-    return f"""WITH {_SALES}, b AS (SELECT *, {bucket} AS w FROM sales)
+    return f"""WITH {SALES}, b AS (SELECT *, {bucket} AS w FROM sales)
     SELECT w AS window_start, w + INTERVAL {length} AS window_end, store_sk::BIGINT AS store_sk,
            count(*) AS total_sales, sum(price)::DOUBLE AS total_revenue,
            sum(price * 0.25::DECIMAL(3,2))::DOUBLE AS total_profit,
@@ -31,21 +31,21 @@ def _sales_metrics(bucket: str, length: str, closed: str = "") -> str:
 def _late_rows() -> str:
     """Rows of store 3 come last: those whose window the others' newest event has closed are dropped."""
     others = "(SELECT max(ts) - INTERVAL 5 SECOND FROM sales WHERE store_sk <> 3)"
-    return _sales_metrics(_DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}").replace(
+    return _sales_metrics(DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {SALES_SEEN}").replace(
         "FROM b GROUP", f"FROM b WHERE store_sk <> 3 OR w + INTERVAL 1 DAY > {others} GROUP")
 
 
 def _return_metrics() -> str:
-    return f"""WITH {_RETURNS}
-      SELECT {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, store_sk::BIGINT AS store_sk,
+    return f"""WITH {RETURNS}
+      SELECT {DAY} AS window_start, {DAY} + INTERVAL 1 DAY AS window_end, store_sk::BIGINT AS store_sk,
         count(*) AS total_returns, sum(price)::DOUBLE AS total_return_amount,
         sum(price * 0.25::DECIMAL(3,2))::DOUBLE AS total_loss, count(*)::DOUBLE / 100 AS pseudo_return_rate
       FROM returns GROUP BY ALL"""
 
 
 def _alerts(closed: str = "") -> str:
-    return f"""WITH {_RETURNS}, g AS (
-      SELECT {_DAY} AS w, store_sk, count(*) AS n FROM returns GROUP BY 1, 2 {closed}),
+    return f"""WITH {RETURNS}, g AS (
+      SELECT {DAY} AS w, store_sk, count(*) AS n FROM returns GROUP BY 1, 2 {closed}),
     r AS (SELECT *, CASE WHEN n > 10 THEN (n * 2000000)::DECIMAL(30,0) ELSE 0 END AS rate_e8 FROM g)
     SELECT w + INTERVAL 1 DAY AS alert_time, 'HIGH_RETURN_RATE' AS alert_type, store_sk::BIGINT AS store_sk,
            '商店 ' || store_sk || ' 退货率异常：' || (n * 2)::VARCHAR || '.00000000%' AS message,
@@ -53,8 +53,8 @@ def _alerts(closed: str = "") -> str:
     FROM r WHERE rate_e8 > 15000000"""
 
 
-def _trends(closed: str = "") -> str:
-    return f"""WITH {_SALES}, h AS (
+def trends(closed: str = "") -> str:
+    return f"""WITH {SALES}, h AS (
       SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 6 HOUR AS w
       FROM sales, range(4) t(k))
     SELECT w AS window_start, w + INTERVAL 1 DAY AS window_end, item_sk, count(*) AS sales_count,
@@ -64,7 +64,7 @@ def _trends(closed: str = "") -> str:
 
 
 # A stream emits the windows that its watermark has passed: five seconds behind the newest event.
-_SALES_SEEN = "(SELECT max(ts) - INTERVAL 5 SECOND FROM sales)"
+SALES_SEEN = "(SELECT max(ts) - INTERVAL 5 SECOND FROM sales)"
 _RETURNS_SEEN = "(SELECT max(ts) - INTERVAL 5 SECOND FROM returns)"
 
 _OP = "CASE WHEN l_returnflag = 'R' THEN '-D' WHEN l_linestatus = 'F' THEN '+U' ELSE '+I' END"
@@ -80,7 +80,7 @@ def _state(name: str = "state", source: str = "lineitem", keys: str = "l_orderke
       FROM {source}) WHERE rn = 1 AND op <> '-D')"""
 
 
-_CURRENT = f"WITH {_state()} SELECT {_ROW} FROM state"
+CURRENT = f"WITH {_state()} SELECT {_ROW} FROM state"
 _OLD_NEW = f"""WITH past AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'),
   {_state('old_rows', 'past')}, {_state('new_rows')},
   both_rows AS (SELECT coalesce(o.l_orderkey, n.l_orderkey) AS l_orderkey,
@@ -91,14 +91,14 @@ _OLD_NEW = f"""WITH past AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP
       (n.l_shipdate, n.l_partkey, n.l_suppkey, n.l_quantity, n.l_extendedprice, n.l_tax, n.l_discount) AS alike
     FROM old_rows o FULL JOIN new_rows n ON o.l_orderkey = n.l_orderkey AND o.l_linenumber = n.l_linenumber)"""
 
-_DIMS = """store AS (SELECT s_suppkey AS s_store_sk, s_name AS s_store_name, n_name AS s_state, r_name AS s_market_manager
+DIMS = """store AS (SELECT s_suppkey AS s_store_sk, s_name AS s_store_name, n_name AS s_state, r_name AS s_market_manager
     FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
   days AS (SELECT DISTINCT o_orderdate::DATE AS d_date FROM orders)"""
 _TAXED = "(l_extendedprice::DECIMAL(12,2) * (1 + l_tax::DECIMAL(3,2)))"
 _PROFIT = "(l_extendedprice::DECIMAL(12,2) * (0.05::DECIMAL(3,2) - l_discount::DECIMAL(3,2)))"
 
 
-def _view(rows: str) -> str:
+def view(rows: str) -> str:
     return f"""SELECT s_store_sk AS ss_store_sk, s_store_name, s_state, s_market_manager,
       d_date::VARCHAR AS sold_date_sk, sum({_TAXED})::DOUBLE AS total_sales_amount,
       sum({_PROFIT})::DOUBLE AS total_net_profit, sum(l_quantity)::BIGINT AS total_items_sold,
@@ -107,7 +107,7 @@ def _view(rows: str) -> str:
     GROUP BY s_store_sk, s_store_name, s_state, s_market_manager, d_date"""
 
 
-_CURRENT_VIEW = f"WITH {_state()}, {_DIMS} {_view('state')}"
+CURRENT_VIEW = f"WITH {_state()}, {DIMS} {view('state')}"
 
 _WIDE = """l_orderkey * 10 + l_linenumber AS {id}, l_partkey AS {p}item_sk, {customer}
   l_suppkey AS {p}store_sk, l_orderkey AS {p}ticket_number, l_quantity::BIGINT AS {p}quantity,
@@ -170,28 +170,28 @@ _NOW_COUPON = "(CASE WHEN l_discount >= 0.05 THEN 12.50 ELSE 0 END)"
 _KEY_JSON = """'{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber"""
 
 ORACLE: dict[str, str] = {
-    "sales_metrics_tumbling": _sales_metrics(_DAY, "1 DAY"),
+    "sales_metrics_tumbling": _sales_metrics(DAY, "1 DAY"),
     "sales_metrics_by_minute": _sales_metrics(_MINUTE, "1 MINUTE"),
-    "sales_metrics_stream": _sales_metrics(_DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}"),
+    "sales_metrics_stream": _sales_metrics(DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {SALES_SEEN}"),
     "return_metrics_tumbling": _return_metrics(),
     "return_alerts": _alerts(),
-    "return_alerts_stream": _alerts(f"HAVING {_DAY} + INTERVAL 1 DAY <= {_RETURNS_SEEN}"),
-    "item_trends_hopping": _trends(),
-    "item_trends_stream": _trends(f"AND w + INTERVAL 1 DAY <= {_SALES_SEEN}"),
-    "top_item_per_window": f"""WITH {_SALES}, c AS (
-        SELECT {_DAY} AS w, store_sk, item_sk, count(*) AS n FROM sales GROUP BY ALL)
+    "return_alerts_stream": _alerts(f"HAVING {DAY} + INTERVAL 1 DAY <= {_RETURNS_SEEN}"),
+    "item_trends_hopping": trends(),
+    "item_trends_stream": trends(f"AND w + INTERVAL 1 DAY <= {SALES_SEEN}"),
+    "top_item_per_window": f"""WITH {SALES}, c AS (
+        SELECT {DAY} AS w, store_sk, item_sk, count(*) AS n FROM sales GROUP BY ALL)
       SELECT w AS window_start, w + INTERVAL 1 DAY AS window_end, store_sk::BIGINT AS store_sk,
         item_sk AS top_item_sk, n AS top_item_sales
       FROM c QUALIFY row_number() OVER (PARTITION BY w, store_sk ORDER BY n DESC, item_sk) = 1""",
-    "true_return_rate": f"""WITH {_SALES}, {_RETURNS},
-      s AS (SELECT {_DAY} AS w, store_sk, count(*) AS n FROM sales GROUP BY ALL),
-      r AS (SELECT {_DAY} AS w, store_sk, count(*) AS n FROM returns GROUP BY ALL)
+    "true_return_rate": f"""WITH {SALES}, {RETURNS},
+      s AS (SELECT {DAY} AS w, store_sk, count(*) AS n FROM sales GROUP BY ALL),
+      r AS (SELECT {DAY} AS w, store_sk, count(*) AS n FROM returns GROUP BY ALL)
       SELECT coalesce(s.w, r.w) AS window_start, coalesce(s.w, r.w) + INTERVAL 1 DAY AS window_end,
         coalesce(s.store_sk, r.store_sk)::BIGINT AS store_sk, coalesce(s.n, 0) AS total_sales,
         coalesce(r.n, 0) AS total_returns,
         CASE WHEN s.n > 0 THEN coalesce(r.n, 0)::DOUBLE / s.n END AS return_rate
       FROM s FULL JOIN r ON s.w = r.w AND s.store_sk = r.store_sk""",
-    "json_sales_stream": _sales_metrics(_DAY, '1 DAY', f'HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}'),
+    "json_sales_stream": _sales_metrics(DAY, '1 DAY', f'HAVING w + INTERVAL 1 DAY <= {SALES_SEEN}'),
     "json_returns_stream": f"""SELECT * FROM ({_return_metrics()}) WHERE window_end <=
       (SELECT max(ts) - INTERVAL 5 SECOND FROM events WHERE event_type = 'error')""",
     "projection_stream": f"""SELECT {_OP} AS op_type, l_shipdate AS op_time, l_orderkey,
@@ -199,7 +199,7 @@ ORACLE: dict[str, str] = {
 
     "lenient_json_decode": """SELECT event_id, (regexp_extract(props, '"k": (-?[0-9]+)', 1))::BIGINT AS k,
       TRUE AS missing_is_null FROM events WHERE event_type <> 'error'""",
-    "json_event_feed": f"""WITH {_SALES} SELECT store_sk::BIGINT AS store_sk, count(*) AS rows_read,
+    "json_event_feed": f"""WITH {SALES} SELECT store_sk::BIGINT AS store_sk, count(*) AS rows_read,
       sum(price)::DOUBLE AS revenue, min(ts) AS first_sale FROM sales GROUP BY 1""",
     "envelope_changes": f"""WITH l AS (SELECT *, {_OP} AS kind FROM lineitem), i AS (
         SELECT kind AS op, l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate FROM l
@@ -220,11 +220,11 @@ ORACLE: dict[str, str] = {
       SELECT op, {_ROW} FROM state""",
     "composite_key_state": f"""WITH {_state(keys='l_shipdate, l_suppkey, l_partkey',
       order='l_quantity DESC, l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC')} SELECT op, {_ROW} FROM state""",
-    "cdc_upsert_stream": _CURRENT,
-    "snapshot_then_changes": _CURRENT,
-    "row_operations": _CURRENT,
-    "atomic_batches": _CURRENT,
-    "late_changes": _CURRENT,
+    "cdc_upsert_stream": CURRENT,
+    "snapshot_then_changes": CURRENT,
+    "row_operations": CURRENT,
+    "atomic_batches": CURRENT,
+    "late_changes": CURRENT,
     "cdc_op_mix": f"SELECT {_OP} AS op, count(*) AS changes FROM lineitem GROUP BY 1",
     "cdc_signed_count": f"WITH {_state()} SELECT count(*) AS row_count FROM state",
     "version_changes": f"""{_OLD_NEW} SELECT CASE WHEN NOT in_old THEN '+I' WHEN NOT in_new THEN '-D' ELSE '+U' END AS op,
@@ -244,7 +244,7 @@ ORACLE: dict[str, str] = {
       SELECT 'rows_kept' AS measure, count(*) AS value FROM state
       UNION ALL SELECT 'part_keys', sum(l_partkey)::BIGINT FROM state
       UNION ALL SELECT unnest(['bad_key', 'bad_value']), n FROM keys""",
-    "second_checkpoint": _CURRENT,
+    "second_checkpoint": CURRENT,
     "append_refused": f"SELECT {_OP} AS op, count(*) AS changes, TRUE AS refused, 0::BIGINT AS rows_written FROM lineitem GROUP BY 1",
     "lookup_by_key": """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_shipdate, l_extendedprice
       FROM lineitem WHERE l_orderkey = 7 AND l_linenumber = 1""",
@@ -252,17 +252,17 @@ ORACLE: dict[str, str] = {
       SELECT step, status, row_count FROM n, LATERAL (VALUES ('missing', 'NOT EXISTS', NULL), ('made', 'EXISTS', 0),
         ('filled', 'EXISTS', n), ('made again', 'EXISTS', n), ('recreated', 'EXISTS', 0), ('dropped', 'NOT EXISTS', NULL)
       ) t(step, status, row_count)""",
-    "exact_amounts": f"""WITH {_DIMS} SELECT l_suppkey AS ss_store_sk, d_date::VARCHAR AS sold_date_sk,
+    "exact_amounts": f"""WITH {DIMS} SELECT l_suppkey AS ss_store_sk, d_date::VARCHAR AS sold_date_sk,
         sum({_TAXED}::DECIMAL(18,4))::DECIMAL(28,4)::VARCHAR AS total_sales_amount,
         sum({_PROFIT}::DECIMAL(18,4))::DECIMAL(28,4)::VARCHAR AS total_net_profit
       FROM lineitem JOIN days ON l_shipdate::DATE = d_date JOIN store ON l_suppkey = s_store_sk GROUP BY 1, 2""",
     "local_load_stamps": """SELECT count(*) AS stamped_rows, least(count(*), 1) AS stamps,
       'timestamp_ntz' AS stamp_type FROM lineitem WHERE l_returnflag = 'R'""",
-    "restart_stream": _sales_metrics(_DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}"),
+    "restart_stream": _sales_metrics(DAY, "1 DAY", f"HAVING w + INTERVAL 1 DAY <= {SALES_SEEN}"),
     "late_rows_stream": _late_rows(),
-    "two_domains_stream": f"""WITH {_SALES}, {_RETURNS}, s AS (SELECT *, {_DAY} AS w FROM sales), r AS (SELECT *, {_DAY} AS w FROM returns)
+    "two_domains_stream": f"""WITH {SALES}, {RETURNS}, s AS (SELECT *, {DAY} AS w FROM sales), r AS (SELECT *, {DAY} AS w FROM returns)
       SELECT 'sales' AS domain, w AS window_start, store_sk::BIGINT AS store_sk, count(*) AS events, sum(price)::DOUBLE AS amount
-      FROM s GROUP BY w, store_sk HAVING w + INTERVAL 1 DAY <= {_SALES_SEEN}
+      FROM s GROUP BY w, store_sk HAVING w + INTERVAL 1 DAY <= {SALES_SEEN}
       UNION ALL SELECT 'returns', w, store_sk::BIGINT, count(*), sum(price)::DOUBLE
       FROM r GROUP BY w, store_sk HAVING w + INTERVAL 1 DAY <= {_RETURNS_SEEN}""",
     "running_count_stream": f"""WITH p AS (SELECT CASE WHEN {_OP} = '-D' THEN -1 ELSE 1 END AS s,
@@ -271,23 +271,23 @@ ORACLE: dict[str, str] = {
       FROM p, range(4) t(turn) GROUP BY turn""",
     "processing_times": "SELECT count(*) AS stamped_rows, count(*) AS after_event FROM events",
     "sales_per_local_day": _sales_metrics(_LOCAL_DAY, "1 DAY"),
-    "view_rebuild_in_between": _CURRENT_VIEW,
+    "view_rebuild_in_between": CURRENT_VIEW,
     "peek_check": "SELECT least(5, count(*)) AS rows_found FROM lineitem",
     "append_inserts": f"SELECT {_ROW} FROM lineitem WHERE {_OP} = '+I'",
     "fanout_reconcile": f"""WITH {_state()} SELECT 'same' AS status, count(*) AS keys, count(*) AS source_rows,
       count(*) AS target_rows FROM state""",
 
-    "star_join": f"""WITH {_DIMS} SELECT s_store_sk AS ss_store_sk, s_store_name, s_state, d_date::VARCHAR AS d_date,
+    "star_join": f"""WITH {DIMS} SELECT s_store_sk AS ss_store_sk, s_store_name, s_state, d_date::VARCHAR AS d_date,
       l_orderkey AS ss_ticket_number, l_quantity::BIGINT AS ss_quantity, {_TAXED}::DOUBLE AS ss_net_paid_inc_tax
       FROM lineitem JOIN days ON l_shipdate::DATE = d_date JOIN store ON l_suppkey = s_store_sk""",
-    "daily_store_view": f"WITH {_DIMS} {_view('lineitem')}",
-    "daily_store_view_ivm": _CURRENT_VIEW,
-    "daily_store_view_stream": _CURRENT_VIEW,
-    "star_join_stream": f"""WITH {_DIMS} SELECT s_store_sk AS ss_store_sk, s_state, d_date::VARCHAR AS d_date,
+    "daily_store_view": f"WITH {DIMS} {view('lineitem')}",
+    "daily_store_view_ivm": CURRENT_VIEW,
+    "daily_store_view_stream": CURRENT_VIEW,
+    "star_join_stream": f"""WITH {DIMS} SELECT s_store_sk AS ss_store_sk, s_state, d_date::VARCHAR AS d_date,
       l_orderkey AS ss_ticket_number, l_quantity::BIGINT AS ss_quantity
       FROM lineitem JOIN days ON l_shipdate::DATE = d_date JOIN store ON l_suppkey = s_store_sk""",
-    "view_from_row_images": _CURRENT_VIEW,
-    "view_rebuild": _CURRENT_VIEW,
+    "view_from_row_images": CURRENT_VIEW,
+    "view_rebuild": CURRENT_VIEW,
 
     "warehouse_projection": f"SELECT {_WAREHOUSE}, TIMESTAMP '2030-01-01' AS sync_timestamp FROM lineitem",
     "unkeyed_warehouse_projection": f"""SELECT * EXCLUDE (source_id) FROM (

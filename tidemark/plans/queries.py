@@ -46,11 +46,11 @@ def _returns(spark, sf_dir):
     return X.with_event_time(D.return_events(D.table(spark, sf_dir, "events")))
 
 
-def _lines(spark, sf_dir):
+def lines(spark, sf_dir):
     return D.table(spark, sf_dir, "lineitem")
 
 
-def _dims(spark, sf_dir):
+def dims(spark, sf_dir):
     return D.date_dim(D.table(spark, sf_dir, "orders")), D.store_dim(spark, sf_dir)
 
 
@@ -117,14 +117,14 @@ def item_trends_stream(spark, sf_dir):
     return _stream_to_table(X.item_trends(sales, size="1 day", slide="6 hours"), "item_trends_stream")
 
 
-def _in_turns(parts: list[DataFrame], folder: str, run: Callable[[int], None]) -> None:
+def in_turns(parts: list[DataFrame], folder: str, run: Callable[[int], None]) -> None:
     """Parts arrive in a folder one after another; after each, the streams over it go on."""
     for turn, part in enumerate(parts):
         part.write.mode("append").parquet(folder)
         run(turn)
 
 
-def _events_in_turns(spark, sf_dir, name: str, parts: list, streams: dict) -> dict[str, DataFrame]:
+def events_in_turns(spark, sf_dir, name: str, parts: list, streams: dict) -> dict[str, DataFrame]:
     """Operators as streams over parts of the events. Each stops after a part and starts again
     from its checkpoint for the next one; what they wrote is read back."""
     home, events = fresh_dir(spark, name), D.table(spark, sf_dir, "events")
@@ -141,13 +141,13 @@ def _events_in_turns(spark, sf_dir, name: str, parts: list, streams: dict) -> di
         for one in started.values():
             one.awaitTermination()
 
-    _in_turns([events.filter(part) for part in parts], f"{home}/in", run)
+    in_turns([events.filter(part) for part in parts], f"{home}/in", run)
     return {d: spark.read.schema(shapes_of[d]).parquet(f"{home}/out-{d}") for d in streams}
 
 
-def _decades():
+def decades(time: str = "ts"):
     """The events' days in three parts, the first also holding those without a time."""
-    day = F.coalesce(F.dayofmonth("ts"), F.lit(0))
+    day = F.coalesce(F.dayofmonth(time), F.lit(0))
     return [day <= 10, (day > 10) & (day <= 20), day > 20]
 
 
@@ -158,14 +158,14 @@ def _sales_by_day(events: DataFrame) -> DataFrame:
 @query
 def restart_stream(spark, sf_dir):
     """Sales metrics by a stream that is stopped twice: open windows go on from the checkpoint."""
-    return _events_in_turns(spark, sf_dir, "restart", _decades(), {"sales": _sales_by_day})["sales"]
+    return events_in_turns(spark, sf_dir, "restart", decades(), {"sales": _sales_by_day})["sales"]
 
 
 @query
 def late_rows_stream(spark, sf_dir):
     """Store 3 reports when all others have: rows of windows that are closed by then do not count."""
     late = F.coalesce(F.col("user_id") % 10 == 3, F.lit(False))
-    return _events_in_turns(spark, sf_dir, "late-rows", [~late, late], {"sales": _sales_by_day})["sales"]
+    return events_in_turns(spark, sf_dir, "late-rows", [~late, late], {"sales": _sales_by_day})["sales"]
 
 
 @query
@@ -174,7 +174,7 @@ def two_domains_stream(spark, sf_dir):
     def returns(events):
         return X.return_metrics(X.with_event_time(D.return_events(events)), size="1 day")
 
-    out = _events_in_turns(spark, sf_dir, "domains", _decades(), {"sales": _sales_by_day, "returns": returns})
+    out = events_in_turns(spark, sf_dir, "domains", decades(), {"sales": _sales_by_day, "returns": returns})
     keys = ["window_start", "store_sk"]
     return out["sales"].select(F.lit("sales").alias("domain"), *keys, F.col("total_sales").alias("events"),
                                F.col("total_revenue").alias("amount")).unionByName(
@@ -194,7 +194,7 @@ def running_count_stream(spark, sf_dir):
         jobs.for_each_batch(C.running_count(feed), keep, "running_count_stream", f"{home}/checkpoint",
                             output_mode="complete", availableNow=True).awaitTermination()
 
-    _in_turns(_line_parts(spark, sf_dir), f"{home}/in", run)
+    in_turns(line_parts(spark, sf_dir), f"{home}/in", run)
     return spark.read.schema("row_count bigint, turn int").parquet(f"{home}/counts")
 
 
@@ -291,7 +291,7 @@ _ENVELOPE_ROW = columns("l_orderkey:long l_linenumber:int l_quantity:double l_ex
 @query
 def envelope_changes(spark, sf_dir):
     """Envelopes split into one change per image, with their metadata columns."""
-    return feeds.change_feed(_envelopes(_lines(spark, sf_dir)), _ENVELOPE_ROW)
+    return feeds.change_feed(_envelopes(lines(spark, sf_dir)), _ENVELOPE_ROW)
 
 
 def _change_scan(changes: DataFrame, table_name: str, row: T.StructType) -> DataFrame:
@@ -304,19 +304,19 @@ def _change_scan(changes: DataFrame, table_name: str, row: T.StructType) -> Data
 @query
 def sales_change_scan(spark, sf_dir):
     """Full-width change feed of sales, with its metadata columns."""
-    return _change_scan(D.wide_sales(_lines(spark, sf_dir)), "store_sales", STORE_SALES)
+    return _change_scan(D.wide_sales(lines(spark, sf_dir)), "store_sales", STORE_SALES)
 
 
 @query
 def returns_change_scan(spark, sf_dir):
     """Full-width change feed of returns."""
-    return _change_scan(D.wide_returns(_lines(spark, sf_dir)), "store_returns", STORE_RETURNS)
+    return _change_scan(D.wide_returns(lines(spark, sf_dir)), "store_returns", STORE_RETURNS)
 
 
 @query
 def envelope_signed_sums(spark, sf_dir):
     """What the images add to and take from each table column."""
-    images = feeds.change_feed(_envelopes(_lines(spark, sf_dir)), _ENVELOPE_ROW)
+    images = feeds.change_feed(_envelopes(lines(spark, sf_dir)), _ENVELOPE_ROW)
     return images.groupBy("op").agg(
         F.sum(C.sign()).alias("row_balance"), F.sum(F.col("l_quantity") * C.sign()).alias("quantity_balance"))
 
@@ -325,12 +325,12 @@ def envelope_signed_sums(spark, sf_dir):
 
 @query
 def cdc_latest_state(spark, sf_dir):
-    return C.materialize(D.line_changes(_lines(spark, sf_dir)), D.LINE_KEY, D.LINE_ORDER)
+    return C.materialize(D.line_changes(lines(spark, sf_dir)), D.LINE_KEY, D.LINE_ORDER)
 
 
 def _other_key_state(spark, sf_dir, keys):
     order = [c for c in [*D.LINE_ORDER, *D.LINE_KEY] if c not in keys]
-    return C.materialize(D.line_changes(_lines(spark, sf_dir)), keys, order).select("op", *D.LINE_ROW.names)
+    return C.materialize(D.line_changes(lines(spark, sf_dir)), keys, order).select("op", *D.LINE_ROW.names)
 
 
 @query
@@ -345,7 +345,7 @@ def composite_key_state(spark, sf_dir):
     return _other_key_state(spark, sf_dir, ["l_shipdate", "l_suppkey", "l_partkey"])
 
 
-def _keyed_table(spark, home, buckets=8):
+def keyed_table(spark, home, buckets=8):
     return KeyedTable(spark, home, D.LINE_ROW, D.LINE_KEY, D.LINE_ORDER, buckets)
 
 
@@ -356,7 +356,7 @@ def cdc_upsert_stream(spark, sf_dir):
     The table takes changes in any order, so a long feed may come in batches of bounded size.
     """
     home = fresh_dir(spark, "cdc-upsert")
-    keyed = _keyed_table(spark, f"{home}/table")
+    keyed = keyed_table(spark, f"{home}/table")
     feed = D.line_changes(D.table_stream(spark, sf_dir, "lineitem", maxBytesPerTrigger=str(256 * 2**30)))
     jobs.for_each_batch(feed, jobs.table_writer(keyed), "cdc_upsert_stream", f"{home}/checkpoint",
                         availableNow=True).awaitTermination()
@@ -368,19 +368,19 @@ def _line_part():
     return F.least(F.greatest(F.coalesce(F.year("l_shipdate"), F.lit(0)) - 1997, F.lit(0)), F.lit(3))
 
 
-def _line_parts(spark, sf_dir):
-    return [_lines(spark, sf_dir).filter(_line_part() == n) for n in range(4)]
+def line_parts(spark, sf_dir):
+    return [lines(spark, sf_dir).filter(_line_part() == n) for n in range(4)]
 
 
 def _shuffled_parts(spark, sf_dir):
     """The same parts as they may arrive on a bad day: newer ones before older ones."""
-    parts = _line_parts(spark, sf_dir)
+    parts = line_parts(spark, sf_dir)
     return [parts[n] for n in (2, 0, 3, 1)]
 
 
 def _halves(spark, sf_dir):
     """The feed before and from a day on; lines without a date come first."""
-    feed, cut = D.line_changes(_lines(spark, sf_dir)), F.lit("1998-01-01").cast("timestamp_ntz")
+    feed, cut = D.line_changes(lines(spark, sf_dir)), F.lit("1998-01-01").cast("timestamp_ntz")
     late = F.coalesce(F.col("l_shipdate") >= cut, F.lit(False))
     return feed.filter(~late), feed.filter(late)
 
@@ -407,7 +407,7 @@ def row_operations(spark, sf_dir):
 def atomic_batches(spark, sf_dir):
     """A batch that failed half-way, its repetition, and one delivered twice."""
     before, after = _halves(spark, sf_dir)
-    keyed = _keyed_table(spark, fresh_dir(spark, "atomic"))
+    keyed = keyed_table(spark, fresh_dir(spark, "atomic"))
     keyed.apply(before, 0)
     keyed.apply(before, 0)
     keyed.stage(after, 1)  # written, never committed
@@ -421,7 +421,7 @@ def atomic_batches(spark, sf_dir):
 def late_changes(spark, sf_dir):
     """The newer half of the feed first: older changes that come later must not win."""
     before, after = _halves(spark, sf_dir)
-    keyed = _keyed_table(spark, fresh_dir(spark, "late"))
+    keyed = keyed_table(spark, fresh_dir(spark, "late"))
     keyed.apply(after, 0)
     keyed.table.compact()
     keyed.apply(before, 1)
@@ -430,10 +430,10 @@ def late_changes(spark, sf_dir):
 
 @query
 def cdc_op_mix(spark, sf_dir):
-    return C.op_mix(D.line_changes(_lines(spark, sf_dir)))
+    return C.op_mix(D.line_changes(lines(spark, sf_dir)))
 
 
-def _versions(spark, sf_dir):
+def versions(spark, sf_dir):
     before, after = _halves(spark, sf_dir)
     old = C.materialize(before, D.LINE_KEY, D.LINE_ORDER).drop("op")
     new = C.materialize(before.unionByName(after), D.LINE_KEY, D.LINE_ORDER).drop("op")
@@ -443,7 +443,7 @@ def _versions(spark, sf_dir):
 @query
 def cdc_signed_count(spark, sf_dir):
     """Size of a table from its change images alone: those of the snapshot and those since."""
-    old, new = _versions(spark, sf_dir)
+    old, new = versions(spark, sf_dir)
     since = C.split_images(C.diff_changes(old, new, D.LINE_KEY), [])
     return C.running_count(old.withColumn("op", F.lit(C.INSERT)).unionByName(since))
 
@@ -451,14 +451,14 @@ def cdc_signed_count(spark, sf_dir):
 @query
 def version_changes(spark, sf_dir):
     """Inserts, updates and deletes that lead from one version of a table to the next."""
-    old, new = _versions(spark, sf_dir)
+    old, new = versions(spark, sf_dir)
     return C.op_mix(C.diff_changes(old, new, D.LINE_KEY))
 
 
 @query
 def keyed_topic(spark, sf_dir):
     """Upserts and tombstones as key and value text, written to a topic and dumped from it."""
-    lines = _lines(spark, sf_dir).withColumns({"op": D.line_op(), "price": F.col("l_extendedprice").cast("decimal(12,2)")})
+    lines = lines(spark, sf_dir).withColumns({"op": D.line_op(), "price": F.col("l_extendedprice").cast("decimal(12,2)")})
     root = fresh_dir(spark, "topic")
     sinks.topic_writer(root, D.LINE_KEY, [*D.LINE_KEY, "l_partkey", "price", "l_shipdate"], D.LINE_ORDER)(lines, 0)
     return feeds.topic_records(spark, root).select(
@@ -489,7 +489,7 @@ def _table_of(records):
 @query
 def row_kind_changes(spark, sf_dir):
     """Records of one image each, all four kinds: what they say about the table they lead to."""
-    old, new = _versions(spark, sf_dir)
+    old, new = versions(spark, sf_dir)
     images = old.withColumn("op", F.lit(C.INSERT)).unionByName(
         C.split_images(C.diff_changes(old, new, D.LINE_KEY), []))
     fields = [F.col("op").alias("op_type"), *D.LINE_ROW.names]
@@ -502,7 +502,7 @@ def row_kind_changes(spark, sf_dir):
 
 def _topic_of_lines(spark, sf_dir, values):
     root = fresh_dir(spark, "topic")
-    lines = _lines(spark, sf_dir).withColumn("op", D.line_op())
+    lines = lines(spark, sf_dir).withColumn("op", D.line_op())
     sinks.topic_writer(root, D.LINE_KEY, values, D.LINE_ORDER)(lines, 0)
     return feeds.topic_records(spark, root)
 
@@ -526,7 +526,7 @@ def keyed_topic_with_bad_records(spark, sf_dir):
 def second_checkpoint(spark, sf_dir):
     """Two streams that both count from 0, one after the other, into the same table: nothing is lost."""
     before, after = _halves(spark, sf_dir)
-    keyed = _keyed_table(spark, fresh_dir(spark, "second"))
+    keyed = keyed_table(spark, fresh_dir(spark, "second"))
     for stream, part in (("first", before), ("second", after)):
         keyed.apply(part, sinks.BatchNumber(0, stream))
         keyed.apply(part, sinks.BatchNumber(0, stream))  # delivered again: no effect
@@ -537,18 +537,18 @@ def second_checkpoint(spark, sf_dir):
 def view_rebuild_in_between(spark, sf_dir):
     """A rebuild between two batches of the feed; the view goes on with the second."""
     home = fresh_dir(spark, "rebuild-between")
-    keyed, view = _keyed_table(spark, f"{home}/table"), _fact_view(spark, f"{home}/view")
+    keyed, view = keyed_table(spark, f"{home}/table"), fact_view(spark, f"{home}/view")
     for batch_id, batch in enumerate(_halves(spark, sf_dir)):
         apply_to_both(batch, batch_id, keyed, view)
         if batch_id == 0:
             view.rebuild(keyed.rows(), keyed)
-    return view.rows(*_dims(spark, sf_dir))
+    return view.rows(*dims(spark, sf_dir))
 
 
 @query
 def peek_check(spark, sf_dir):
     """How many rows a peek of five gives, and how many of them are in the feed."""
-    feed = D.line_changes(_lines(spark, sf_dir))
+    feed = D.line_changes(lines(spark, sf_dir))
     names = feed.columns
     found = feed.limit(5).join(feed, names, "left_semi")
     return found.agg(F.count("*").alias("rows_found"))
@@ -558,7 +558,7 @@ def peek_check(spark, sf_dir):
 def append_inserts(spark, sf_dir):
     """An insert-only target that is told to leave other changes out."""
     path = fresh_dir(spark, "append")
-    feed = D.line_changes(_lines(spark, sf_dir))
+    feed = D.line_changes(lines(spark, sf_dir))
     sinks.append_writer(path, others="drop")(feed, 0)
     return spark.read.schema(D.LINE_ROW).parquet(f"{path}/batch=0")
 
@@ -566,7 +566,7 @@ def append_inserts(spark, sf_dir):
 @query
 def append_refused(spark, sf_dir):
     """The same target without being told: it refuses the feed, and nothing of it is there."""
-    path, feed = fresh_dir(spark, "refused"), D.line_changes(_lines(spark, sf_dir))
+    path, feed = fresh_dir(spark, "refused"), D.line_changes(lines(spark, sf_dir))
     try:
         sinks.append_writer(path)(feed, 0)
         refused = False
@@ -582,7 +582,7 @@ def fanout_reconcile(spark, sf_dir):
     """One stream to a keyed topic and to a keyed table, in four batches of which some hold older
     changes than those before; what the two hold must agree."""
     home = fresh_dir(spark, "fanout")
-    keyed = _keyed_table(spark, f"{home}/table")
+    keyed = keyed_table(spark, f"{home}/table")
     values = D.LINE_ROW.names
     targets = {"topic": sinks.topic_writer(f"{home}/topic", D.LINE_KEY, values, D.LINE_ORDER),
                "table": jobs.table_writer(keyed)}
@@ -593,7 +593,7 @@ def fanout_reconcile(spark, sf_dir):
                      prepare=lambda batch: C.latest_per_key(batch, D.LINE_KEY, D.LINE_ORDER),
                      availableNow=True).awaitTermination()
 
-    _in_turns(_shuffled_parts(spark, sf_dir), f"{home}/in", run)
+    in_turns(_shuffled_parts(spark, sf_dir), f"{home}/in", run)
     topic = _table_of(feeds.topic_records(spark, f"{home}/topic"))
     return Q.reconcile_summary(topic, keyed.rows(), D.LINE_KEY, values)
 
@@ -602,17 +602,17 @@ def fanout_reconcile(spark, sf_dir):
 
 @query
 def star_join(spark, sf_dir):
-    joined = star.star_join(D.fact(_lines(spark, sf_dir)), *_dims(spark, sf_dir))
+    joined = star.star_join(D.fact(lines(spark, sf_dir)), *dims(spark, sf_dir))
     return joined.select("ss_store_sk", "s_store_name", "s_state", "d_date", "ss_ticket_number",
                          "ss_quantity", "ss_net_paid_inc_tax")
 
 
 @query
 def daily_store_view(spark, sf_dir):
-    return star.daily_store_view(D.fact(_lines(spark, sf_dir)), *_dims(spark, sf_dir))
+    return star.daily_store_view(D.fact(lines(spark, sf_dir)), *dims(spark, sf_dir))
 
 
-def _fact_view(spark, home):
+def fact_view(spark, home):
     """The view over lines: images of lines become images of facts first."""
     return MaintainedView(spark, home, D.FACT, buckets=8, to_fact=D.fact)
 
@@ -622,30 +622,30 @@ def daily_store_view_ivm(spark, sf_dir):
     """The view over the final state of the feed, kept up batch by batch: the snapshot, then
     three batches of changes without before-images."""
     home = fresh_dir(spark, "ivm")
-    keyed, view = _keyed_table(spark, f"{home}/table"), _fact_view(spark, f"{home}/view")
-    for batch_id, part in enumerate(_line_parts(spark, sf_dir)):
+    keyed, view = keyed_table(spark, f"{home}/table"), fact_view(spark, f"{home}/view")
+    for batch_id, part in enumerate(line_parts(spark, sf_dir)):
         batch = D.line_changes(part)
         apply_to_both(batch, batch_id, keyed, view)
         apply_to_both(batch, batch_id, keyed, view)  # a repeated delivery changes nothing
-    return view.rows(*_dims(spark, sf_dir))
+    return view.rows(*dims(spark, sf_dir))
 
 
 @query
 def daily_store_view_stream(spark, sf_dir):
     """The feed as a stream that keeps both the table and the view over it."""
     home = fresh_dir(spark, "view-stream")
-    keyed, view = _keyed_table(spark, f"{home}/table"), _fact_view(spark, f"{home}/view")
+    keyed, view = keyed_table(spark, f"{home}/table"), fact_view(spark, f"{home}/view")
     feed = D.line_changes(D.table_stream(spark, sf_dir, "lineitem", maxBytesPerTrigger=str(256 * 2**30)))
     jobs.for_each_batch(feed, jobs.view_writer(keyed, view), "daily_store_view_stream", f"{home}/checkpoint",
                         availableNow=True).awaitTermination()
-    return view.rows(*_dims(spark, sf_dir))
+    return view.rows(*dims(spark, sf_dir))
 
 
 @query
 def star_join_stream(spark, sf_dir):
     """A stream of facts joined with the dimensions as they are."""
     facts = D.fact(D.table_stream(spark, sf_dir, "lineitem"))
-    joined = star.star_join(facts, *_dims(spark, sf_dir)).select(
+    joined = star.star_join(facts, *dims(spark, sf_dir)).select(
         "ss_store_sk", "s_state", "d_date", "ss_ticket_number", "ss_quantity")
     return _stream_to_table(joined, "star_join_stream")
 
@@ -653,21 +653,21 @@ def star_join_stream(spark, sf_dir):
 @query
 def view_from_row_images(spark, sf_dir):
     """The view kept up by changes with both images, no look-up in the fact table."""
-    old, new = _versions(spark, sf_dir)
-    view = _fact_view(spark, fresh_dir(spark, "ivm-images"))
+    old, new = versions(spark, sf_dir)
+    view = fact_view(spark, fresh_dir(spark, "ivm-images"))
     view.apply(old.withColumn("op", F.lit(C.INSERT)), 0)
     view.apply(C.split_images(C.diff_changes(old, new, D.LINE_KEY), []), 1)
-    return view.rows(*_dims(spark, sf_dir))
+    return view.rows(*dims(spark, sf_dir))
 
 
 @query
 def view_rebuild(spark, sf_dir):
     """The view dropped and computed again from the current table."""
-    old, new = _versions(spark, sf_dir)
-    view = _fact_view(spark, fresh_dir(spark, "rebuild"))
+    old, new = versions(spark, sf_dir)
+    view = fact_view(spark, fresh_dir(spark, "rebuild"))
     view.apply(old.withColumn("op", F.lit(C.INSERT)), 0)
     view.rebuild(new)
-    return view.rows(*_dims(spark, sf_dir))
+    return view.rows(*dims(spark, sf_dir))
 
 
 # -- warehouse shapes, keys, checks --------------------------------------------------------
@@ -675,7 +675,7 @@ def view_rebuild(spark, sf_dir):
 def _store_sales(spark, sf_dir):
     """Lines under the column names of the sales source."""
     money = lambda c: F.col(c).cast("decimal(12,2)")
-    return _lines(spark, sf_dir).select(
+    return lines(spark, sf_dir).select(
         D.line_op().alias("op"),
         F.when(F.col("l_linestatus") == "O", F.timestamp_seconds(F.lit(0)))
         .otherwise(F.col("l_shipdate").cast("timestamp")).alias("op_ts"),
@@ -728,7 +728,7 @@ def returns_monitor(spark, sf_dir):
 @query
 def not_null_enforced(spark, sf_dir):
     """Lines without a discount or tax stand for rows with a missing value."""
-    gaps = _lines(spark, sf_dir).select(
+    gaps = lines(spark, sf_dir).select(
         *D.LINE_KEY, F.expr("nullif(l_discount, 0D)").alias("l_discount"), F.expr("nullif(l_tax, 0D)").alias("l_tax"))
     return C.drop_null_rows(gaps, ["l_discount", "l_tax"])
 
@@ -736,7 +736,7 @@ def not_null_enforced(spark, sf_dir):
 @query
 def clone_and_copy(spark, sf_dir):
     """An empty table of the same shape, then the rows."""
-    source, path = _lines(spark, sf_dir), fresh_dir(spark, "clone")
+    source, path = lines(spark, sf_dir), fresh_dir(spark, "clone")
     sinks.clone_shape(source).write.parquet(path)
     source.write.mode("append").parquet(path)
     return spark.read.schema(source.schema).parquet(path)
@@ -744,7 +744,7 @@ def clone_and_copy(spark, sf_dir):
 
 @query
 def surrogate_key(spark, sf_dir):
-    return R.with_dense_id(_lines(spark, sf_dir), [*D.LINE_ORDER, *D.LINE_KEY], "ss_id") \
+    return R.with_dense_id(lines(spark, sf_dir), [*D.LINE_ORDER, *D.LINE_KEY], "ss_id") \
         .select("ss_id", *D.LINE_KEY, *D.LINE_ORDER)
 
 
@@ -752,7 +752,7 @@ def surrogate_key(spark, sf_dir):
 def point_lookup(spark, sf_dir):
     """The lines of many given keys: those of urgent orders."""
     urgent = D.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    return _lines(spark, sf_dir).join(
+    return lines(spark, sf_dir).join(
         urgent.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi") \
         .select(*D.LINE_KEY, "l_partkey", "l_extendedprice")
 
@@ -760,7 +760,7 @@ def point_lookup(spark, sf_dir):
 @query
 def lookup_by_key(spark, sf_dir):
     """The versions of one given line; the key reaches the scan."""
-    return _lines(spark, sf_dir).filter((F.col("l_orderkey") == 7) & (F.col("l_linenumber") == 1)) \
+    return lines(spark, sf_dir).filter((F.col("l_orderkey") == 7) & (F.col("l_linenumber") == 1)) \
         .select(*D.LINE_KEY, "l_partkey", "l_shipdate", "l_extendedprice")
 
 
@@ -784,7 +784,7 @@ def target_lifecycle(spark, sf_dir):
 @query
 def exact_amounts(spark, sf_dir):
     """The amounts of the store view as decimal text: every digit counts, and so does the scale."""
-    view = star.daily_store_view(D.fact(_lines(spark, sf_dir)), *_dims(spark, sf_dir))
+    view = star.daily_store_view(D.fact(lines(spark, sf_dir)), *dims(spark, sf_dir))
     return view.select("ss_store_sk", "sold_date_sk", *[
         F.col(c).cast("string").alias(c) for c in ("total_sales_amount", "total_net_profit")])
 
@@ -801,13 +801,13 @@ def table_counts(spark, sf_dir):
 
 @query
 def sync_profile(spark, sf_dir):
-    return Q.profile(D.warehouse_sales(_lines(spark, sf_dir)), "source_id", "ss_item_sk", "ss_ext_sales_price",
+    return Q.profile(D.warehouse_sales(lines(spark, sf_dir)), "source_id", "ss_item_sk", "ss_ext_sales_price",
                      "sync_timestamp")
 
 
 def _warehouse_returns(spark, sf_dir):
     """Returns in the warehouse shape, as if each had been loaded a day after its last update."""
-    returned = D.wide_returns(_lines(spark, sf_dir)).drop("op")
+    returned = D.wide_returns(lines(spark, sf_dir)).drop("op")
     loaded = date_of_compact_key(F.col("sr_returned_date_sk")).cast("timestamp") + F.expr("interval 1 day")
     return shapes.to_warehouse(returned, loaded)
 
@@ -827,7 +827,7 @@ def recent_returns(spark, sf_dir):
 @query
 def load_stamps(spark, sf_dir):
     """Without a given load time, all rows of a load carry the same current one."""
-    loaded = shapes.to_warehouse(D.wide_returns(_lines(spark, sf_dir)).drop("op"))
+    loaded = shapes.to_warehouse(D.wide_returns(lines(spark, sf_dir)).drop("op"))
     return loaded.agg(F.count("sync_timestamp").alias("stamped_rows"),
                       F.count_distinct("sync_timestamp").alias("stamps"),
                       (F.max("sync_timestamp") <= F.current_timestamp()).alias("not_ahead"))
@@ -836,7 +836,7 @@ def load_stamps(spark, sf_dir):
 @query
 def local_load_stamps(spark, sf_dir):
     """Load times without a zone, as a target without zones keeps them."""
-    loaded = shapes.to_warehouse(D.wide_returns(_lines(spark, sf_dir)).drop("op"), F.localtimestamp())
+    loaded = shapes.to_warehouse(D.wide_returns(lines(spark, sf_dir)).drop("op"), F.localtimestamp())
     return loaded.agg(F.count("sync_timestamp").alias("stamped_rows"),
                       F.count_distinct("sync_timestamp").alias("stamps")).withColumn(
         "stamp_type", F.lit(loaded.schema["sync_timestamp"].dataType.simpleString()))
@@ -844,7 +844,7 @@ def local_load_stamps(spark, sf_dir):
 
 @query
 def recent_rows(spark, sf_dir):
-    sales = D.warehouse_sales(_lines(spark, sf_dir))
+    sales = D.warehouse_sales(lines(spark, sf_dir))
     return R.newest(sales, ["sync_timestamp", "source_id", "ss_item_sk", "ss_quantity", "ss_ext_sales_price"], 5)
 
 
@@ -856,14 +856,14 @@ def newest_row(spark, sf_dir):
 @query
 def peek_changes(spark, sf_dir):
     """Any five changes."""
-    return D.line_changes(_lines(spark, sf_dir)).limit(5)
+    return D.line_changes(lines(spark, sf_dir)).limit(5)
 
 
 @query
 def key_uniqueness(spark, sf_dir):
     """The verdict for a table with repeated keys and for its materialized state."""
-    raw = D.warehouse_sales(_lines(spark, sf_dir))
-    state = D.warehouse_sales(C.materialize(D.line_changes(_lines(spark, sf_dir)), D.LINE_KEY, D.LINE_ORDER))
+    raw = D.warehouse_sales(lines(spark, sf_dir))
+    state = D.warehouse_sales(C.materialize(D.line_changes(lines(spark, sf_dir)), D.LINE_KEY, D.LINE_ORDER))
     return Q.key_check(raw, "source_id").withColumn("table_name", F.lit("feed")).unionByName(
         Q.key_check(state, "source_id").withColumn("table_name", F.lit("state")))
 
@@ -871,7 +871,7 @@ def key_uniqueness(spark, sf_dir):
 @query
 def source_target_diff(spark, sf_dir):
     """An older version of the table against the current one, key by key."""
-    old, new = _versions(spark, sf_dir)
+    old, new = versions(spark, sf_dir)
     return Q.reconcile(new, old, D.LINE_KEY, D.LINE_ROW.names)
 
 
@@ -914,7 +914,7 @@ def scalar_functions(spark, sf_dir):
     """Casts, concatenation, CASE, COALESCE, exact arithmetic, ROUND, FLOOR, LEAST."""
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     size = F.when(F.col("l_quantity") > 40, "LARGE").when(F.col("l_quantity") > 20, "MEDIUM").otherwise("SMALL")
-    return _lines(spark, sf_dir).select(
+    return lines(spark, sf_dir).select(
         *D.LINE_KEY, F.concat(size, F.lit("-"), F.col("l_suppkey").cast("string")).alias("tag"),
         F.coalesce(F.when(F.col("l_returnflag") == "R", F.col("l_linestatus")), F.lit("none")).alias("returned_status"),
         (price * F.lit("0.08").cast("decimal(3,2)") + price).alias("with_tax"),
@@ -926,7 +926,7 @@ def scalar_functions(spark, sf_dir):
 
 def _sale_inputs(spark, sf_dir):
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return _lines(spark, sf_dir).select(
+    return lines(spark, sf_dir).select(
         *D.LINE_KEY, "l_shipdate", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),
         price.alias("list_price"),
         (price * F.lit("0.60").cast("decimal(3,2)")).cast("decimal(12,2)").alias("wholesale_cost"),
@@ -963,7 +963,7 @@ def amount_recompute_paid_only(spark, sf_dir):
 @query
 def return_amounts(spark, sf_dir):
     cents = lambda text: F.lit(text).cast("decimal(7,2)")
-    inputs = _lines(spark, sf_dir).select(
+    inputs = lines(spark, sf_dir).select(
         *D.LINE_KEY, "l_shipdate", "l_partkey", F.col("l_extendedprice").cast("decimal(12,2)").alias("return_amt"),
         F.col("l_tax").cast("decimal(4,3)").alias("tax_rate"), cents("4.25").alias("fee"), cents("9.75").alias("ship_cost"),
         (F.col("l_discount").cast("decimal(4,2)") * 8).cast("decimal(4,2)").alias("cash_share"),

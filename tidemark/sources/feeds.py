@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..files import empty, is_dir
+from ..files import empty, exists, is_dir, modified, publish_text, read_text
 from ..functions.codecs import decode_keyed, decode_rows
 from ..operators.changes import kind_records, split_images
 from ..operators.windows import with_event_time
@@ -26,6 +28,27 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.option("pathGlobFilter", name).load(folder)
 
 
+def from_now_on(spark: SparkSession, path: str, schema: T.StructType, home: str, fmt: str = "parquet",
+                **options: str) -> DataFrame:
+    """A stream over a folder that leaves out what is there when it is first started.
+
+    The first call notes in ``home`` the newest time of the files below ``path`` and which files have
+    it; later calls, after a restart, go by that note. Times are the storage's own, so no two clocks
+    are compared, and a file that comes within the same millisecond still counts. The time is a
+    constant of each file, so the rows of older files are not read.
+    """
+    note = f"{home}/started.json"
+    if not exists(spark, note):
+        times = modified(spark, path)
+        newest = max(times.values(), default=0)
+        publish_text(spark, note, json.dumps({"newest": newest, "names": sorted(n for n, t in times.items() if t == newest)}))
+    known = json.loads(read_text(spark, note))
+    stream = file_stream(spark, path, schema, fmt, **options)
+    time, newest = F.col("_metadata.file_modification_time"), F.timestamp_millis(F.lit(known["newest"]))
+    later = (time > newest) | (time == newest) & ~F.col("_metadata.file_name").isin(known["names"])
+    return stream.filter(later)
+
+
 def kafka_options(servers: str, topic: str, start: str = "latest", **extra: str) -> dict[str, str]:
     if start not in ("latest", "earliest"):
         raise ValueError(f"start must be 'latest' or 'earliest', not {start!r}")

@@ -167,10 +167,25 @@ def copy_into(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
 
 
-def create_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Create a table from a query, laid out by a key so that joins on it need no shuffle.
+def create_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Create a table from a query, laid out by a key so that joins and groupings on it need no shuffle.
 
-    Spread by the key first, so each bucket is one file rather than one per task.
+    Spread by the key first, so each bucket is one file rather than one per task. ``path`` keeps the
+    files there instead of in the warehouse. A key with a large part of the rows makes its bucket
+    large, and no later step evens that out: lay out by a key without such values.
     """
-    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite") \
-        .format("parquet").saveAsTable(table)
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def write_by_key(df: DataFrame, path: str, keys: list[str], parts: int | None = None, distinct: int | None = None) -> None:
+    """Write a table for look-ups by key: sorted, so that files, row groups and pages have narrow key
+    ranges, with a Bloom filter of the first key in each row group. ``distinct`` keys are expected in one.
+
+    Ranges of all ``keys`` are spread, so a first key that repeats very often is several files.
+    """
+    ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    writer = ranged.sortWithinPartitions(*keys).write.option(f"parquet.bloom.filter.enabled#{keys[0]}", "true")
+    if distinct:
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{keys[0]}", str(distinct))
+    writer.parquet(path)

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import files
@@ -17,6 +17,8 @@ from .view import MaintainedView, apply_to_both
 # How often jobs commit their progress.
 CHECKPOINT_EVERY = {"kafka": "10 seconds", "analytics": "30 seconds", "sync": "60 seconds"}
 
+WATERMARK_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
+
 
 def fan_out(changes: DataFrame, writers: dict[str, BatchWriter], name: str, checkpoint: str,
             prepare: Callable[[DataFrame], DataFrame] = lambda df: df, **trigger) -> StreamingQuery:
@@ -87,6 +89,23 @@ def append_to_parquet(df: DataFrame, path: str, name: str, checkpoint: str, **tr
     )
 
 
+def with_watermark_policy(spark: SparkSession, policy: str, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """Start a query over several sources that each carry a watermark.
+
+    With ``min`` the query waits for the slowest source and loses no row to another's haste; with
+    ``max`` it goes by the fastest, and what a slower one sends for closed windows is dropped. The
+    checkpoint keeps the choice of the first start.
+    """
+    if policy not in ("min", "max"):
+        raise ValueError(f"policy must be 'min' or 'max', not {policy!r}")
+    before = spark.conf.get(WATERMARK_POLICY)
+    spark.conf.set(WATERMARK_POLICY, policy)
+    try:
+        return start()
+    finally:
+        spark.conf.set(WATERMARK_POLICY, before)
+
+
 def start_domains(starters: dict[str, Callable[[str], StreamingQuery]]) -> dict[str, StreamingQuery]:
     """One query per business domain, so that one can fail or restart without the others."""
     return {domain: start(domain) for domain, start in starters.items()}

@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.changes import AFTER, BEFORE, DELETE, latest_per_key, live_rows, split_images
+from ..operators.lookup import in_ranges, key_ranges
 from .versioned import Staged, VersionedTable, with_keys_of
 
 
@@ -45,10 +46,14 @@ class KeyedTable:
         """The rows that a staged batch takes out of the table (-U) and puts in (+U).
 
         Reads the buckets that the batch touches, and of those keeps the batch's keys before
-        anything is shuffled or merged. A change older than the stored row has no effect.
+        anything is shuffled or merged. Buckets are sorted by key, and the ranges of the batch's
+        first key go to the scan, so a batch whose keys lie together reads a few pages of each. A
+        change older than the stored row has no effect.
         """
         new = self.table.staged_rows(staged)
-        stored = with_keys_of(self.table.unmerged(staged.buckets), new, staged.key_bytes, self.keys)
+        first = self.keys[0]
+        near = in_ranges(first, key_ranges(new, first)) | F.col(first).isNull()
+        stored = with_keys_of(self.table.unmerged(staged.buckets).filter(near), new, staged.key_bytes, self.keys)
         old = latest_per_key(stored, self.keys, self.order)
         fields = self.row.names
         before = old.select(

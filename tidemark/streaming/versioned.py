@@ -178,7 +178,8 @@ class VersionedTable:
         # which then groups by them and the key, and the layout of the files. Twice as many tasks as
         # there are parts, since their hashes collide.
         merged = self.merge(rows.repartition(2 * len(touched) * shares, _BUCKET, _SHARE), [_BUCKET, _SHARE])
-        merged.drop(_SHARE).write.partitionBy(_BUCKET).parquet(folder)
+        # Sorted by key, so that look-ups can skip pages.
+        merged.drop(_SHARE).sortWithinPartitions(_BUCKET, *self.keys).write.partitionBy(_BUCKET).parquet(folder)
         written = {n.partition("=")[2] for n in files.names(self.spark, folder) if "=" in n}
         for bucket in map(str, touched):
             manifest.buckets.pop(bucket, None)
