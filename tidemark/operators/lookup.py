@@ -18,19 +18,27 @@ KEY_OVERHEAD = 32
 def key_ranges(wanted: DataFrame, key: str, most: int = RANGES) -> list[tuple]:
     """At most ``most`` closed ranges of a number or time that hold all its wanted values, NULL aside.
 
-    The values are counted into cells of equal width, of which a bounded number reaches the driver;
-    occupied cells are joined across the narrowest gaps. Any other kind of key gives one range.
+    The values are counted into cells of equal width, and each occupied cell into parts of equal width
+    between its own ends, so a value far from all others does no harm. A bounded number of parts
+    reaches the driver, and they are joined across the narrowest gaps. Any other kind of key gives one range.
     """
-    kind = wanted.schema[key].dataType.typeName()
     ends = wanted.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
     if ends.low is None:
         return []
-    if kind not in ("long", "integer", "short", "byte") or ends.low == ends.high:
+    if wanted.schema[key].dataType.typeName() not in ("long", "integer", "short", "byte") or ends.low == ends.high:
         return [(ends.low, ends.high)]
-    width = max(1, (ends.high - ends.low + 1) // (16 * most))
-    cells = wanted.filter(F.col(key).isNotNull()).groupBy(F.floor((F.col(key) - F.lit(ends.low)) / width).alias("cell")).agg(
-        F.min(key).alias("low"), F.max(key).alias("high")).orderBy("cell").collect()
-    runs = [[c.low, c.high] for c in cells]
+    low, high = F.min(key).alias("low"), F.max(key).alias("high")
+
+    def place(start, width):
+        # In doubles, which no key overflows; rounding moves a value to a neighbouring part at most.
+        return F.floor((F.col(key).cast("double") - start.cast("double")) / width)
+
+    known = wanted.filter(F.col(key).isNotNull()).select(
+        key, place(F.lit(ends.low), max(1.0, (ends.high - ends.low + 1) / (8 * most))).alias("_cell"))
+    cells = known.groupBy("_cell").agg(low, high)
+    inner = F.greatest(F.lit(1.0), (F.col("high").cast("double") - F.col("low").cast("double") + 1) / 16)
+    parts = known.join(F.broadcast(cells), "_cell").groupBy("_cell", place(F.col("low"), inner).alias("_part")).agg(low, high)
+    runs = sorted([r.low, r.high] for r in parts.collect())
     gaps = sorted(range(1, len(runs)), key=lambda i: runs[i][0] - runs[i - 1][1])
     joined = set(gaps[:max(0, len(runs) - most)])
     kept: list[list] = []

@@ -10,6 +10,7 @@ and the later changes lead on from there.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,6 +20,8 @@ from .changes import BEFORE, INSERT, apply_changes
 CHUNK_ROWS = 8192
 # Brackets are broadcast, a row for each chunk.
 MOST_CHUNKS = 10_000
+# The largest key.
+_MOST = 2**63 - 1
 
 
 @dataclass(frozen=True)
@@ -33,7 +36,7 @@ class KeyChunks:
 
     def number(self) -> Column:
         """The chunk of a row, by arithmetic alone: no look-up, however many chunks."""
-        place = F.floor((F.col(self.key).cast("decimal(20,0)") - F.lit(self.low)) / F.lit(self.width))
+        place = F.floor((F.col(self.key).cast("decimal(20,0)") - F.lit(Decimal(self.low))) / F.lit(Decimal(self.width)))
         return F.least(F.greatest(F.coalesce(place, F.lit(0)), F.lit(0)), F.lit(self.count - 1)).cast("int")
 
     def between(self, first: int, until: int) -> Column:
@@ -41,10 +44,14 @@ class KeyChunks:
         key = F.col(self.key)
         if first >= min(until, self.count):
             return F.lit(False)
-        inside = F.lit(True) if until >= self.count else key < self.low + until * self.width
-        if first > 0:
-            return inside & (key >= self.low + first * self.width)
-        return inside if until >= self.count else inside | key.isNull()
+        upper = None if until >= self.count else self.low + until * self.width
+        lower = None if first <= 0 else self.low + first * self.width
+        if lower is not None and lower > _MOST:
+            return F.lit(False)
+        inside = F.lit(True) if upper is None or upper > _MOST else key < upper
+        if lower is not None:
+            return inside & (key >= lower)
+        return inside if upper is None else inside | key.isNull()
 
 
 def key_chunks(table: DataFrame, key: str, rows: int = CHUNK_ROWS, most: int = MOST_CHUNKS) -> KeyChunks:

@@ -150,11 +150,11 @@ def hopping_sums(df: DataFrame, key: str, sums: dict[str, Column | None], size:
     windows, so batch input is first reduced to one row per slide and key, and only those are
     multiplied. A stream keeps the direct form unless it is ``chained``.
 
-    Chained, a stream has two stateful steps: the first holds each open slide and key once and gives
-    it out when the watermark has passed the slide, the second spreads closed slides over their
-    windows. The direct form takes every row into size/slide windows of its state, the chained one
-    into a single slide; the windows see one row per slide and key. Windows close as they do in the
-    direct form. Rows that are late for their slide do not count for its open windows.
+    Chained, a stream has two stateful steps: the first sums each open slide, and gives it out when
+    the watermark has passed the slide; the second spreads closed slides over their windows. The
+    windows are held as in the direct form, and close as they do there, but a batch updates one
+    slide for a row instead of size/slide windows, and each slide updates its windows once. Rows
+    that are late for their slide do not count for its open windows.
     """
     first = [(F.count("*") if c is None else F.sum(c)).alias(n) for n, c in sums.items()]
     length, step = _seconds(size), _seconds(slide)

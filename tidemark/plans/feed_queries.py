@@ -7,12 +7,14 @@ from pyspark.sql import Observation, functions as F
 from ..operators import changes as C
 from ..operators.digests import digest_diff as by_digests
 from ..operators.snapshots import chunked_snapshot as merge_chunks, key_chunks
+from ..schemas import columns
 from ..session import fresh_dir
 from ..sources import feeds
 from ..streaming import jobs
+from ..streaming.ends import MaintainedEnds
 from ..streaming.snapshots import SnapshotStream
 from . import tables as D
-from .oracle import CURRENT, ORACLE
+from .oracle import CURRENT, ORACLE, state
 from .queries import in_turns, keyed_table, line_parts, lines, query, versions
 
 _DAY = 86_400
@@ -86,17 +88,17 @@ def latest_start_stream(spark, sf_dir):
     home = fresh_dir(spark, "latest")
     first, *later = line_parts(spark, sf_dir)
     first.write.parquet(f"{home}/in")
-    columns = [*D.LINE_KEY, "l_shipdate", "l_partkey"]
+    wanted = [*D.LINE_KEY, "l_shipdate", "l_partkey"]
 
     def run() -> None:
-        stream = feeds.from_now_on(spark, f"{home}/in", D.SCHEMAS["lineitem"], home).select(*columns)
+        stream = feeds.from_now_on(spark, f"{home}/in", D.SCHEMAS["lineitem"], home).select(*wanted)
         jobs.append_to_parquet(stream, f"{home}/out", "latest_start_stream", f"{home}/checkpoint", availableNow=True).awaitTermination()
 
     run()
     for part in later:
         part.write.mode("append").parquet(f"{home}/in")
         run()
-    return spark.read.schema(lines(spark, sf_dir).select(*columns).schema).parquet(f"{home}/out")
+    return spark.read.schema(lines(spark, sf_dir).select(*wanted).schema).parquet(f"{home}/out")
 
 
 @query
@@ -112,7 +114,50 @@ def not_null_counts(spark, sf_dir):
         F.lit(seen["rows"]).alias("rows_in"), F.lit(seen["dropped"]).alias("rows_dropped"), F.count("*").alias("rows_kept"))
 
 
+_SALE_ROW = columns("store:long period:local_time l_shipdate:local_time l_orderkey:long l_linenumber:int l_partkey:long")
+
+
+def _kept_ends(spark, sf_dir, period: str, keep: int):
+    """First and last sale per store and period over the feed in four batches without before-images."""
+    home = fresh_dir(spark, "ends")
+    keyed = keyed_table(spark, f"{home}/table")
+    ends = MaintainedEnds(spark, f"{home}/ends", _SALE_ROW, ["store", "period"], ["l_shipdate", "l_orderkey", "l_linenumber"], keep, 4)
+    def sales(rows):
+        kept = ["op"] if "op" in rows.columns else []
+        return rows.select(*kept, F.col("l_suppkey").alias("store"), F.date_trunc(period, "l_shipdate").cast("timestamp_ntz").alias("period"),
+                           "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    for batch_id, part in enumerate(line_parts(spark, sf_dir)):
+        staged = keyed.stage(D.line_changes(part), batch_id)
+        ends.apply(sales(keyed.images(staged)), sales(keyed.rows()), batch_id)
+        keyed.table.commit(staged)
+    return ends.rows().select(
+        "store", "period", "n_rows", F.col("first.l_partkey").alias("first_item"), F.col("first.l_orderkey").alias("first_ticket"),
+        F.col("first.l_shipdate").alias("first_sale"), F.col("last.l_orderkey").alias("last_ticket"),
+        F.col("last.l_shipdate").alias("last_sale"))
+
+
+@query
+def store_day_ends(spark, sf_dir):
+    return _kept_ends(spark, sf_dir, "day", 8)
+
+
+@query
+def store_month_ends(spark, sf_dir):
+    """The same by month with a single row kept at each end, so that many of them run out."""
+    return _kept_ends(spark, sf_dir, "month", 1)
+
+
+def _ends(period: str) -> str:
+    return f"""WITH {state()} SELECT l_suppkey AS store, date_trunc('{period}', l_shipdate) AS period, count(*) AS n_rows,
+      arg_min(l_partkey, (l_shipdate, l_orderkey, l_linenumber)) AS first_item,
+      arg_min(l_orderkey, (l_shipdate, l_orderkey, l_linenumber)) AS first_ticket, min(l_shipdate) AS first_sale,
+      arg_max(l_orderkey, (l_shipdate, l_orderkey, l_linenumber)) AS last_ticket, max(l_shipdate) AS last_sale
+      FROM state GROUP BY 1, 2"""
+
+
 ORACLE |= {
+    "store_day_ends": _ends("day"),
+    "store_month_ends": _ends("month"),
     "digest_diff": f"SELECT * FROM ({ORACLE['source_target_diff']}) WHERE status <> 'same'",
     "latest_start_stream": """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_shipdate, l_partkey FROM lineitem
       WHERE year(l_shipdate) > 1997""",

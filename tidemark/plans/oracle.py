@@ -73,16 +73,16 @@ _ROW = ("l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_shipdate, l_partkey
 _ORDER = "l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC"
 
 
-def _state(name: str = "state", source: str = "lineitem", keys: str = "l_orderkey, l_linenumber",
+def state(name: str = "state", source: str = "lineitem", keys: str = "l_orderkey, l_linenumber",
            order: str = _ORDER) -> str:
     return f"""{name} AS (SELECT * EXCLUDE (rn) FROM (
       SELECT *, {_OP} AS op, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn
       FROM {source}) WHERE rn = 1 AND op <> '-D')"""
 
 
-CURRENT = f"WITH {_state()} SELECT {_ROW} FROM state"
+CURRENT = f"WITH {state()} SELECT {_ROW} FROM state"
 _OLD_NEW = f"""WITH past AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'),
-  {_state('old_rows', 'past')}, {_state('new_rows')},
+  {state('old_rows', 'past')}, {state('new_rows')},
   both_rows AS (SELECT coalesce(o.l_orderkey, n.l_orderkey) AS l_orderkey,
       coalesce(o.l_linenumber, n.l_linenumber)::BIGINT AS l_linenumber,
       o.l_orderkey IS NOT NULL AS in_old, n.l_orderkey IS NOT NULL AS in_new,
@@ -107,7 +107,7 @@ def view(rows: str) -> str:
     GROUP BY s_store_sk, s_store_name, s_state, s_market_manager, d_date"""
 
 
-CURRENT_VIEW = f"WITH {_state()}, {DIMS} {view('state')}"
+CURRENT_VIEW = f"WITH {state()}, {DIMS} {view('state')}"
 
 _WIDE = """l_orderkey * 10 + l_linenumber AS {id}, l_partkey AS {p}item_sk, {customer}
   l_suppkey AS {p}store_sk, l_orderkey AS {p}ticket_number, l_quantity::BIGINT AS {p}quantity,
@@ -215,10 +215,10 @@ ORACLE: dict[str, str] = {
       SELECT op, sum(CASE WHEN op[1] = '+' THEN 1 ELSE -1 END)::BIGINT AS row_balance,
         sum(CASE WHEN op[1] = '+' THEN l_quantity ELSE -l_quantity END) AS quantity_balance FROM i GROUP BY op""",
 
-    "cdc_latest_state": f"WITH {_state()} SELECT op, {_ROW} FROM state",
-    "ticket_key_state": f"""WITH {_state(keys='l_orderkey', order=_ORDER + ', l_linenumber DESC')}
+    "cdc_latest_state": f"WITH {state()} SELECT op, {_ROW} FROM state",
+    "ticket_key_state": f"""WITH {state(keys='l_orderkey', order=_ORDER + ', l_linenumber DESC')}
       SELECT op, {_ROW} FROM state""",
-    "composite_key_state": f"""WITH {_state(keys='l_shipdate, l_suppkey, l_partkey',
+    "composite_key_state": f"""WITH {state(keys='l_shipdate, l_suppkey, l_partkey',
       order='l_quantity DESC, l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC')} SELECT op, {_ROW} FROM state""",
     "cdc_upsert_stream": CURRENT,
     "snapshot_then_changes": CURRENT,
@@ -226,7 +226,7 @@ ORACLE: dict[str, str] = {
     "atomic_batches": CURRENT,
     "late_changes": CURRENT,
     "cdc_op_mix": f"SELECT {_OP} AS op, count(*) AS changes FROM lineitem GROUP BY 1",
-    "cdc_signed_count": f"WITH {_state()} SELECT count(*) AS row_count FROM state",
+    "cdc_signed_count": f"WITH {state()} SELECT count(*) AS row_count FROM state",
     "version_changes": f"""{_OLD_NEW} SELECT CASE WHEN NOT in_old THEN '+I' WHEN NOT in_new THEN '-D' ELSE '+U' END AS op,
       count(*) AS changes FROM both_rows WHERE NOT (in_old AND in_new AND alike) GROUP BY 1""",
     "keyed_topic": f"""WITH last_rows AS (SELECT *, {_OP} AS op FROM lineitem
@@ -235,12 +235,12 @@ ORACLE: dict[str, str] = {
         {_KEY_JSON} || ',"l_partkey":' || l_partkey || ',"price":' || l_extendedprice::DECIMAL(12,2)
         || ',"l_shipdate":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') || '"}}' END AS value,
         TRUE AS has_timestamp FROM last_rows""",
-    "topic_compaction": f"""WITH {_state()} SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_quantity,
+    "topic_compaction": f"""WITH {state()} SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_quantity,
       l_shipdate FROM state""",
     "row_kind_changes": f"""{_OLD_NEW}, updated AS (SELECT count(*) AS n FROM both_rows WHERE in_old AND in_new AND NOT alike)
       SELECT count(*) AS row_count, sum(l_partkey)::BIGINT AS part_keys, any_value(u.n) AS before_images,
         any_value(u.n) AS after_images FROM new_rows, updated u""",
-    "keyed_topic_with_bad_records": f"""WITH {_state()}, keys AS (SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS n FROM lineitem)
+    "keyed_topic_with_bad_records": f"""WITH {state()}, keys AS (SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS n FROM lineitem)
       SELECT 'rows_kept' AS measure, count(*) AS value FROM state
       UNION ALL SELECT 'part_keys', sum(l_partkey)::BIGINT FROM state
       UNION ALL SELECT unnest(['bad_key', 'bad_value']), n FROM keys""",
@@ -274,7 +274,7 @@ ORACLE: dict[str, str] = {
     "view_rebuild_in_between": CURRENT_VIEW,
     "peek_check": "SELECT least(5, count(*)) AS rows_found FROM lineitem",
     "append_inserts": f"SELECT {_ROW} FROM lineitem WHERE {_OP} = '+I'",
-    "fanout_reconcile": f"""WITH {_state()} SELECT 'same' AS status, count(*) AS keys, count(*) AS source_rows,
+    "fanout_reconcile": f"""WITH {state()} SELECT 'same' AS status, count(*) AS keys, count(*) AS source_rows,
       count(*) AS target_rows FROM state""",
 
     "star_join": f"""WITH {DIMS} SELECT s_store_sk AS ss_store_sk, s_store_name, s_state, d_date::VARCHAR AS d_date,
@@ -333,7 +333,7 @@ ORACLE: dict[str, str] = {
     "load_stamps": """SELECT count(*) AS stamped_rows, 1::BIGINT AS stamps, TRUE AS not_ahead FROM lineitem
       WHERE l_returnflag = 'R'""",
     "newest_row": "SELECT event_id, ts, event_type FROM events ORDER BY event_id DESC LIMIT 1",
-    "key_uniqueness": f"""WITH {_state()}, c AS (
+    "key_uniqueness": f"""WITH {state()}, c AS (
         SELECT 'feed' AS table_name, count(*) AS row_count, count(DISTINCT l_orderkey * 10 + l_linenumber) AS unique_keys FROM lineitem
         UNION ALL SELECT 'state', count(*), count(DISTINCT l_orderkey * 10 + l_linenumber) FROM state)
       SELECT *, CASE WHEN row_count = unique_keys THEN '主键唯一' ELSE '存在重复主键' END AS key_status FROM c""",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 BATCH = ("batch_id long, rows_in long, watermark string, late_groups long, state_rows long,"
-         " observed map<string, map<string, long>>")
+         " state_updates long, observed map<string, map<string, long>>")
 
 
 def batches(query: StreamingQuery) -> list[dict]:
@@ -24,6 +24,7 @@ def batches(query: StreamingQuery) -> list[dict]:
             "watermark": p["eventTime"].get("watermark") if p.get("eventTime") else None,
             "late_groups": sum(s["numRowsDroppedByWatermark"] for s in state),
             "state_rows": sum(s["numRowsTotal"] for s in state),
+            "state_updates": sum(s["numRowsUpdated"] for s in state),
             "observed": {name: {k: v for k, v in row.asDict().items() if isinstance(v, int)}
                          for name, row in p["observedMetrics"].items()},
         })
@@ -33,7 +34,7 @@ def batches(query: StreamingQuery) -> list[dict]:
 def batch_rows(spark: SparkSession, records: list[dict]) -> DataFrame:
     """The records as a table: a row for each batch."""
     return spark.createDataFrame(
-        [tuple(r[f] for f in ("batch_id", "rows_in", "watermark", "late_groups", "state_rows", "observed")) for r in records], BATCH)
+        [tuple(r[f] for f in ("batch_id", "rows_in", "watermark", "late_groups", "state_rows", "state_updates", "observed")) for r in records], BATCH)
 
 
 def open_groups(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
