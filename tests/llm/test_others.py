@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -51,12 +52,26 @@ def test_different_vectors_of_one_id_are_all_candidates(spark):
     rows += [(50, [float(x) for x in rng.standard_normal(16)])]  # and a second vector of a query
     out = ann_codes.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     for q in (50, 100, 150):
-        wanted = sorted({(-float(ann_codes.exact(np.array([v]), np.array(asked))[0]), i, tuple(v))
-                         for i, v in rows for qid, asked in rows if qid == q and i != q})[:5]
+        wanted = sorted((-float(ann_codes.exact(np.array([v]), np.array(asked))[0]), i, tuple(v))
+                        for i, v in rows for qid, asked in rows if qid == q and i != q)[:5]
         found = sorted((r.rank, r.vec_id, r.score) for r in out if r.query_id == q)
         assert [(i, s) for _, i, s in found] == [(i, -s) for s, i, _ in wanted]
 
 
+def test_repeated_rows_against_sql(spark, tmp_path):
+    """A candidate four times, a query twice, and a vector that makes up half of the table."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.standard_normal(16)]) for i in range(120)]
+    rows += [rows[7]] * 3 + [rows[50]] + [rows[9]] * 130
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    df.coalesce(1).write.parquet(f"{tmp_path}/embeddings")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings/*.parquet'")
+    wanted = [(q, r, i, pytest.approx(s, abs=1e-12)) for q, r, i, s in sorted(con.execute(ann_codes.SQL).fetchall())]
+    found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann_codes.nearest(df).collect())
+    assert found == wanted and len(found) == 15
+
+
 def test_error_bound_holds():
     rng = np.random.default_rng(2)
     unit = rng.standard_normal((2000, 48))

@@ -25,16 +25,15 @@ BLOCK, QUERIES = 32_768, 2_048
 BITS_PER_DIM = 2
 #: The error bound in standard deviations; the chance to miss a neighbour falls exponentially in its square.
 EPSILON = 3.0
-STEP = 4096
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding (array of double) of the rows that take part, without repeats of both."""
+    """vec_id and embedding (array of double) of the rows that take part, and ``copies``, how many rows have both."""
     values = F.col("embedding").cast("array<double>")
     fine = (F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0))
     return vectors.filter(F.coalesce(fine, F.lit(False))).select("vec_id", values.alias("embedding")) \
-        .distinct()
+        .groupBy("vec_id", "embedding").agg(F.count("*").alias("copies"))
 
 
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
@@ -76,24 +75,32 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 def _cell(k: int, means: dict[int, bytes]):
     def best(key, data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query_id": [], "vec_id": [], "score": [], "copies": []}
         if len(data) and len(asked):
             dim = int(key[0])
             mean, turn = np.frombuffer(means[dim]), rotation(dim)
-            ids = data["vec_id"].to_numpy()
+            ids, copies = data["vec_id"].to_numpy(), data["copies"].to_numpy()
             vectors = np.frombuffer(b"".join(data["vector"])).reshape(-1, dim)
             codes = np.frombuffer(b"".join(data["code"]), np.uint8).reshape(len(ids), -1)
             scalars = np.frombuffer(b"".join(data["scalars"])).reshape(-1, 3)
             unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
-            query_ids = asked["vec_id"].to_numpy()
+            query_ids, query_copies = asked["vec_id"].to_numpy(), asked["copies"].to_numpy()
             queries = np.frombuffer(b"".join(asked["vector"])).reshape(-1, dim)
             for at in range(0, len(queries), 128):
-                _search(out, k, ids, vectors, unit, codes, scalars, query_ids[at:at + 128], queries[at:at + 128], mean, turn)
+                here = slice(at, at + 128)
+                found = _search(k, ids, vectors, unit, codes, scalars, query_ids[here], queries[here], mean, turn)
+                for query_id, times, (rows, score) in zip(query_ids[here], query_copies[here], found):
+                    out["query_id"].append(np.full(len(rows), query_id))
+                    out["vec_id"].append(ids[rows])
+                    out["score"].append(score)
+                    # A pair counts for each row of its query and of its candidate; k are enough.
+                    out["copies"].append(np.minimum(copies[rows], k) * min(times, k))
         return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in out.items()})
     return best
 
 
-def _search(out, k, ids, vectors, unit, codes, scalars, query_ids, queries, mean, turn) -> None:
+def _search(k, ids, vectors, unit, codes, scalars, query_ids, queries, mean, turn):
+    """For each query the places of its k nearest vectors, nearest first, and their cosines."""
     unit_queries = queries / np.linalg.norm(queries, axis=1)[:, None]
     cosine, by_vector, by_query = estimate(codes, scalars, unit_queries, mean, turn)
     for j, query_id in enumerate(query_ids):
@@ -110,18 +117,16 @@ def _search(out, k, ids, vectors, unit, codes, scalars, query_ids, queries, mean
             chosen = chosen[kept]
         score = exact(vectors[chosen], queries[j])
         order = np.lexsort((ids[chosen], -score))[:k]
-        out["query_id"].append(np.full(len(order), query_id))
-        out["vec_id"].append(ids[chosen][order])
-        out["score"].append(score[order])
+        yield chosen[order], score[order]
 
 
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each vec_id divisible by ``every``.
 
     Vectors that are null, empty, zero or hold a null or non-finite component take no part, nor do rows
-    without vec_id. Rows that agree in vec_id and vector are one; different vectors of one vec_id are rows of
-    their own, as candidates and as queries, whose neighbours share the k ranks of the query_id; rows of the
-    query's own vec_id are no candidates. Vectors of different length are not compared. Fewer candidates than k give fewer rows; ties go to the smaller vec_id; an empty table gives none.
+    without vec_id. Repeated rows are candidates each for itself: one that occurs three times may take three ranks.
+    All rows of a query_id, repeated or with different vectors, share its k ranks; rows of the query's own
+    vec_id are no candidates. Vectors of different length are not compared. Fewer candidates than k give fewer rows; ties go to the smaller vec_id; an empty table gives none.
     """
     spark = vectors.sparkSession
     chosen = materialise(usable(vectors).withColumn("dim", F.size("embedding")), "vectors")
@@ -145,11 +150,11 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
             for dim, part in batch.groupby("dim"):
                 x = np.array(part["embedding"].tolist())
                 codes, scalars = encode(x / np.linalg.norm(x, axis=1)[:, None], np.frombuffer(means[dim]), rotation(dim))
-                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy(), "dim": dim, "vector": [v.tobytes() for v in x],
+                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy(), "copies": part["copies"].to_numpy(), "dim": dim, "vector": [v.tobytes() for v in x],
                                     "code": [c.tobytes() for c in codes], "scalars": [s.tobytes() for s in scalars]})
 
     index = materialise(chosen.mapInPandas(
-        coded, "vec_id long, dim int, vector binary, code binary, scalars binary"), "codes")
+        coded, "vec_id long, copies long, dim int, vector binary, code binary, scalars binary"), "codes")
     counts = index.agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     blocks = max(-(-counts["n"] // BLOCK), spark.sparkContext.defaultParallelism)
     asked = max(-(-counts["q"] // QUERIES), 1)
@@ -161,11 +166,13 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     cells = ["dim", "block", "asked"]
     found = (
         dealt(index, "block", blocks, "asked", asked).groupBy(*cells)
-        .cogroup(dealt(index.filter(F.col("vec_id") % every == 0).select("vec_id", "dim", "vector"),
+        .cogroup(dealt(index.filter(F.col("vec_id") % every == 0).select("vec_id", "copies", "dim", "vector"),
                        "asked", asked, "block", blocks).groupBy(*cells))
-        .applyInPandas(_cell(k, means), "query_id long, vec_id long, score double"))
+        .applyInPandas(_cell(k, means), "query_id long, vec_id long, score double, copies long"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
+    # At most k copies of at most k candidates from each cell are still wanted.
+    each = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))))
+    return each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
 
 
