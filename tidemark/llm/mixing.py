@@ -66,12 +66,15 @@ def mixed(docs: DataFrame) -> DataFrame:
     turns = F.least(F.lit(REPEATS), F.floor(F.col("target") / F.col("source_size")).cast("int") + 1)
     queue = (
         rows.filter("size > 0 and target > 0")
-        .select("row", "doc_id", "source", "size", "target", F.explode(F.sequence(F.lit(1), turns)).alias("copy"))
+        .select("row", "doc_id", "source", "version", "size", "target", F.explode(F.sequence(F.lit(1), turns)).alias("copy"))
         .withColumn("place", _place(F.col("copy"))))
-    waiting = running_sum(queue, ["source"], ["copy", "place", "doc_id", "size"], "size", "waited") \
+    # Texts that share an id come in the order of their hashes; repeats of a row are told apart by its number, so
+    # they spread over ranges however many there are, and whichever comes first is the same document.
+    own = ["doc_id", "size", "version", "row"]
+    waiting = running_sum(queue, ["source"], ["copy", "place", *own], "size", "waited") \
         .withColumn("finish", F.col("waited").cast("double") / F.col("target"))
     budget = sizes.agg(F.sum("size")).first()[0] or 0
-    mix = running_sum(waiting, [], ["finish", "source", "copy", "place", "doc_id", "size"], "size", "used") \
+    mix = running_sum(waiting, [], ["finish", "source", "copy", "place", *own], "size", "used") \
         .filter(F.col("used") <= budget)
     copies = mix.groupBy("row").agg(F.count("*").alias("copies"))
     return rows.join(copies, "row", "left").select(
