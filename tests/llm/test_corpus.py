@@ -1,5 +1,7 @@
 """Document operators against brute force, and the pipeline's stages."""
 
+import glob
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 import compare
 import corpus_pipeline
+from tidemark.session import work_dir
 from tidemark.llm import line_dedup, mixing, queries, quality_rules, simhash
 from tidemark.llm.common import read
 
@@ -183,6 +186,21 @@ def test_mixing_targets_and_repeats(spark):
     assert rows_out.columns == docs.columns and rows_out.count() == sum(r.copies for r in out)
 
 
+def test_mixing_with_a_hot_row_and_versions_of_one_id(spark):
+    """A row that is a third of the table spreads over all ranges; texts that share id and size have a fixed order."""
+    rows = [(i, "w " * (i % 7 + 1), f"s{i % 3}") for i in range(6000)] + [(1, "hot row here", "s1")] * 3000
+    docs = frame(spark, rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges stay apart
+    mixing.mixed(docs).count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    folders = glob.glob(f"{work_dir(spark)}/ranges-*")
+    newest = spark.read.parquet(max(folders, key=os.path.getmtime)).groupBy("__range").count().collect()
+    assert len(newest) >= 4 and max(r["count"] for r in newest) < 2 * sum(r["count"] for r in newest) / len(newest)
+    versions = frame(spark, [(1, f"text {i}", "s") for i in range(200)] + [(2, "x " * 77, "t")])
+    taken = [sorted((r.version, r.copies) for r in mixing.mixed(d).collect()) for d in (versions, versions.repartition(7))]
+    assert taken[0] == taken[1]
+
+
 def test_mixing_edge_cases(spark):
     assert mixing.mixed(frame(spark, [])).count() == 0
     assert [r.copies for r in mixing.mixed(frame(spark, [(1, None, None), (1, None, None)])).collect()] == [0, 0]
@@ -228,6 +246,59 @@ def test_rules_are_learned_and_applied(spark):
     assert "Python" not in passed._jdf.queryExecution().toString()
 
 
+def planted(rng, kinds, good, offset=8.0):
+    """Good rows from a bell curve in all features; each kind of bad ones is far off in one of them."""
+    rows = [([rng.gauss(0, 1) for _ in quality_rules.FEATURES], 0, -1) for _ in range(good)]
+    for k, n in enumerate(kinds):
+        for _ in range(n):
+            values = [rng.gauss(0, 1) for _ in quality_rules.FEATURES]
+            values[k % 7] = (offset if k < 7 else -offset) + rng.gauss(0, 0.3)
+            rows.append((values, 1, k))
+    return rows
+
+
+def as_labelled(spark, rows):
+    fields = ", ".join(f"{f} double" for f in quality_rules.FEATURES)
+    return spark.createDataFrame([(*v, bad, i % 3, kind) for i, (v, bad, kind) in enumerate(rows)],
+                                 f"{fields}, bad int, fold int, kind int").coalesce(1).cache()
+
+
+def left_over(rules, rows):
+    kept = rows.filter(quality_rules.verdict(rules))
+    return kept.filter("bad = 1").count(), rows.filter("bad = 0").count() - kept.filter("bad = 0").count()
+
+
+def test_all_of_fourteen_kinds_are_found(spark):
+    """Kinds of 30 and, rarer than one in fifty of the bad ones, of 8 documents; all told by one threshold each."""
+    rng = random.Random(1)
+    rows = as_labelled(spark, planted(rng, [30, 8] * 7, 4000))
+    rules = quality_rules.learn(rows)
+    bad_left, good_gone = left_over(rules, rows)
+    assert len(rules) == 14 and bad_left == 0 and good_gone <= 4
+
+
+def test_a_kind_behind_an_imprecise_rule_is_found(spark):
+    """The bad rows that tell themselves by the best single gain are too mixed for a rule; others come after."""
+    rng = random.Random(2)
+    rows = planted(rng, [0, 25, 0, 12], 1500)
+    for i in range(400):  # a third bad, two thirds good, in the same far corner
+        values = [rng.gauss(0, 1) for _ in quality_rules.FEATURES]
+        values[0] = 8 + rng.gauss(0, 0.3)
+        rows.append((values, int(i % 3 == 0), 0))
+    rows = as_labelled(spark, rows)
+    rules = quality_rules.learn(rows)
+    bad_kept = rows.filter(quality_rules.verdict(rules)).filter("bad = 1").groupBy("kind").count().collect()
+    assert {r.kind for r in bad_kept} <= {0}
+    assert left_over(rules, rows)[1] <= 5
+
+
+def test_noise_gives_no_rules(spark):
+    rng = random.Random(3)
+    rows = as_labelled(spark, [([rng.gauss(0, 1) for _ in quality_rules.FEATURES], int(rng.random() < 0.2), 0) for _ in range(2000)])
+    assert quality_rules.learn(rows) == []
+    assert quality_rules.learn(rows.filter("bad = 1")) == [] and quality_rules.learn(rows.limit(0)) == []
+
+
 # --- pipeline -------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):

@@ -3,9 +3,13 @@
 A rule is a conjunction of thresholds on text statistics that tells bad documents. Rules are grown on two
 thirds of the labelled documents (best FOIL gain first), pruned on the last third (conditions are dropped
 from the end while the share of bad documents among those covered does not fall), and the labelled
-documents that a rule covers are set aside before the next one is learned. The list is an ordered Spark
-conditional expression. Statistics and verdicts are DataFrame functions throughout; learning reads counts
-per threshold that Spark sums over all labelled documents, never rows.
+documents that a rule covers are set aside before the next one is learned. A rule that is not precise enough
+sets its last condition aside instead, and the search goes on without it. It ends when no condition is left
+that saves more bits in telling bad from good than it takes to write down; nothing else bounds the number of
+rules or of conditions. Thresholds are chosen among quantiles, those of the far ends included, and then
+refined between their neighbours. The list is an ordered Spark conditional expression. Statistics and
+verdicts are DataFrame functions throughout; learning reads counts per threshold that Spark sums over all
+labelled documents, never rows.
 """
 
 from __future__ import annotations
@@ -20,9 +24,8 @@ from .common import SPACE, materialise, read, word_array
 
 #: Fixed value: the symbols that count as such.
 SYMBOLS = "#*$%&|<>"
-CUTS = 16
-MAX_CONDITIONS = 3
-MAX_RULES = 8
+#: Thresholds are quantiles, so many evenly spread and the rest at both ends; chosen ones are refined so often.
+CUTS, REFINED = 16, 2
 #: A rule must be right on this share of the labelled documents that it covers, and cover so many.
 MIN_PRECISION = 0.9
 MIN_COVER = 5
@@ -68,9 +71,10 @@ def _repeat_words(words: Column) -> Column:
             at, F.transform(at, lambda i: i + 1), F.transform(at, lambda i: i + 2))))
 
     def count(codes: Column) -> Column:
-        return F.when(F.size(F.array_distinct(codes)) == F.size(codes), F.lit(0)).otherwise(covered(places(codes)))
+        return F.when(F.size(F.array_distinct(codes)) == F.size(codes), F.lit(0)).otherwise(
+            F.transform(F.array(places(codes)), covered)[0])
 
-    # A one-element array binds a name, so the hashes are computed once.
+    # A one-element array binds a name, so the hashes and their order are computed once.
     return F.when(n < 2, F.lit(0)).otherwise(F.transform(F.array(codes), count)[0]).cast("long")
 
 
@@ -117,29 +121,101 @@ def _all(rule: Rule) -> Column:
 
 def _counts(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[tuple[str, int], tuple[int, int]]:
     """(bad, good) of the rows by feature and number of cuts below the value: at most features x cuts rows."""
-    bins = F.array(*[F.struct(F.lit(f).alias("feature"), reduce(
-        lambda a, b: a + b, [(F.col(f) > c).cast("int") for c in cuts[f]], F.lit(0)).alias("bin")) for f in FEATURES])
+    bins = F.array(*[F.struct(F.lit(f).alias("feature"), F.size(F.filter(
+        F.array(*[F.lit(c) for c in at]), lambda c: c < F.col(f))).alias("bin")) for f, at in cuts.items()])
     counted = rows.select("bad", F.explode(bins).alias("b")).groupBy("b.feature", "b.bin").agg(
         F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
     return {(r["feature"], r["bin"]): (r["bad"], r["good"]) for r in counted.collect()}
 
 
-def _best(counts: dict, cuts: dict[str, list[float]]) -> tuple[float, Condition | None]:
-    """The condition of the highest FOIL gain; ties go to the first feature, cut and side."""
-    best, chosen = 0.0, None
-    for feature in FEATURES:
+def _quantiles(rows: DataFrame, features: list[str], at: list[float]) -> dict[str, list[float]]:
+    """Thresholds by feature: quantiles of all rows and of the bad ones."""
+    found = rows.agg(*[F.percentile_approx(v, at, 100_000).alias(f"{kind}{f}") for f in features for kind, v in (
+        ("all_", F.col(f)), ("bad_", F.when(F.col("bad") == 1, F.col(f))))]).first()
+    return {f: sorted({float(x) for kind in ("all_", "bad_") for x in found[f"{kind}{f}"] or []}) for f in features}
+
+
+def _places(n_bad: int) -> list[float]:
+    """Shares at which thresholds lie: even ones, and at both ends from MIN_COVER bad rows on by doubling."""
+    even = [k / (CUTS + 1) for k in range(1, CUTS + 1)]
+    ends, share = [], MIN_COVER / max(n_bad, 2 * MIN_COVER)
+    while share < even[0]:
+        ends += [share, 1 - share]
+        share *= 2
+    return sorted({*even, *ends})
+
+
+def _entropy(p: int, n: int) -> float:
+    """Bits that tell p bad from n good rows."""
+    return sum(-x * math.log2(x / (p + n)) for x in (p, n) if x)
+
+
+def _conditions(counts: dict, cuts: dict[str, list[float]], cost: float = 0.0):
+    """FOIL gain, condition and precision of all that save more bits than ``cost``, over rows within and without."""
+    for feature in cuts:
         by_bin = [counts.get((feature, i), (0, 0)) for i in range(len(cuts[feature]) + 1)]
         bad, good = sum(x[0] for x in by_bin), sum(x[1] for x in by_bin)
         if not bad:
             continue
-        before = math.log2(bad / (bad + good))
+        before, whole = math.log2(bad / (bad + good)), _entropy(bad, good)
         low = [0, 0]
         for i, cut in enumerate(cuts[feature]):
             low = [low[0] + by_bin[i][0], low[1] + by_bin[i][1]]
             for above, (p, n) in ((False, low), (True, (bad - low[0], good - low[1]))):
-                if p >= MIN_COVER and (gain := p * (math.log2(p / (p + n)) - before)) > best + 1e-9:
-                    best, chosen = gain, Condition(feature, above, cut)
-    return best, chosen
+                if p >= MIN_COVER and whole - _entropy(p, n) - _entropy(bad - p, good - n) > cost:
+                    yield p * (math.log2(p / (p + n)) - before), Condition(feature, above, cut), p / (p + n)
+
+
+def _refine(rows: DataFrame, chosen: Condition, gain: float, cuts: list[float]) -> Condition:
+    """The best threshold between the neighbours of a chosen one."""
+    for _ in range(REFINED):
+        i = cuts.index(chosen.cut)
+        value = F.col(chosen.feature)
+        near = rows
+        if i > 0:
+            near = near.filter(value > cuts[i - 1])
+        if i + 1 < len(cuts):
+            near = near.filter(value <= cuts[i + 1])
+        finer = _quantiles(near, [chosen.feature], [k / (2 * CUTS) for k in range(1, 2 * CUTS)])[chosen.feature]
+        finer = sorted({*finer, *cuts[max(0, i - 1):i + 2]})
+        better = max(((g, c) for g, c, _ in _conditions(_counts(rows, {chosen.feature: finer}), {chosen.feature: finer})
+                      if c.above == chosen.above), key=lambda x: x[0], default=(gain, chosen))
+        if better[0] <= gain + 1e-9:
+            break
+        (gain, chosen), cuts = better, finer
+    # Half-way between the values on its two sides: rows that it was not grown on may lie in between.
+    value = F.col(chosen.feature)
+    low, high = rows.agg(F.max(F.when(value <= chosen.cut, value)), F.min(F.when(value > chosen.cut, value))).first()
+    if low is not None and high is not None and low < (middle := (low + high) / 2) < high:
+        chosen = Condition(chosen.feature, chosen.above, middle)
+    return chosen
+
+
+def _grow(rows: DataFrame, cuts: dict[str, list[float]], aside: set[tuple]) -> tuple[Rule, tuple | None]:
+    """A rule, condition by condition, until it covers no good row or no condition saves what it costs to write
+    down; and what to set aside if it is refused: its last condition's feature and side after the ones before.
+    What is set aside is only tried at thresholds that are precise enough by themselves."""
+    rule: Rule = ()
+    last = None
+    cost = math.log2(2 * sum(map(len, cuts.values())) or 1)
+    while True:
+        inside = rows.filter(_all(rule))
+        counts = _counts(inside, cuts)
+        feature = next(iter(cuts))
+        if not sum(n for (f, _), (_, n) in counts.items() if f == feature):
+            return rule, last
+        before = tuple((c.feature, c.above) for c in rule)
+        # Ties go to the first feature, cut and side.
+        best = max(((gain, c) for gain, c, precision in _conditions(counts, cuts, cost)
+                    if (before, c.feature, c.above) not in aside
+                    or precision >= MIN_PRECISION and (before, c.feature, c.above, c.cut) not in aside),
+                   key=lambda x: x[0], default=None)
+        if best is None or best[0] <= 0:
+            return rule, last
+        last = (before, best[1].feature, best[1].above)
+        if last in aside:
+            last = (*last, best[1].cut)
+        rule = (*rule, _refine(inside, best[1], best[0], cuts[best[1].feature]))
 
 
 def _prune(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
@@ -155,36 +231,28 @@ def _prune(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
 def learn(labelled: DataFrame) -> list[Rule]:
     """The decision list from rows with FEATURES, ``bad`` (0 or 1) and ``fold`` (0, 1 or 2; 2 prunes).
 
-    No rows, or rows of one kind only, give an empty list.
+    Each accepted rule takes MIN_COVER bad rows away and each refused one a condition, so the search ends. No
+    rows, or rows of one kind only, give an empty list.
     """
-    rows = labelled
-    cuts = {}
-    quantiles = rows.agg(*[F.percentile_approx(f, [k / (CUTS + 1) for k in range(1, CUTS + 1)], 10_000).alias(f)
-                           for f in FEATURES], *[F.percentile_approx(F.when(F.col("bad") == 1, F.col(f)),
-                           [k / (CUTS + 1) for k in range(1, CUTS + 1)], 10_000).alias(f"bad_{f}") for f in FEATURES]).first()
-    for f in FEATURES:
-        cuts[f] = sorted({float(x) for x in [*(quantiles[f] or []), *(quantiles[f"bad_{f}"] or [])]})
-    rules: list[Rule] = []
-    while len(rules) < MAX_RULES:
-        rule: Rule = ()
-        left = rows.filter("fold < 2")
-        while len(rule) < MAX_CONDITIONS:
-            counts = _counts(left.filter(_all(rule)), cuts)
-            good = sum(n for (f, _), (_, n) in counts.items() if f == FEATURES[0])
-            gain, condition = _best(counts, cuts) if good else (0.0, None)
-            if condition is None:
-                break
-            rule = (*rule, condition)
-        if not rule:
-            break
-        rule, bad, good = _prune(rows.filter("fold = 2"), rule)
-        grown_bad, grown_good = (left.filter(_all(rule)).agg(F.sum("bad"), F.sum(1 - F.col("bad"))).first())
+    rows, rules, aside = labelled, [], set()
+    while True:
+        n_bad = rows.agg(F.coalesce(F.sum("bad"), F.lit(0))).first()[0]
+        if n_bad < MIN_COVER:
+            return rules
+        grown = rows.filter("fold < 2")
+        if not aside:
+            cuts = _quantiles(rows, FEATURES, _places(n_bad))
+        rule, last = _grow(grown, cuts, aside)
+        if last is None:
+            return rules
+        pruned, bad, good = _prune(rows.filter("fold = 2"), rule)
+        grown_bad, grown_good = grown.filter(_all(pruned)).agg(F.sum("bad"), F.sum(1 - F.col("bad"))).first()
         bad, good = bad + (grown_bad or 0), good + (grown_good or 0)
         if bad < MIN_COVER or bad < MIN_PRECISION * (bad + good):
-            break
-        rules.append(rule)
-        rows = rows.filter(~_all(rule))
-    return rules
+            aside.add(last)
+            continue
+        rules.append(pruned)
+        rows, aside = rows.filter(~_all(pruned)), set()
 
 
 def verdict(rules: list[Rule]) -> Column:
