@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -282,6 +283,33 @@ def test_text_beside_content_words_and_after_unclosed_elements_stays(spark):
     assert kept_lines("<html><head><title>t</title><script>var a='<p>'<body><p>b</p>") == ["b"]
 
 
+@pytest.mark.parametrize("piece", [
+    '<a "', "<!-x", "<a ", "<a \"<b '", "<a '\"", "<button><p>", "<title/></title>", "<svg>", "<!--", "<script>", "</script ", "&#", "<"])
+def test_hostile_markup_takes_linear_time(piece):
+    """A megabyte of what never ends; the pattern of before took hours."""
+    for tail in ("", "</button>", ">", "\""):
+        page = piece * (1_000_000 // len(piece)) + tail
+        start = time.process_time()
+        html_text.page_lines(page)
+        assert time.process_time() - start < 5
+
+
+def test_deep_markup_takes_linear_time():
+    for page in ("<b>" * 150_000 + "</x>" * 130_000, "<p><table>" + "<b>" * 150_000 + "<h1>" * 130_000, "<b>" * 150_000 + "<li>" * 100_000):
+        start = time.process_time()
+        html_text.page_lines(page)
+        assert time.process_time() - start < 5
+
+
+def test_malformed_tags():
+    lines = lambda html: [t for t, _ in html_text.page_lines(html)]
+    assert lines('a <b title="x>y">bold</b> <i \'>\'>c</i>') == ["a bold c"]
+    assert lines('1 <a "2 <p>3</p>') == ['1 <a "2', "3"]  # a quote without an end is text
+    assert lines("x < y <3 </ <p") == ["x < y <3 </"]  # a tag that the page's end cuts off is none
+    assert lines("a<!-- <p> -->b<!doctype x>c<!d") == ["abc<!d"]
+    assert lines("<button>no<p>yes</p><button>no</button>") == ["yes"]
+
+
 def test_given_pages_lose_their_frame_only(spark):
     pages = {r.page_id: r.html for r in read(spark, DATA, "pages").collect()}
     for r in html_text.query(spark, DATA).collect():

@@ -14,6 +14,7 @@ host with a third of all pages is spread like any other. Only line hashes are se
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
 import zlib
@@ -54,10 +55,14 @@ BLOCK = 64
 #: Pages next to each other are near copies if they share so much of the text, by characters, that is no furniture.
 COPY = 0.8
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<>]*\Z", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_TAG_BEGINS = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_SPECIAL = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _BLOCK_BEGINS = re.compile(rf"</?(?:{'|'.join(sorted(BREAKS - {'hr', 'legend', 'optgroup', 'option'}))})[\s/>]", re.I)
 _TEXT_BEGINS = re.compile(r"</head\s*>|<(?:body|article|main)[\s>]", re.I)
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+_RAW_BEGINS = {tag: re.compile(rf"<{tag}[\s>]", re.I) for tag in RAW}
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -99,70 +104,142 @@ def _kind(tag: str, attributes: str, outer: int) -> int:
     return outer
 
 
-def _raw_end(source: str, at: int, tag: str, closed: bool) -> int:
-    """Where a raw element ends that begins at ``at``: without an end tag of its own at the next block."""
-    if closed and tag in ("svg", "math"):
-        return at
-    end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-    if tag in ("button", "select"):  # these cannot hold each other, so the end tag may be that of a later one
-        again = re.compile(rf"<{tag}[\s>]", re.I).search(source, at, end.start() if end else len(source))
-        end = None if again else end
-    if end and not closed:
-        return end.end()
-    # Blocks in the strings of a script are no blocks.
-    block = (_TEXT_BEGINS if tag in ("script", "style") else _BLOCK_BEGINS).search(source, at)
-    if end and (not block or end.start() < block.start()):
-        return end.end()
-    return block.start() if block else len(source)
+class _Source:
+    """A page's markup, read forward. No part of it is looked through again and again: what a search that came
+    to nothing, or found something far ahead, has learnt holds for all later places up to there."""
+
+    def __init__(self, text: str):
+        self.text, self.last_open, self.last_close = text, text.rfind("<"), text.rfind(">")
+        self.found: dict[re.Pattern, re.Match | None] = {}
+        self.places: list[int] | None = None  # of '>' and quotes, once a tag has no end
+
+    def search(self, pattern: re.Pattern, at: int) -> re.Match | None:
+        """The first match from a place on; places never go back."""
+        if pattern not in self.found or (last := self.found[pattern]) is not None and last.start() < at:
+            self.found[pattern] = pattern.search(self.text, at)
+        return self.found[pattern]
+
+    def token(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """The next comment, declaration or tag: start, end, slash, name and attributes of a tag."""
+        text = self.text
+        start = text.find("<", at)
+        while start >= 0:
+            sign = text[start + 1:start + 2]
+            if text.startswith("<!--", start):
+                end = text.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(text), "", "", ""
+            if sign in ("!", "?"):
+                if self.last_close > start:
+                    return start, text.index(">", start) + 1, "", "", ""
+            elif begun := _TAG_BEGINS.match(text, start):
+                if found := self._tag(start, begun):
+                    return start, *found
+                if start == self.last_open and self.last_close < start:  # cut off at the page's end
+                    return start, len(text), "", "", ""
+            start = text.find("<", start + 1)
+        return None
+
+    def _tag(self, start: int, begun: re.Match) -> tuple[int, str, str, str] | None:
+        if self.places is None:
+            if m := _TAG.match(self.text, start):
+                return m.end(), m[1], m[2], m[3]
+            self._prepare()
+        # From quote to quote. A quote or '>' from which one tag found no end gives none to any other.
+        k, tried = bisect.bisect_left(self.places, begun.end()), []
+        while k < len(self.places) and k not in self.endless:
+            tried.append(k)
+            if self.text[self.places[k]] == ">":
+                return self.places[k] + 1, begun[1], begun[2], self.text[begun.end():self.places[k]]
+            k = self.closing[k] + 1
+        self.endless.update(tried)
+        return None
+
+    def _prepare(self) -> None:
+        self.places = [m.start() for m in _SPECIAL.finditer(self.text)]
+        self.closing, self.endless = [0] * len(self.places), set()
+        following = {"'": len(self.places), '"': len(self.places), ">": 0}
+        for k in range(len(self.places) - 1, -1, -1):
+            sign = self.text[self.places[k]]
+            self.closing[k], following[sign] = following[sign], k
+
+    def raw_end(self, at: int, tag: str, closed: bool) -> int:
+        """Where a raw element ends that begins at ``at``: without an end tag of its own at the next block."""
+        if closed and tag in ("svg", "math"):
+            return at
+        end = self.search(_RAW_ENDS[tag], at)
+        if tag in ("button", "select"):  # these cannot hold each other, so the end tag may be that of a later one
+            again = self.search(_RAW_BEGINS[tag], at)
+            end = None if again and end and again.start() < end.start() else end
+        if end and not closed:
+            return end.end()
+        # Blocks in the strings of a script are no blocks.
+        block = self.search(_TEXT_BEGINS if tag in ("script", "style") else _BLOCK_BEGINS, at)
+        if end and (not block or end.start() < block.start()):
+            return end.end()
+        return block.start() if block else len(self.text)
+
+
+class _Open:
+    """The elements that are open, innermost last, and where each name was opened last."""
+
+    def __init__(self):
+        self.tags: list[str] = [""]
+        self.kinds: list[int] = [OUTSIDE]
+        self.at: dict[str, list[int]] = defaultdict(list)
+
+    def begin(self, tag: str, kind: int) -> None:
+        self.at[tag].append(len(self.tags))
+        self.tags.append(tag)
+        self.kinds.append(kind)
+
+    def close(self, tag: str, barrier: tuple[str, ...] = ()) -> None:
+        """End the innermost element of that name with all inside it, unless a barrier lies between."""
+        place = self.at[tag][-1] if self.at.get(tag) else 0
+        if not place or any(self.at[b][-1] > place for b in barrier if self.at.get(b)):
+            return
+        for inner in self.tags[place:]:
+            self.at[inner].pop()
+        del self.tags[place:], self.kinds[place:]
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
-    """(text, kind) of each block that has text, in page order."""
+    """(text, kind) of each block that has text, in page order; in time proportional to the page, whatever it holds."""
     out: list[tuple[str, int]] = []
-    open_tags: list[tuple[str, int]] = [("", OUTSIDE)]
-    buffer: list[str] = []
-    source = html or ""
+    opened, buffer, source = _Open(), [], _Source(html or "")
 
     def flush() -> None:
         if buffer:
             if text := " ".join(entities.unescape("".join(buffer)).split()):
-                out.append((text, min(open_tags[-1][1], DROPPED)))
+                out.append((text, min(opened.kinds[-1], DROPPED)))
             buffer.clear()
 
-    def close(tag: str, barrier: tuple[str, ...] = ()) -> None:
-        for k in range(len(open_tags) - 1, 0, -1):
-            if open_tags[k][0] == tag:
-                del open_tags[k:]
-                return
-            if open_tags[k][0] in barrier:
-                return
-
     at = 0
-    while m := _TOKEN.search(source, at):
-        if m.start() > at:
-            buffer.append(source[at:m.start()])
-        at, tag = m.end(), (m[2] or "").lower()
+    while token := source.token(at):
+        start, end, slash, name, attributes = token
+        if start > at:
+            buffer.append(source.text[at:start])
+        at, tag = end, name.lower()
         if not tag:
             continue
         if tag in BREAKS:
             flush()
-        if m[1]:
-            close(tag)
+        if slash:
+            opened.close(tag)
         elif tag in RAW:
-            at = _raw_end(source, at, tag, m[3].endswith("/"))
-        elif tag not in VOID and not m[3].endswith("/"):
+            at = source.raw_end(at, tag, attributes.endswith("/"))
+        elif tag not in VOID and not attributes.endswith("/"):
             if tag in BREAKS:
-                close("p", ("article", "aside", "body", "div", "footer", "form", "main", "nav", "section", "table", "td"))
+                opened.close("p", ("article", "aside", "body", "div", "footer", "form", "main", "nav", "section", "table", "td"))
             if tag == "body":
-                close("head")
+                opened.close("head")
             if tag == "li":
-                close("li", ("ol", "ul", "menu"))
-            kind = _kind(tag, m[3], open_tags[-1][1])
-            if kind != open_tags[-1][1]:
+                opened.close("li", ("ol", "ul", "menu"))
+            kind = _kind(tag, attributes, opened.kinds[-1])
+            if kind != opened.kinds[-1]:
                 flush()
-            open_tags.append((tag, kind))
-    if at < len(source):
-        buffer.append(source[at:])
+            opened.begin(tag, kind)
+    if at < len(source.text):
+        buffer.append(source.text[at:])
     flush()
     return out
 
