@@ -7,6 +7,11 @@ bits than that under both masks. Pairs of nodes are taken from the top down: the
 are carried along, only bits that a child adds to its parent's mask are counted, and whole pairs of groups
 are dropped. Above the blocks this runs as joins of the node tables, inside a pair of blocks as array code.
 
+There is one such index for each of distance + 1 segments of the fingerprint, which is rotated so that the
+segment comes first. Two fingerprints within the distance agree in one segment, so in each index only nodes
+that share a value of its leading segment meet: a block meets itself and the few that its segments reach
+into. So pairs of blocks grow with the input, not with its square.
+
 Pairs of blocks give a spanning forest instead of pairs: nodes whose members are already connected are not
 opened, so a group of many near copies costs no square of its size. A component search joins the forests.
 """
@@ -62,32 +67,46 @@ def gray_rank(code: Column) -> Column:
     return code.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def _node_pairs(coded: DataFrame, blocks: int, distance: int) -> DataFrame:
-    """(a, b), a <= b: the pairs of blocks that may hold fingerprints within the distance."""
-    summary = coded.groupBy("block").agg(
-        F.bit_and("code").alias("all1"), F.bit_or("code").alias("any1"))
-    levels = [materialise(summary.withColumnRenamed("block", "node"), "nodes")]
+def segments(distance: int) -> list[tuple[int, int]]:
+    """(bits before it, width) of distance + 1 segments of 64 bits: as many differing bits leave one untouched."""
+    n = min(distance + 1, 64)
+    ends = [64 * k // n for k in range(n + 1)]
+    return [(a, b - a) for a, b in zip(ends[:-1], ends[1:])]
+
+
+def rotated(code: Column, bits: int) -> Column:
+    return code if bits == 0 else F.shiftleft(code, bits).bitwiseOR(F.shiftrightunsigned(code, 64 - bits))
+
+
+def _node_pairs(placed: DataFrame, blocks: int, distance: int) -> DataFrame:
+    """(index, a, b), a <= b: the pairs of an index's blocks that may hold fingerprints which agree in its
+    segment and lie within the distance."""
+    summary = placed.groupBy("index", F.col("block").alias("node")).agg(
+        F.bit_and("code").alias("all1"), F.bit_or("code").alias("any1"), F.min("lead").alias("low"), F.max("lead").alias("high"))
+    levels = [materialise(summary, "nodes")]
     size = blocks
     while size > 1:
         size = -(-size // FAN_OUT)
-        levels.append(levels[-1].groupBy(F.floor(F.col("node") / FAN_OUT).alias("node")).agg(
-            F.bit_and("all1").alias("all1"), F.bit_or("any1").alias("any1")))
+        levels.append(levels[-1].groupBy("index", F.floor(F.col("node") / FAN_OUT).alias("node")).agg(
+            F.bit_and("all1").alias("all1"), F.bit_or("any1").alias("any1"), F.min("low").alias("low"), F.max("high").alias("high")))
     none = F.lit(0).cast("long")
-    pairs = levels[-1].select(F.col("node").alias("a"), F.col("node").alias("b"), none.alias("seen"), none.alias("diff"))
+    pairs = levels[-1].select(
+        "index", F.col("node").alias("a"), F.col("node").alias("b"), none.alias("seen"), none.alias("diff"))
     for nodes in reversed(levels[:-1]):
         def side(name: str) -> DataFrame:
             shared = F.bitwise_not(F.col("all1").bitwiseXOR(F.col("any1")))
-            return nodes.select(F.floor(F.col("node") / FAN_OUT).alias(f"p{name}"), F.col("node").alias(name),
-                                shared.alias(f"mask_{name}"), F.col("all1").alias(f"bits_{name}"))
-        both = pairs.withColumnsRenamed({"a": "pa", "b": "pb"}).join(side("a"), "pa").join(side("b"), "pb") \
-            .filter("a <= b").withColumn("mask", F.col("mask_a").bitwiseAND(F.col("mask_b")))
+            return nodes.select("index", F.floor(F.col("node") / FAN_OUT).alias(f"p{name}"), F.col("node").alias(name),
+                                shared.alias(f"mask_{name}"), F.col("all1").alias(f"bits_{name}"),
+                                F.col("low").alias(f"low_{name}"), F.col("high").alias(f"high_{name}"))
+        both = pairs.withColumnsRenamed({"a": "pa", "b": "pb"}).join(side("a"), ["index", "pa"]).join(side("b"), ["index", "pb"]) \
+            .filter("a <= b AND low_b <= high_a").withColumn("mask", F.col("mask_a").bitwiseAND(F.col("mask_b")))
         new = F.col("mask").bitwiseAND(F.bitwise_not(F.col("seen")))
         pairs = materialise(
             both.withColumn("diff", F.col("diff") + F.bit_count(
                 F.col("bits_a").bitwiseXOR(F.col("bits_b")).bitwiseAND(new)))
             .filter(F.col("diff") <= distance)
-            .select("a", "b", F.col("mask").alias("seen"), "diff"), "node-pairs")
-    return pairs.select("a", "b")
+            .select("index", "a", "b", F.col("mask").alias("seen"), "diff"), "node-pairs")
+    return pairs.select("index", "a", "b")
 
 
 class _Forest:
@@ -132,8 +151,12 @@ class _Tree:
         return out
 
 
-def block_forest(a: np.ndarray, b: np.ndarray | None, distance: int, step: int = 1 << 16) -> np.ndarray:
-    """For two blocks in Gray order (or one, with itself): the root of each code, codes of a before those of b."""
+def block_forest(a: np.ndarray, b: np.ndarray | None, distance: int, lead: int = 0, step: int = 1 << 16) -> np.ndarray:
+    """For two blocks in Gray order (or one, with itself): the root of each code, codes of a before those of b.
+
+    Only codes that agree in their ``lead`` highest bits are compared.
+    """
+    leading = np.uint64(((1 << lead) - 1) << (64 - lead))
     left = _Tree(a, 0)
     right = left if b is None else _Tree(b, len(a))
     forest = _Forest(len(a) + (0 if b is None else len(b)))
@@ -172,23 +195,30 @@ def block_forest(a: np.ndarray, b: np.ndarray | None, distance: int, step: int =
         ci, cj, parent = ci[kept], cj[kept], kept // (_Tree.FAN * _Tree.FAN)
         (and_a, or_a), (and_b, or_b) = left.levels[at], right.levels[at]
         mask = ~((and_a[ci] ^ or_a[ci]) | (and_b[cj] ^ or_b[cj]))
-        found = diff[parent] + np.bitwise_count((and_a[ci] ^ and_b[cj]) & mask & ~seen[parent])
-        near = found <= distance
+        differing = (and_a[ci] ^ and_b[cj]) & mask
+        found = diff[parent] + np.bitwise_count(differing & ~seen[parent])
+        near = (found <= distance) & (differing & leading == 0)
         if near.any():
             todo.append((at, ci[near], cj[near], mask[near], found[near]))
     return forest.root
 
 
 def _links(distance: int):
+    """Links between the codes of pairs of blocks, turned back to where their bits were."""
+    parts = segments(distance)
+
     def search(batches):
         for batch in batches:
             us, vs = [], []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]):
+            for index, a, b, x, y in zip(batch["index"], batch["a"], batch["b"], batch["x"], batch["y"]):
+                bits, width = parts[index]
                 one = np.frombuffer(x, "<u8")
                 two = None if a == b else np.frombuffer(y, "<u8")
                 codes = one if two is None else np.concatenate([one, two])
-                root = block_forest(one, two, distance)
+                root = block_forest(one, two, distance, width if len(parts) > 1 else 0)
                 moved = np.flatnonzero(root != np.arange(len(root)))
+                if bits:
+                    codes = codes >> np.uint64(bits) | codes << np.uint64(64 - bits)
                 us.append(codes[moved].view("i8"))
                 vs.append(codes[root[moved]].view("i8"))
             yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)} if us else {"u": [], "v": []})
@@ -197,27 +227,31 @@ def _links(distance: int):
 
 def _packed(rows):
     for batch in rows:
-        yield pd.DataFrame({"block": batch["block"], "codes": [
+        yield pd.DataFrame({"index": batch["index"], "block": batch["block"], "codes": [
             np.asarray(c, "i8").astype("<i8").tobytes() for c in batch["codes"]]})
 
 
 def linked(codes: DataFrame, distance: int) -> DataFrame:
     """(code, root) for each distinct long ``code`` that has another within ``distance`` differing bits."""
-    spark = codes.sparkSession
-    placed = materialise(
-        with_dense_id(codes.select("code", gray_rank(F.col("code")).alias("rank")), ["rank"], "place")
-        .select("code", "place", F.floor((F.col("place") - 1) / BLOCK).alias("block")), "gray")
-    blocks = (placed.agg(F.max("block")).first()[0] or 0) + 1
-    pairs = _node_pairs(placed, blocks, distance)
+    spark, n = codes.sparkSession, codes.count()
+    turned = F.array(*[F.struct(F.lit(k).alias("index"), rotated(F.col("code"), bits).alias("code"), F.lit(64 - width).alias("rest"))
+                       for k, (bits, width) in enumerate(segments(distance))])
+    ranked = codes.select(F.inline(turned)).withColumn("rank", gray_rank(F.col("code"))) \
+        .withColumn("lead", F.expr("shiftright(rank, rest)")).drop("rest")
+    # Each index has all n codes, one index after the other.
+    block = F.floor((F.col("place") - 1) % max(n, 1) / BLOCK)
+    placed = materialise(with_dense_id(ranked, ["index", "rank"], "place").select(
+        "index", "code", "lead", "place", block.alias("block")), "gray")
+    pairs = _node_pairs(placed, -(-n // BLOCK), distance)
     # A block is at most BLOCK codes, so these rows are of bounded size.
     filled = materialise(
-        placed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "code")))["code"].alias("codes"))
-        .mapInPandas(_packed, "block long, codes binary"), "blocks")
+        placed.groupBy("index", "block").agg(F.sort_array(F.collect_list(F.struct("place", "code")))["code"].alias("codes"))
+        .mapInPandas(_packed, "index int, block long, codes binary"), "blocks")
     # Few pairs of blocks a task, so that what a Python worker holds at once stays bounded.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pairs.count() // 16))
     joined = (
-        pairs.join(filled.select(F.col("block").alias("a"), F.col("codes").alias("x")), "a")
-        .join(filled.select(F.col("block").alias("b"), F.col("codes").alias("y")), "b")
+        pairs.join(filled.select("index", F.col("block").alias("a"), F.col("codes").alias("x")), ["index", "a"])
+        .join(filled.select("index", F.col("block").alias("b"), F.col("codes").alias("y")), ["index", "b"])
         .withColumn("y", F.when(F.col("a") != F.col("b"), F.col("y"))))
     links = joined.repartition(tasks).mapInPandas(_links(distance), "u long, v long")
     return components(materialise(links, "links")).withColumnRenamed("node", "code")
