@@ -458,9 +458,9 @@ def version_changes(spark, sf_dir):
 @query
 def keyed_topic(spark, sf_dir):
     """Upserts and tombstones as key and value text, written to a topic and dumped from it."""
-    lines = lines(spark, sf_dir).withColumns({"op": D.line_op(), "price": F.col("l_extendedprice").cast("decimal(12,2)")})
+    priced = lines(spark, sf_dir).withColumns({"op": D.line_op(), "price": F.col("l_extendedprice").cast("decimal(12,2)")})
     root = fresh_dir(spark, "topic")
-    sinks.topic_writer(root, D.LINE_KEY, [*D.LINE_KEY, "l_partkey", "price", "l_shipdate"], D.LINE_ORDER)(lines, 0)
+    sinks.topic_writer(root, D.LINE_KEY, [*D.LINE_KEY, "l_partkey", "price", "l_shipdate"], D.LINE_ORDER)(priced, 0)
     return feeds.topic_records(spark, root).select(
         "key", F.coalesce("value", F.lit("tombstone")).alias("value"),
         F.col("timestamp").isNotNull().alias("has_timestamp"))
@@ -502,8 +502,8 @@ def row_kind_changes(spark, sf_dir):
 
 def _topic_of_lines(spark, sf_dir, values):
     root = fresh_dir(spark, "topic")
-    lines = lines(spark, sf_dir).withColumn("op", D.line_op())
-    sinks.topic_writer(root, D.LINE_KEY, values, D.LINE_ORDER)(lines, 0)
+    changes = lines(spark, sf_dir).withColumn("op", D.line_op())
+    sinks.topic_writer(root, D.LINE_KEY, values, D.LINE_ORDER)(changes, 0)
     return feeds.topic_records(spark, root)
 
 

@@ -93,8 +93,8 @@ class MaintainedEnds:
         held = known.filter(F.col("_end") == end)
         # The innermost row that is held; an end that holds all rows of its group knows all.
         inner = F.struct(*self.rank)
-        reach = held.groupBy(*self.group).agg(
-            (F.max_by(inner, "_slot")).alias("_reach"), F.sum("_copies").alias("_held"))
+        depth = held.groupBy(*self.group).agg(F.max("_slot").alias("_depth"), F.sum("_copies").alias("_held"))
+        reach = self._joined(held, depth, "inner").filter("_slot = _depth").select(*self.group, inner.alias("_reach"), "_held")
         rows = self._net(held.select(*change.columns).unionByName(change)).filter("_copies > 0")
         placed = self._joined(self._joined(rows, sizes, "inner"), reach, "left")
         within = inner <= F.col("_reach") if end == FIRST else inner >= F.col("_reach")
@@ -129,8 +129,9 @@ class MaintainedEnds:
 
     def rows(self) -> DataFrame:
         """For each group the number of its rows, ``first`` and ``last``: the outermost rows as structs."""
-        row, slot = F.struct(*self.rank), F.col("_slot")
-        return self.slots.rows().filter(slot <= 1).groupBy(*self.group).agg(
-            F.max("_rows").alias("n_rows"),
-            F.max(F.when((slot == 1) & (F.col("_end") == FIRST), row)).alias("first"),
-            F.max(F.when((slot == 1) & (F.col("_end") == LAST), row)).alias("last"))
+        kept, row = self.slots.rows(), F.struct(*self.rank)
+        out = kept.filter("_slot = 0").select(*self.group, F.col("_rows").alias("n_rows"))
+        for end in (FIRST, LAST):
+            outer = kept.filter((F.col("_slot") == 1) & (F.col("_end") == end)).select(*self.group, row.alias(end))
+            out = self._joined(out, outer, "left")
+        return out
