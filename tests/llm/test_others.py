@@ -320,6 +320,17 @@ def test_given_pages_lose_their_frame_only(spark):
 
 # --- classifier -----------------------------------------------------------------------------------
 
+def test_classifier_sample_is_bounded_in_lines(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality_crf, "fit", lambda documents, labels: taken.append(sum(len(x) for x, _ in documents)))
+    monkeypatch.setattr(quality_crf, "SAMPLE_LINES", 500)
+    monkeypatch.setattr(quality_crf, "MOST_LINES", 100)
+    rows = [(i, "a line of text\n" * (5000 if i % 10 == 0 else 20)) for i in range(200)] + [(1, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    quality_crf.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert 400 <= taken[0] <= 500
+
+
 def test_classifier_learns_from_repeated_rows_once(spark, monkeypatch):
     taken = []
     monkeypatch.setattr(quality_crf, "fit", lambda documents, labels: taken.append((len(documents), sorted(labels))))

@@ -14,12 +14,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import read
+from .common import materialise, read
 
 #: At most so many labelled documents are learned from, picked by a hash of their id.
 SAMPLE = 4000
+#: And from at most so many of their lines in all, in the order of that hash; longer documents than MOST_LINES do not teach.
+SAMPLE_LINES, MOST_LINES = 200_000, 20_000
+#: So many different texts of one doc_id teach, those of the least hashes.
+VERSIONS = 64
 THRESHOLD = 0.7
 _SYMBOLS = re.compile(r"[#*$%&|<>~^_=+\\{}\[\]@]").findall
 _N = 13
@@ -150,7 +154,8 @@ def held_out():
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
-    """The field, from at most ``sample`` labelled documents that are not held out, whole texts, repeated rows once."""
+    """The field, from at most ``sample`` labelled documents that are not held out, whole texts, SAMPLE_LINES
+    lines in all, repeated rows once."""
     chosen = (
         labels.filter("doc_id is not null and quality is not null").filter(~held_out())
         .groupBy("doc_id").agg(F.min("quality").alias("__label"))
@@ -163,11 +168,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
                 "doc_id": batch["doc_id"], "label": batch["__label"],
                 "x": [x.astype("<f8").tobytes() for x, _ in found], "n": [w.tobytes() for _, w in found]})
 
-    # At most ``sample`` ids are broadcast; the line statistics of each different text of theirs come back once.
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        .withColumn("hash", F.sha2("text", 256)).dropDuplicates(["doc_id", "hash"])
-        .mapInPandas(featured, "doc_id long, label int, x binary, n binary").collect())
+    # At most ``sample`` ids are broadcast. One short row of each text tells which fit; their line statistics come back.
+    own = Window.partitionBy("doc_id").orderBy("hash")
+    texts = materialise(
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("hash", F.sha2("text", 256))
+        .dropDuplicates(["doc_id", "hash"]).withColumn("n", F.row_number().over(own)).filter(F.col("n") <= VERSIONS).drop("n")
+        .withColumn("lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")).filter(F.col("lines") <= MOST_LINES),
+        "taught")
+    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "hash").rowsBetween(Window.unboundedPreceding, 0)
+    fitting = texts.select("doc_id", "hash", F.sum("lines").over(in_order).alias("upto")) \
+        .filter(F.col("upto") <= SAMPLE_LINES).select("doc_id", F.col("hash").alias("kept_hash"))
+    rows = texts.join(F.broadcast(fitting.withColumnRenamed("doc_id", "kept_id")),
+                      (F.col("doc_id") == F.col("kept_id")) & F.col("hash").eqNullSafe(F.col("kept_hash"))) \
+        .select("doc_id", "text", "__label").mapInPandas(featured, "doc_id long, label int, x binary, n binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     documents = [(np.frombuffer(r["x"], "<f8").reshape(-1, 3 * _N), np.frombuffer(r["n"], "<f8")) for r in rows]
     full = [k for k, (x, _) in enumerate(documents) if len(x)]
