@@ -365,6 +365,53 @@ def test_chain_marginals_equal_enumeration():
     assert np.allclose(moves, wanted_moves)
 
 
+def test_bad_run_is_told_from_the_good_lines_around_it():
+    rng = random.Random(1)
+    words = ["".join(rng.choices("etaoinshrdlucmfw", k=rng.randrange(2, 9))) for _ in range(800)]
+
+    def document(good: bool):
+        n = rng.randrange(10, 25)
+        kinds = np.ones(n, int)
+        if not good:
+            run = max(2, int(n * .4))
+            at = rng.randrange(0, n - run + 1)
+            kinds[at:at + run] = 0
+        lines = [" ".join(rng.choices(words, k=rng.randrange(7, 14))) + "." if k
+                 else " | ".join(rng.choices(["buy", "now", "$$$", "click", "%%", "#1"], k=rng.randrange(3, 9))) for k in kinds]
+        return quality_crf.line_features("\n".join(lines)), kinds
+
+    made = [document(i % 2 == 1) for i in range(600)]
+    labels = np.arange(600) % 2
+    chain = quality_crf.fit([d for d, _ in made[:400]], labels[:400].astype(float))
+    bad, good = [], []
+    for (x, _), kinds in made[400::2]:
+        marginals = chain.marginals(chain.inputs(x) @ chain.emit, np.array([len(x)]))[0]
+        bad += list(marginals[kinds == 0])
+        good += list(marginals[kinds == 1])
+    assert max(bad) < 0.5 and np.mean(np.array(good) > 0.5) > 0.8  # lines next to the run see it in their features
+    assert (((chain.scores([d for d, _ in made[400:]]) >= 0.7) == labels[400:]).mean()) >= 0.99
+
+
+def test_gradient_of_the_expected_share():
+    rng = np.random.default_rng(3)
+    chain = quality_crf.Chain(np.zeros(2), np.ones(2), rng.standard_normal(3), rng.standard_normal((2, 2)))
+    emissions, sizes, part = rng.standard_normal(7), np.array([4, 3]), rng.random(7)
+    up, moves_up, _ = chain.marginals(emissions + 1e-4 * part, sizes)
+    down, moves_down, _ = chain.marginals(emissions - 1e-4 * part, sizes)
+    for k in range(7):  # against the share's own differences
+        e = np.eye(7)[k] * 1e-4
+        wanted = (chain.marginals(emissions + e, sizes)[0] - chain.marginals(emissions - e, sizes)[0]) @ part
+        assert np.isclose((up - down)[k], wanted, atol=1e-9)
+    for at in np.ndindex(2, 2):
+        move, shares = chain.move.copy(), []
+        for side in (1e-4, -1e-4):
+            chain.move = move.copy()
+            chain.move[at] += side
+            shares.append(chain.marginals(emissions, sizes)[0] @ part)
+        chain.move = move
+        assert np.isclose((moves_up - moves_down)[at], shares[0] - shares[1], atol=1e-9)
+
+
 def test_held_out_accuracy(spark):
     out = quality_crf.query(spark, "/root/testdata/sf0.01")
     labels = read(spark, "/root/testdata/sf0.01", "labels")

@@ -1,10 +1,11 @@
 """Quality classifier: a linear-chain conditional random field over the lines of a document.
 
 Every line is good or bad. A line's features are statistics of itself and of the lines before and after it;
-transition weights tie neighbouring labels. The weights maximise the likelihood of line labels that follow
-the document's label, and are learned on a bounded sample of labelled documents. A document's quality is
-the mean of the lines' forward-backward marginals, weighted by length, on a scale that is fitted to the
-labels of the same sample.
+transition weights tie neighbouring labels. The lines' labels are latent: all that a document's label says
+is what share of its text, by length, is expected to be good. A good document is good throughout, a bad one has at
+least LEAST_BAD of its text in bad lines, whichever these are. Weights are learned on a bounded sample of labelled
+documents, emissions first and transitions after them. A document's quality is the mean of the lines'
+forward-backward marginals, weighted by length, on a scale that is fitted to the labels of the same sample.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ SAMPLE_LINES, MOST_LINES = 200_000, 20_000
 #: So many different texts of one doc_id teach, those of the least hashes.
 VERSIONS = 64
 THRESHOLD = 0.7
+#: The share of a bad document's text that its bad lines make up at least.
+LEAST_BAD = 0.2
+#: Steps without transitions, and with them; the pull of the weights and of the transitions to zero.
+ROUNDS, CHAINED = 250, 40
+PULL, MOVE_PULL = 1e-4, 1e-2
 _SYMBOLS = re.compile(r"[#*$%&|<>~^_=+\\{}\[\]@]").findall
 _N = 13
 
@@ -116,7 +122,27 @@ class Chain:
         return np.where(np.isnan(raw), 0.5, scaled)
 
 
-def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = 250) -> Chain:
+def _blame(share: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Derivative of the documents' mean log-likelihood by their shares of good text.
+
+    A good document has log(share), a bad one log(bad share / LEAST_BAD) until that share is reached.
+    """
+    bad = 1 - share
+    return np.where(labels == 1, 1 / np.maximum(share, 1e-3),
+                    np.where(bad < LEAST_BAD, -1 / np.maximum(bad, 1e-3), 0.0)) / len(labels)
+
+
+def _ascent(gradient, theta: np.ndarray, rounds: int, rate: float) -> np.ndarray:
+    """Adam's steps up a gradient."""
+    m, v = 0.0, 0.0
+    for k in range(1, rounds + 1):
+        g = gradient(theta)
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g ** 2
+        theta = theta + rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)
+    return theta
+
+
+def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Chain:
     """Weights from documents with lines; one kind of label only gives a field that follows that label."""
     sizes = np.array([len(x) for x, _ in documents], int)
     raw = np.vstack([x for x, _ in documents]) if documents else np.zeros((0, 3 * _N))
@@ -124,17 +150,31 @@ def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, roun
     chain = Chain(mean, np.where(scale > 1e-9, scale, 1.0), np.zeros(3 * _N + 1), np.zeros((2, 2)))
     if not len(raw):
         return chain
-    x, y = chain.inputs(raw), np.repeat(labels, sizes).astype(float)
-    inner = sizes - 1
-    observed = np.array([[inner[labels == 0].sum(), 0], [0, inner[labels == 1].sum()]], float)
-    theta, m, v = np.zeros(x.shape[1] + 4), 0.0, 0.0
-    for k in range(1, rounds + 1):
-        chain.emit, chain.move = theta[:-4], theta[-4:].reshape(2, 2)
-        good, moves, _ = chain.marginals(x @ chain.emit, sizes)
-        gradient = np.concatenate([x.T @ (y - good), (observed - moves).ravel()]) / len(y)
-        gradient -= 1e-4 * theta
-        m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient ** 2
-        theta = theta + 0.1 * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)
+    x, starts = chain.inputs(raw), np.cumsum(sizes) - sizes
+    part = np.concatenate([w / w.sum() for _, w in documents])  # of its document's text, by line
+
+    def wanted(good: np.ndarray) -> np.ndarray:
+        """What a line's marginal should gain, by line."""
+        return np.repeat(_blame(np.add.reduceat(good * part, starts), labels), sizes) * part
+
+    def alone(emit: np.ndarray) -> np.ndarray:
+        good = 1 / (1 + np.exp(-np.clip(x @ emit, -30, 30)))
+        return x.T @ (wanted(good) * good * (1 - good)) - PULL * emit
+
+    def chained(theta: np.ndarray) -> np.ndarray:
+        # The expected share's derivative by a weight is the derivative of that weight's expected feature
+        # in the direction of the lines' parts, so two more passes, to either side, give all of them.
+        chain.move = theta[-4:].reshape(2, 2)
+        emissions = x @ theta[:-4]
+        gain = wanted(chain.marginals(emissions, sizes)[0])
+        reach = 1e-3 / max(np.abs(gain).max(), 1e-12)
+        (up, moves_up, _), (down, moves_down, _) = (
+            chain.marginals(emissions + side * reach * gain, sizes) for side in (1, -1))
+        by_line, by_move = (up - down) / (2 * reach), (moves_up - moves_down).ravel() / (2 * reach)
+        return np.concatenate([x.T @ by_line, by_move]) - np.r_[PULL * theta[:-4], MOVE_PULL * theta[-4:]]
+
+    emit = _ascent(alone, chain.emit, ROUNDS, 0.1)
+    theta = _ascent(chained, np.concatenate([emit, np.zeros(4)]), CHAINED, 0.02)
     chain.emit, chain.move = theta[:-4], theta[-4:].reshape(2, 2)
     p = np.clip(chain.raw(documents), 1e-6, 1 - 1e-6)
     z, slope, shift = np.log(p / (1 - p)), 1.0, 0.0
