@@ -201,6 +201,24 @@ def test_mixing_with_a_hot_row_and_versions_of_one_id(spark):
     assert taken[0] == taken[1]
 
 
+def test_targets_of_many_sources_against_the_definition(spark):
+    """As many sources as documents: capped in ascending order of cap per weight, the rest shared by weight."""
+    rng = random.Random(5)
+    sizes = {f"s{i:04d}": rng.choice([0, 1, 5, 40, 900]) for i in range(900)} | {None: 7}
+    out = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, size long"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    names = sorted(s for s in sizes if s is not None) + [None]
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    left, weights, wanted = sum(sizes.values()), sum(weight.values()), {}
+    waiting = sorted(names, key=lambda s: (3 * sizes[s] / weight[s], names.index(s)))
+    while waiting and 3 * sizes[waiting[0]] * weights < weight[waiting[0]] * left:
+        s = waiting.pop(0)
+        wanted[s], left, weights = 3 * sizes[s], left - 3 * sizes[s], weights - weight[s]
+    wanted |= {s: weight[s] * left / weights for s in waiting}
+    assert {r.source: r.target for r in out.collect()} == wanted and waiting and len(waiting) < 900
+
+
 def test_mixing_edge_cases(spark):
     assert mixing.mixed(frame(spark, [])).count() == 0
     assert [r.copies for r in mixing.mixed(frame(spark, [(1, None, None), (1, None, None)])).collect()] == [0, 0]

@@ -8,8 +8,9 @@ running sums are taken over ranges of the sort order, so a source with a third o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.ranking import with_dense_id
 from .common import SPACE, materialise, read, running_sum, word_count
 
 #: A document is taken so many times at most.
@@ -22,27 +23,29 @@ def targets(sizes: DataFrame) -> DataFrame:
 
     Sources by code point, null last, weigh 1, 2, 3, 1, ...; the budget is the sum of all sizes. No target
     passes REPEATS times its source's size: taken in ascending order of that cap per weight, a source is
-    capped if its share of what the capped ones before it leave is above the cap. Windows run over sources.
+    capped if its share of what the capped ones before it leave is above the cap. The sources are numbered and
+    summed in ranges, so there may be as many of them as there are documents; three numbers reach the driver.
     """
-    big = "decimal(38,0)"
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    everything = Window.partitionBy(F.lit(0))
-    by_cap = everything.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    upto = by_cap.rowsBetween(Window.unboundedPreceding, 0)
-    left = F.sum("source_size").over(everything).cast(big) - F.coalesce(F.sum("cap").over(before), F.lit(0)).cast(big)
-    weights = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    return (
-        sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-        .withColumn("weight", ((F.row_number().over(by_name) - 1) % 3 + 1).cast("long"))
-        .withColumn("cap", REPEATS * F.col("source_size"))
-        .withColumns({"left": left, "weights": weights})
-        .withColumn("free", (F.col("cap").cast("double") * F.col("weights") >= F.col("weight") * F.col("left").cast("double")).cast("int"))
-        .withColumn("free", F.max("free").over(upto))
-        # The first free source holds what is left for all free ones.
-        .withColumn("share", F.max(F.when(F.col("free") == 1, F.struct("weights", F.col("left").cast("double").alias("left")))).over(everything))
-        .select("source", "source_size", F.when(F.col("free") == 0, F.col("cap").cast("double")).otherwise(
-            F.col("weight") * F.col("share.left") / F.col("share.weights")).alias("target")))
+    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("unnamed", F.col("source").isNull())
+    listed = (
+        with_dense_id(sources, ["unnamed", "source"], "nth").drop("unnamed")
+        .withColumn("weight", ((F.col("nth") - 1) % 3 + 1).cast("long"))
+        .withColumn("cap", REPEATS * F.col("source_size")).withColumn("turn", F.col("cap") / F.col("weight")))
+    queue = materialise(running_sum(
+        running_sum(listed, [], ["turn", "nth"], "cap", "caps"), [], ["turn", "nth"], "weight", "weighed"), "sources")
+    total = queue.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    left = F.lit(total["size"]).cast("long") - (F.col("caps") - F.col("cap"))
+    weights = F.lit(total["weight"]).cast("long") - (F.col("weighed") - F.col("weight"))
+    free = F.col("cap").cast("double") * weights >= F.col("weight") * left.cast("double")
+    # The first free source holds what is left for it and all after it.
+    first = queue.filter(free).agg(F.min(F.struct(
+        "turn", "nth", left.cast("double").alias("left"), weights.alias("weights"))).alias("of")).first()["of"]
+    capped = F.col("cap").cast("double")
+    if first is None:
+        return queue.select("source", "source_size", capped.alias("target"))
+    is_free = F.struct("turn", "nth") >= F.struct(F.lit(first["turn"]), F.lit(first["nth"]).cast("long"))
+    return queue.select("source", "source_size", F.when(~is_free, capped).otherwise(
+        F.col("weight") * F.lit(first["left"]) / F.lit(first["weights"])).alias("target"))
 
 
 def _place(copy: Column) -> Column:
