@@ -24,13 +24,14 @@ from ..functions.codecs import key_partition
 from ..sources.sinks import stream_of
 
 _BUCKET, _SHARE = "_bucket", "_share"
+_PART = "_part"
 
 # Keys that take up to so many bytes are broadcast; more are joined with a shuffle.
 BROADCAST_BYTES = 64 * 2**20
 # What a key takes besides its text.
 KEY_OVERHEAD = 32
-# A task of a compaction gets about so many bytes of files.
-TASK_BYTES = 256 * 2**20
+# A task of a compaction gets about so many bytes of files. In memory, sorted, they are some ten times as many.
+TASK_BYTES = 32 * 2**20
 
 
 @dataclass
@@ -171,15 +172,17 @@ class VersionedTable:
         sources = [manifest.buckets[str(b)] for b in touched if str(b) in manifest.buckets] + list(manifest.batches)
         # A large bucket is written by several tasks, each with its share of the keys.
         shares = max(1, -(-sum(files.size(self.spark, f) for f in sources) // (len(touched) * TASK_BYTES)))
-        rows = self._read(sources).withColumns({
-            _BUCKET: key_partition(self.bucket_by, self.buckets),
-            _SHARE: F.pmod(F.xxhash64(F.lit(_SHARE), *self.keys), F.lit(shares)).cast("int")})
-        # Rows of a key have the same bucket and share, so one shuffle by these serves both the merge,
-        # which then groups by them and the key, and the layout of the files. Twice as many tasks as
-        # there are parts, since their hashes collide.
-        merged = self.merge(rows.repartition(2 * len(touched) * shares, _BUCKET, _SHARE), [_BUCKET, _SHARE])
-        # Sorted by key, so that look-ups can skip pages.
-        merged.drop(_SHARE).sortWithinPartitions(_BUCKET, *self.keys).write.partitionBy(_BUCKET).parquet(folder)
+        share = F.pmod(F.xxhash64(F.lit(_SHARE), *self.keys), F.lit(shares))
+        place = F.array_position(F.array(*[F.lit(b) for b in touched]), F.col(_BUCKET)) - 1
+        rows = self._read(sources).withColumn(_BUCKET, key_partition(self.bucket_by, self.buckets)) \
+            .withColumn(_PART, (place * shares + share).cast("int"))
+        # A task gets one part, by its number: by a hash several parts would meet in one. Rows of a key have
+        # the same part, so one shuffle serves both the merge, which then groups by it and the key, and the
+        # layout of the files.
+        spread = rows.repartitionById(len(touched) * shares, _PART)
+        merged = self.merge(spread, [_PART, _BUCKET])
+        # Sorted by key, so that look-ups can skip pages; the merge of a keyed table leaves this order.
+        merged.sortWithinPartitions(_PART, _BUCKET, *self.keys).drop(_PART).write.partitionBy(_BUCKET).parquet(folder)
         written = {n.partition("=")[2] for n in files.names(self.spark, folder) if "=" in n}
         for bucket in map(str, touched):
             manifest.buckets.pop(bucket, None)
@@ -196,10 +199,17 @@ class VersionedTable:
             return files.empty(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def rows(self) -> DataFrame:
+    def rows(self, by: list[str] | None = None) -> DataFrame:
         """The table now. Buckets without waiting batches are read as they are, and so are rows
         whose key has no waiting row as long as the waiting keys are small. A single waiting batch
-        is merged already, so where nothing is stored it is read as it is, too."""
+        is merged already, so where nothing is stored it is read as it is, too.
+
+        ``by`` names key columns to spread the rows by that are merged: what groups by these then
+        needs no other shuffle. No value of them should have a large part of the keys.
+        """
+        def merged(rows: DataFrame) -> DataFrame:
+            return self.merge(rows.repartition(*by) if by else rows, [])
+
         manifest = self.manifest()
         touched = {str(b) for buckets in manifest.batches.values() for b in buckets}
         settled = self._read([f for b, f in manifest.buckets.items() if b not in touched])
@@ -208,21 +218,22 @@ class VersionedTable:
         waiting = self._read(list(manifest.batches))
         older = [f for b, f in manifest.buckets.items() if b in touched]
         if not older:
-            return (waiting if len(manifest.batches) == 1 else self.merge(waiting, [])).unionByName(settled)
+            return (waiting if len(manifest.batches) == 1 else merged(waiting)).unionByName(settled)
         stored, key_bytes = self._read(older), sum(manifest.key_bytes.values())
         if key_bytes <= BROADCAST_BYTES:
             settled = settled.unionByName(with_keys_of(stored, waiting, key_bytes, self.keys, "left_anti"))
             stored = with_keys_of(stored, waiting, key_bytes, self.keys)
-        return self.merge(stored.unionByName(waiting), []).unionByName(settled)
+        return merged(stored.unionByName(waiting)).unionByName(settled)
+
+    def folders(self, buckets: list[int]) -> list[str]:
+        """Where the rows of some buckets lie, and maybe others."""
+        manifest, wanted = self.manifest(), set(buckets)
+        return [f for b, f in manifest.buckets.items() if int(b) in wanted] \
+            + [f for f, touched in manifest.batches.items() if wanted & set(touched)]
 
     def unmerged(self, buckets: list[int]) -> DataFrame:
         """All stored rows of some buckets, before merging: at least the rows that lie there."""
-        manifest = self.manifest()
-        wanted = set(buckets)
-        return self._read(
-            [f for b, f in manifest.buckets.items() if int(b) in wanted]
-            + [f for f, touched in manifest.batches.items() if wanted & set(touched)]
-        )
+        return self._read(self.folders(buckets))
 
     # -- housekeeping --------------------------------------------------------------------
 
