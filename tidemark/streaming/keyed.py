@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..operators.changes import AFTER, BEFORE, DELETE, latest_per_key, live_rows, split_images
 from ..operators.lookup import in_ranges, key_ranges
+from . import versioned
 from .versioned import Staged, VersionedTable, with_keys_of
 
 
@@ -39,30 +40,47 @@ class KeyedTable:
             self.table.commit(staged)
         return staged is not None
 
-    def rows(self) -> DataFrame:
-        return live_rows(self.table.rows()).drop("op")
+    def rows(self, by: list[str] | None = None) -> DataFrame:
+        return live_rows(self.table.rows(by)).drop("op")
 
     def images(self, staged: Staged) -> DataFrame:
         """The rows that a staged batch takes out of the table (-U) and puts in (+U).
 
-        Reads the buckets that the batch touches, and of those keeps the batch's keys before
-        anything is shuffled or merged. Buckets are sorted by key, and the ranges of the batch's
+        Reads the buckets that the batch touches. Of a small batch, these are cut to its keys before
+        anything is shuffled or merged: buckets are sorted by key, and the ranges of the batch's
         first key go to the scan, so a batch whose keys lie together reads a few pages of each. A
-        change older than the stored row has no effect.
+        large batch meets them in a single shuffle by key. A change older than the stored row has no
+        effect.
         """
-        new = self.table.staged_rows(staged)
-        first = self.keys[0]
-        near = in_ranges(first, key_ranges(new, first)) | F.col(first).isNull()
-        stored = with_keys_of(self.table.unmerged(staged.buckets).filter(near), new, staged.key_bytes, self.keys)
-        old = latest_per_key(stored, self.keys, self.order)
+        new, stored = self.table.staged_rows(staged), self.table.unmerged(staged.buckets)
         fields = self.row.names
-        before = old.select(
-            *[F.col(k).alias(f"_old_{k}") for k in self.keys], F.struct(*self.order).alias("_old_order"),
-            F.when(F.col("op") != DELETE, F.struct(*fields)).alias("before"),
-        )
-        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in self.keys])
+        if staged.key_bytes <= versioned.BROADCAST_BYTES:
+            first = self.keys[0]
+            near = in_ranges(first, key_ranges(new, first)) | F.col(first).isNull()
+            old = latest_per_key(with_keys_of(stored.filter(near), new, staged.key_bytes, self.keys), self.keys, self.order)
+            before = old.select(
+                *[F.col(k).alias(f"_old_{k}") for k in self.keys], F.struct(*self.order).alias("_old_order"),
+                F.when(F.col("op") != DELETE, F.struct(*fields)).alias("before"),
+            )
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in self.keys])
+            met = new.join(before, same, "left")
+        else:
+            # A key has one row in the batch and one in each batch or bucket before it. Its new row comes
+            # first, so the row that follows is the one that was in the table.
+            both = new.withColumn("_new", F.lit(True)).unionByName(stored.withColumn("_new", F.lit(False)))
+            place = W.partitionBy(*self.keys).orderBy(F.col("_new").desc(), *[F.col(c).desc() for c in self.order])
+            columns = ["op", *fields]
+            following = {f"_old_{c}": F.lead(c).over(place) for c in ["_new", *columns]}
+            # Without stored rows nothing follows, and the batch stays where it is.
+            paired = both.withColumns({"_n": F.row_number().over(place), **following}).filter("_new AND _n = 1") \
+                if self.table.folders(staged.buckets) else \
+                new.withColumns({"_old__new": F.lit(None).cast("boolean"), **{f"_old_{c}": F.lit(None).cast(new.schema[c].dataType) for c in columns}})
+            known = F.col("_old__new").isNotNull()
+            met = paired.withColumns({
+                "_old_order": F.when(known, F.struct(*[F.col(f"_old_{c}").alias(c) for c in self.order])),
+                "before": F.when(known & (F.col("_old_op") != DELETE), F.struct(*[F.col(f"_old_{c}").alias(c) for c in fields]))})
         effective = F.col("_old_order").isNull() | (F.struct(*self.order) > F.col("_old_order"))
-        envelopes = new.join(before, same, "left").filter(effective).select(
+        envelopes = met.filter(effective).select(
             F.lit(AFTER).alias("op"), "before",
             F.when(F.col("op") != DELETE, F.struct(*fields)).alias("after"),
         )
