@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark import files
 from tidemark.operators import changes as C, shapes, windows as X
+from tidemark.operators.pairs import returned_sales
+from tidemark.plans.stream_queries import _in_two_folders
 from tidemark.schemas import RETURN_EVENT, SALES_EVENT, columns
+from tidemark.session import work_dir
 from tidemark.sources import feeds, sinks
 from tidemark.streaming import jobs
 from tidemark.streaming.keyed import KeyedTable
@@ -211,3 +214,29 @@ def test_jobs_clear_away_what_they_replaced(spark, home):
     assert keyed.rows().count() == 9
     assert len(files.names(spark, f"{home}/table/manifests")) == 3
     assert len(files.names(spark, f"{home}/table/batches")) <= 3
+
+
+def test_restarted_stream_join_reads_its_open_state_only(spark):
+    """The state is kept as files of each batch: a start that had to replay logs would replay all turns before."""
+    def day(text, column="at"):
+        return F.lit(text).cast("timestamp_ntz").alias(column)
+
+    sold = [spark.range(n, n + 3).select(F.col("id").alias("ss_ticket_number"), F.lit(1).alias("ss_item_sk"), day(d))
+            for n, d in ((0, "2024-01-01"), (3, "2024-03-01"), (6, "2024-06-01"))]
+    back = [spark.range(n, n + 1).select(F.col("id").alias("sr_ticket_number"), F.lit(1).alias("sr_item_sk"), day(d))
+            for n, d in ((0, "2024-01-05"), (4, "2024-03-09"), (6, "2024-06-09"))]
+    settings = list(jobs.FEW_LARGE_BATCHES)
+    set_before = [spark.conf.get(s, None) for s in settings]
+    known = set(files.names(spark, work_dir(spark)))
+
+    def joined(sales, returns):
+        return returned_sales(X.with_event_time(sales, "at", "sold_at"), X.with_event_time(returns, "at", "returned_at")) \
+            .select("ss_ticket_number", "returned_at")
+
+    out = _in_two_folders(spark, "join-state", sold, back, joined, "min").collect()
+    assert sorted((r[0], r[1] is not None) for r in out) == [
+        (0, True), (1, False), (2, False), (3, False), (4, True), (5, False), (6, True)]
+    assert [spark.conf.get(s, None) for s in settings] == set_before
+    home, = (n for n in set(files.names(spark, work_dir(spark))) - known if n.startswith("join-state"))
+    kept = [name for _, _, names in os.walk(f"{work_dir(spark)}/{home}/checkpoint/state") for name in names]
+    assert any(n.endswith(".zip") for n in kept) and not any(n.endswith(".changelog") for n in kept)

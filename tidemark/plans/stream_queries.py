@@ -39,8 +39,11 @@ def _in_two_folders(spark, name: str, first: list, second: list, build, policy:
                 part.write.mode("append").parquet(f"{home}/{folder}")
         sides = [feeds.file_stream(spark, f"{home}/{folder}", schema) for folder, schema in zip("ab", schemas)]
         result = build(*sides)
-        jobs.with_watermark_policy(spark, policy, lambda: jobs.append_to_parquet(
-            result, f"{home}/out", name, f"{home}/checkpoint", availableNow=True)).awaitTermination()
+        def start():
+            return jobs.append_to_parquet(result, f"{home}/out", name, f"{home}/checkpoint", availableNow=True)
+
+        jobs.with_watermark_policy(
+            spark, policy, lambda: jobs.with_settings(spark, jobs.FEW_LARGE_BATCHES, start)).awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{home}/out")
 
 

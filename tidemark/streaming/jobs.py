@@ -19,6 +19,14 @@ CHECKPOINT_EVERY = {"kafka": "10 seconds", "analytics": "30 seconds", "sync": "6
 
 WATERMARK_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
 
+# For streams of few large batches that are stopped and started again. Each batch leaves the state's files, so a
+# start costs what is open; logs of changes would be replayed from the first batch on, as a snapshot of them is
+# only taken now and then. Rows in state are not counted, which would look up each key before it is written.
+FEW_LARGE_BATCHES = {
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
 
 def fan_out(changes: DataFrame, writers: dict[str, BatchWriter], name: str, checkpoint: str,
             prepare: Callable[[DataFrame], DataFrame] = lambda df: df, **trigger) -> StreamingQuery:
@@ -89,6 +97,21 @@ def append_to_parquet(df: DataFrame, path: str, name: str, checkpoint: str, **tr
     )
 
 
+def with_settings(spark: SparkSession, settings: dict[str, str], start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """Start a query under session settings that hold for it alone: it takes them along when it starts."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        return start()
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def with_watermark_policy(spark: SparkSession, policy: str, start: Callable[[], StreamingQuery]) -> StreamingQuery:
     """Start a query over several sources that each carry a watermark.
 
@@ -98,12 +121,7 @@ def with_watermark_policy(spark: SparkSession, policy: str, start: Callable[[],
     """
     if policy not in ("min", "max"):
         raise ValueError(f"policy must be 'min' or 'max', not {policy!r}")
-    before = spark.conf.get(WATERMARK_POLICY)
-    spark.conf.set(WATERMARK_POLICY, policy)
-    try:
-        return start()
-    finally:
-        spark.conf.set(WATERMARK_POLICY, before)
+    return with_settings(spark, {WATERMARK_POLICY: policy}, start)
 
 
 def start_domains(starters: dict[str, Callable[[str], StreamingQuery]]) -> dict[str, StreamingQuery]:
