@@ -9,7 +9,7 @@ from tidemark.operators import changes as C
 from tidemark.plans import queries as Q, tables as D
 from tidemark.schemas import columns
 from tidemark.session import work_dir
-from tidemark.sources import sinks
+from tidemark.sources import feeds, sinks
 from tidemark.streaming import versioned
 from tidemark.streaming.ends import MaintainedEnds
 from tidemark.streaming.keyed import KeyedTable
@@ -97,3 +97,17 @@ def test_ends_are_read_in_one_shuffle(spark, home):
     ends.apply(rows.filter("t < 2").withColumn("op", F.lit(C.DELETE)), rows.drop("op"), 1)
     assert plan_of(ends.rows()).count("Exchange") == 1 and "Join" not in plan_of(ends.rows())
     assert {(r.g, r.n_rows, r["first"].t, r["last"].t) for r in ends.rows().collect()} == {("a", 4, 2, 5), (None, 4, 2, 5)}
+
+
+def test_keyed_records_are_decoded_in_one_step(spark):
+    key, value, order = columns("id:long"), columns("id:long qty:int"), columns("seq:long")
+    texts = [('{"id":1}', '{"id":1,"qty":5}', '{"seq":7}'), ('{"id":2}', None, '{}'), ('{"id":3}', '{"qty": ', '{"seq":1}'),
+             ("{broken", '{"qty":1}', '{"seq":1}'), ('{"id":4}', '{"qty":2}', '{"seq": '), ('{"id":5}', '{"qty":3}', ' { "seq":2}'),
+             ('{"id":6}', '{"qty":4}', None), (None, '{"qty":4}', None), ('{"id":7}', '{"qty":4}', '{"seq":"x"}')]
+    records = spark.createDataFrame(texts, "key string, value string, order string") \
+        .withColumns({"timestamp": F.lit("2024-01-01").cast("timestamp"), "offset": F.lit(1)})
+    changes = feeds.keyed_changes(records, key, value, order)
+    assert plan_of(changes).count("Generate ") == 1
+    assert sorted((r.id, r.op, r.qty, r.record_order and tuple(r.record_order)) for r in changes.collect()) == [
+        (1, "+U", 5, (7,)), (2, "-D", None, None), (4, "+U", 2, None), (5, "+U", 3, (2,)), (6, "+U", 4, None), (7, "+U", 4, (None,))]
+    assert {r.id for r in feeds.keyed_changes(records, key, value).filter("record_order IS NULL").collect()} == {1, 2, 4, 5, 6, 7}

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..files import empty, exists, is_dir, modified, publish_text, read_text
-from ..functions.codecs import decode_keyed, decode_rows
+from ..functions.codecs import decode_keyed, decode_order, decode_rows
 from ..operators.changes import kind_records, split_images
 from ..operators.windows import with_event_time
 from ..schemas import columns, envelope_schema
@@ -130,10 +130,8 @@ def keyed_changes(records: DataFrame, key_schema: T.StructType, value_schema: T.
     it, or in records that carry none, ``record_order`` is NULL and the record's time decides, then
     its offset.
     """
-    fields = order or T.StructType([T.StructField("none", T.StringType())])
-    parsed = F.from_json("order", fields) if order else F.lit(None).cast(fields)
-    # A record without order columns, or with broken ones, has none: not a struct of NULLs.
-    known = F.when(F.size(F.json_object_keys("order")) > 0, parsed) if order else parsed
+    none = T.StructType([T.StructField("none", T.StringType())])
+    known = decode_order("order", order) if order else F.lit(None).cast(none)
     return decode_keyed(records.withColumn("record_order", known), key_schema, value_schema, keep=TOPIC_ORDER)
 
 
