@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,12 +11,14 @@ from pyspark.sql import functions as F
 from tidemark import files
 from tidemark.operators import changes as C, shapes, windows as X
 from tidemark.operators.pairs import returned_sales
-from tidemark.plans.stream_queries import _in_two_folders
+from tidemark.plans.queries import QUERIES
+from tidemark.plans.stream_queries import _in_two_folders, _turns_in_two_folders
 from tidemark.schemas import RETURN_EVENT, SALES_EVENT, columns
 from tidemark.session import work_dir
 from tidemark.sources import feeds, sinks
 from tidemark.streaming import jobs
 from tidemark.streaming.keyed import KeyedTable
+from tidemark.streaming.pairs import PairedStreams
 
 START = dt.datetime(2024, 1, 1, 10)
 
@@ -240,3 +243,114 @@ def test_restarted_stream_join_reads_its_open_state_only(spark):
     home, = (n for n in set(files.names(spark, work_dir(spark))) - known if n.startswith("join-state"))
     kept = [name for _, _, names in os.walk(f"{work_dir(spark)}/{home}/checkpoint/state") for name in names]
     assert any(n.endswith(".zip") for n in kept) and not any(n.endswith(".changelog") for n in kept)
+
+
+LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, " \
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+
+
+def test_returned_sales_stream_keeps_what_is_open_as_files(spark, home):
+    """No row of it goes through a state store, and of the closed rows nothing is kept."""
+    def line(n, part, day, flag="N", quantity=3.0):
+        at = None if day is None else dt.datetime.fromisoformat(day)
+        return n, part, 1, 1, quantity, 10.0, 0.0, 0.0, flag, "O", at
+
+    rows = [line(1, 1, "1996-05-01", "R"), line(1, 2, "1996-05-01"), line(2, 1, "1997-12-30", "R", 9.0), line(3, 1, "1998-02-01"),
+            line(4, 1, "1999-03-01", "R", 40.0), line(5, 1, "2000-12-20"), line(5, 1, "2001-11-01", "R"), line(6, 1, None, "R"),
+            line(7, 1, "2001-11-04"), line(None, 1, "1999-01-01", "R")]
+    spark.createDataFrame(rows, LINE).write.parquet(f"{home}/lineitem.parquet")
+    known = set(files.names(spark, work_dir(spark)))
+    out = QUERIES["returned_sales_stream"](spark, home).collect()
+    assert sorted((r.ss_ticket_number or 0, r.ss_item_sk, r.sold_at.year, r.returned_at and r.returned_at.isoformat()) for r in out) == [
+        (0, 1, 1999, None), (1, 1, 1996, "1996-05-04T00:00:00"), (1, 2, 1996, None), (2, 1, 1997, "1998-01-08T00:00:00"),
+        (3, 1, 1998, None), (4, 1, 1999, None), (5, 1, 2000, None), (5, 1, 2001, "2001-11-04T00:00:00")]
+    kept, = (n for n in set(files.names(spark, work_dir(spark))) - known if n.startswith("returned-sales"))
+    top = f"{work_dir(spark)}/{kept}"
+    assert not os.path.exists(f"{top}/checkpoint/state")
+    last, = os.listdir(f"{top}/pairs/open")
+    still = spark.read.parquet(f"{top}/pairs/open/{last}/sales").collect()
+    assert sorted((r.ss_ticket_number, r._matched) for r in still) == [(5, True), (6, False), (7, False)]
+    assert spark.read.parquet(f"{top}/pairs/open/{last}/returns").count() == 1
+
+
+SOLD = "ss_ticket_number long, ss_item_sk long, ss_line long, at timestamp_ntz"
+BACK = "sr_ticket_number long, sr_item_sk long, sr_line long, at timestamp_ntz"
+
+
+def odd_turns(spark):
+    """Rows of three turns that overlap, so that some are late; keys and rows that repeat, and NULLs."""
+    rnd = random.Random(7)
+
+    def part(first, last, n, shape):
+        def row():
+            day = dt.datetime(2024, 1, 1) + dt.timedelta(days=rnd.randint(first, last), milliseconds=rnd.choice([0, 0, 250]))
+            return rnd.choice([None, *range(1, 40)]), rnd.choice([None, 1, 1, 2]), rnd.randint(1, 3), rnd.choice([None, *[day] * 20])
+        found = [row() for _ in range(n)]
+        # Spark leaves returns without a key out of the watermark, so the last row of a turn has one
+        end = (50, 1, 1, dt.datetime(2024, 1, 1) + dt.timedelta(days=last, hours=1))
+        return spark.createDataFrame([*found, *found[:20], end], shape)
+
+    spans = [(0, 80), (60, 150), (120, 260)]
+    return [part(*s, 250, SOLD) for s in spans], [part(*s, 180, BACK) for s in spans]
+
+
+def paired(sold, back, root, policy="min"):
+    return PairedStreams(X.with_event_time(sold, "at", "sold_at").drop("at"), X.with_event_time(back, "at", "returned_at").drop("at"),
+                         root, policy, keep=PAIR)
+
+
+PAIR = ["ss_ticket_number", "ss_item_sk", "ss_line", "sold_at", "sr_line", "returned_at"]
+
+
+@pytest.mark.parametrize("policy", ["min", "max"])
+def test_paired_streams_give_what_sparks_own_join_gives(spark, home, policy):
+    sold, back = odd_turns(spark)
+
+    def joined(sales, returns):
+        return returned_sales(X.with_event_time(sales, "at", "sold_at"), X.with_event_time(returns, "at", "returned_at")).select(*PAIR)
+
+    expected = rows(_in_two_folders(spark, "own-join", sold, back, joined, policy))
+    for sides in _turns_in_two_folders(spark, home, sold, back):
+        pairs = paired(*sides, f"{home}/pairs", policy)
+        pairs.start("pairs", f"{home}/checkpoint", availableNow=True).awaitTermination()
+    assert rows(pairs.rows()) == expected and len(expected) > 300
+
+
+def test_returns_without_a_key_move_the_watermark_too(spark, home):
+    """As in the query's SQL, where it trails the latest time of all rows."""
+    sold = spark.createDataFrame([(1, 1, 1, dt.datetime(2024, 1, 1)), (2, 1, 1, dt.datetime(2024, 4, 1))], SOLD)
+    back = spark.createDataFrame([(9, 1, 1, dt.datetime(2024, 1, 2)), (None, 1, 1, dt.datetime(2024, 4, 1))], BACK)
+    for sides in _turns_in_two_folders(spark, home, [sold], [back]):
+        pairs = paired(*sides, f"{home}/pairs")
+        pairs.start("pairs", f"{home}/checkpoint", availableNow=True).awaitTermination()
+    assert [r.ss_ticket_number for r in pairs.rows().collect()] == [1]
+
+
+def test_a_batch_of_pairs_counts_once(spark, home, monkeypatch):
+    """It fails after all its rows are written, is delivered again, and once more when it counts."""
+    sold, back = odd_turns(spark)
+    publish, failures, expected = files.publish_text, [], None
+    for folder in ("plain", "failing"):
+        top = f"{home}/{folder}"
+        for turn, sides in enumerate(_turns_in_two_folders(spark, top, sold, back)):
+            pairs = paired(*sides, f"{top}/pairs")
+            if folder == "failing" and turn == 1:
+                def broken(*args):
+                    failures.append(pairs.rows().count())
+                    raise RuntimeError("storage is down")
+                monkeypatch.setattr(files, "publish_text", broken)
+                before = pairs.rows().count()
+                with pytest.raises(Exception, match="storage is down"):
+                    pairs.start("pairs", f"{top}/checkpoint", availableNow=True).awaitTermination()
+                assert failures == [before] and before > 0
+                monkeypatch.setattr(files, "publish_text", publish)
+            pairs.start("pairs", f"{top}/checkpoint", availableNow=True).awaitTermination()
+        expected = expected or rows(pairs.rows())
+        assert rows(pairs.rows()) == expected
+    done = pairs._done()
+    with pytest.raises(ValueError, match="another stream"):
+        pairs.apply(None, done.batch + 1)
+    from tidemark.sources.sinks import BatchNumber
+    assert pairs.apply(None, BatchNumber(done.batch, done.stream)) is False
+    with pytest.raises(ValueError, match="watermark"):
+        PairedStreams(sides[0].withColumnRenamed("at", "sold_at"), sides[1].withColumnRenamed("at", "returned_at"), home)

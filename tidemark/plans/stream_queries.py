@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import windows as X
-from ..operators.pairs import returned_sales
 from ..session import fresh_dir
 from ..sources import feeds
 from ..streaming import jobs
 from ..streaming.metrics import batches, total_open
+from ..streaming.pairs import PairedStreams
 from . import tables as D
 from .oracle import DAY, ORACLE, RETURNS, SALES, trends, SALES_SEEN
 from .queries import decades, events_in_turns, line_parts, lines, query
@@ -25,19 +25,24 @@ def item_trends_chained_stream(spark, sf_dir):
     return events_in_turns(spark, sf_dir, "chained", decades(), {"trends": trends_of})["trends"]
 
 
-def _in_two_folders(spark, name: str, first: list, second: list, build, policy: str):
-    """A stream over two folders; before each turn, each gets its next part (or none). The stream
-    stops after each turn and goes on from its checkpoint; what it wrote is read back."""
-    home = fresh_dir(spark, name)
+def _turns_in_two_folders(spark, home: str, first: list, second: list):
+    """Two folders as streams; before each turn, each gets its next part (or none)."""
     schemas = [next(p.schema for p in parts if p is not None) for parts in (first, second)]
     for folder, schema in zip("ab", schemas):
         spark.createDataFrame([], schema).write.parquet(f"{home}/{folder}")
-    result = None
     for turn in zip(first, second):
         for folder, part in zip("ab", turn):
             if part is not None:
                 part.write.mode("append").parquet(f"{home}/{folder}")
-        sides = [feeds.file_stream(spark, f"{home}/{folder}", schema) for folder, schema in zip("ab", schemas)]
+        yield [feeds.file_stream(spark, f"{home}/{folder}", schema) for folder, schema in zip("ab", schemas)]
+
+
+def _in_two_folders(spark, name: str, first: list, second: list, build, policy: str):
+    """A stream over two folders that get their parts in turns. The stream stops after each turn and
+    goes on from its checkpoint; what it wrote is read back."""
+    home = fresh_dir(spark, name)
+    result = None
+    for sides in _turns_in_two_folders(spark, home, first, second):
         result = build(*sides)
         def start():
             return jobs.append_to_parquet(result, f"{home}/out", name, f"{home}/checkpoint", availableNow=True)
@@ -63,13 +68,15 @@ def returned_sales_stream(spark, sf_dir):
         part = F.least(F.greatest(F.coalesce(F.year(day), F.lit(0)) - 1997, F.lit(0)), F.lit(3))
         return [df.filter(part == n) for n in range(4)]
 
-    def joined(sales, returns):
-        return returned_sales(X.with_event_time(sales, "l_shipdate", "sold_at"),
-                              X.with_event_time(returns, "l_returned", "returned_at")).select(
-            "ss_ticket_number", "ss_item_sk", "ss_line", "ss_quantity", "sold_at",
-            "sr_line", "sr_return_quantity", "returned_at")
-
-    return _in_two_folders(spark, "returned-sales", by_year(sold, "l_shipdate"), by_year(back, "l_returned"), joined, "min")
+    home, pairs = fresh_dir(spark, "returned-sales"), None
+    for sales, returns in _turns_in_two_folders(spark, home, by_year(sold, "l_shipdate"), by_year(back, "l_returned")):
+        pairs = PairedStreams(
+            X.with_event_time(sales, "l_shipdate", "sold_at").drop("l_shipdate"),
+            X.with_event_time(returns, "l_returned", "returned_at").drop("l_returned"), f"{home}/pairs", policy="min",
+            keep=["ss_ticket_number", "ss_item_sk", "ss_line", "ss_quantity", "sold_at",
+                  "sr_line", "sr_return_quantity", "returned_at"])
+        pairs.start("returned-sales", f"{home}/checkpoint", availableNow=True).awaitTermination()
+    return pairs.rows()
 
 
 @query
