@@ -35,13 +35,15 @@ class PairedStreams:
     by one. Here the rows of a batch meet each other and those still open from the batches before in one
     ordinary join, and what is open after the batch is kept as files.
 
-    The rules are those of Spark's join. Each side's watermark trails its latest time, and the join's
-    is the earlier one (policy ``min``) or the later one (``max``); rows not after the join's watermark are
-    late and dropped. A sale is open until the watermark has passed its bound, and is given out without a
-    return then if it had none; a return is open until the watermark has reached it, as no sale
-    before it can come after that. Each pair is given out once, with the batch that has its later row.
-    Unlike there, returns without a ticket or item move their side's watermark as all others do (Spark filters them out
-    below it), and a side's watermark outlives a restart.
+    The rules are those of Spark's join. Each side's watermark trails its latest time, and the join's is the earlier one
+    (policy ``min``) or the later one (``max``); rows not after the join's watermark are late and dropped. A sale
+    is open until the watermark has passed its bound, and is given out without a return then if it had none; a
+    return is open until the watermark has reached it, as no sale before it can come after that. Each pair is
+    given out once, with the batch that has its later row.
+
+    Some things differ. What a batch's watermark closes goes out with that batch, without a further one that has no rows.
+    Returns without a ticket or item move their side's watermark as all others do (Spark filters them out below
+    it), and a side's watermark outlives a restart.
 
     Everything of a batch lies in folders of its number and counts from the moment its note is published: a batch that
     fails half-way is written over when it is delivered again, and one that counts already is skipped.
